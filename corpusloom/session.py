@@ -43,7 +43,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core before CPU-heavy work.
 
     A large input already has more partitions than cores and passes through
-    untouched; only a small one (one file, one row group) is redistributed.
+    untouched; only a small one (one file, one row group) is redistributed. For
+    plans without a shuffle only: counting partitions would run a shuffle's stages.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
