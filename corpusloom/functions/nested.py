@@ -15,6 +15,22 @@ from corpusloom.functions.text import as_col, strip, strip_html, visible_text
 _KINDS_FIRST = set(fixed.SECTION_TEXT_KEYS)
 
 
+def is_json(text: Column | str) -> Column:
+    """Whether a text is one JSON value and nothing else.
+
+    Spark's parser stops at the end of the first value. What follows it would
+    have to close both a list and an object to go unnoticed here.
+    """
+    text = as_col(text)
+    strict = {"allowSingleQuotes": "false"}
+    in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", strict)
+    schema = "value string, malformed string"
+    in_object = F.from_json(
+        F.concat(F.lit('{"value":'), text, F.lit("}")), schema, strict | {"columnNameOfCorruptRecord": "malformed"}
+    )
+    return in_list.isNotNull() & in_object["malformed"].isNull()
+
+
 def _object_response(value: Column) -> Column:
     found = F.coalesce(*[F.try_variant_get(value, path, "variant") for path in fixed.RESPONSE_PATHS])
     found = F.when(F.schema_of_variant(value) == "STRING", value).otherwise(found)

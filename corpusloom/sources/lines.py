@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusloom.functions.nested import is_json
+
 _SPLIT = ["file_path", "split_start"]
 
 
@@ -79,6 +81,6 @@ def read_jsonl_lenient(
 ) -> tuple[DataFrame, DataFrame]:
     """(records as JSON text, rejected lines with their numbers)."""
     lines = read_lines(spark, path, glob).where(~_is_blank())
-    valid = F.try_parse_json("value").isNotNull()
+    valid = is_json("value")
     records = lines.where(valid).select("file", "line_number", "ordinal", F.col("value").alias("record"))
     return records, lines.where(~valid).select("file", "line_number", "value")
