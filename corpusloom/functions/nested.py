@@ -13,6 +13,14 @@ from corpusloom import fixed_values as fixed
 from corpusloom.functions.text import as_col, strip, strip_html, visible_text
 
 _KINDS_FIRST = set(fixed.SECTION_TEXT_KEYS)
+# The parser's own limit on a string would reject texts of more than 20 million characters.
+JSON_OPTIONS = {"maxStringLen": str(2**31 - 1)}
+
+
+def parse_value(text: Column | str) -> Column:
+    """A JSON text as a variant, null if it is none."""
+    wrapped = F.concat(F.lit('{"value":'), as_col(text), F.lit("}"))
+    return F.from_json(wrapped, "value variant", JSON_OPTIONS)["value"]
 
 
 def is_json(text: Column | str) -> Column:
@@ -22,7 +30,7 @@ def is_json(text: Column | str) -> Column:
     have to close both a list and an object to go unnoticed here.
     """
     text = as_col(text)
-    strict = {"allowSingleQuotes": "false"}
+    strict = JSON_OPTIONS | {"allowSingleQuotes": "false"}
     in_list = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>", strict)
     schema = "value string, malformed string"
     in_object = F.from_json(
@@ -63,10 +71,10 @@ def response_text(response: Column | str) -> Column:
     Python, which opens nested lists; the choice of text stays in the JVM.
     """
     response = as_col(response)
-    value = F.try_parse_json(response)
+    value = parse_value(response)
     is_list = F.startswith(F.schema_of_variant(value), F.lit("ARRAY"))
     texts = F.transform(
-        _list_leaves(F.when(is_list, response)), lambda leaf: _object_response(F.try_parse_json(leaf))
+        _list_leaves(F.when(is_list, response)), lambda leaf: _object_response(parse_value(leaf))
     )
     return (
         F.when(value.isNull(), F.nullif(strip(response), F.lit("")))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fixed
+from corpusloom.functions.nested import JSON_OPTIONS
 from corpusloom.functions.text import as_col
 
 _RESERVED = ("source_id", "original_row", "metadata")
@@ -15,10 +16,10 @@ _FIRST_HEADERS = ("source_id", "merged_output", "original_row")
 def parse_record(record: Column | str) -> Column:
     """struct(keys, texts, kinds) of a JSON object: key order, values as text, value types."""
     record = as_col(record)
-    typed = F.from_json(record, "map<string,variant>")
+    typed = F.from_json(record, "map<string,variant>", JSON_OPTIONS)
     return F.struct(
         F.json_object_keys(record).alias("keys"),
-        F.from_json(record, "map<string,string>").alias("texts"),
+        F.from_json(record, "map<string,string>", JSON_OPTIONS).alias("texts"),
         F.transform_values(typed, lambda _, value: F.schema_of_variant(value)).alias("kinds"),
     )
 
@@ -77,7 +78,7 @@ def _flatten(parsed: Column, strict: bool) -> Column:
         field, origin = chosen["field"], chosen["origin"]
         kind, text = kinds[origin], texts[origin]
         is_object = F.startswith(kind, F.lit("OBJECT"))
-        spread = F.coalesce(F.from_json(F.when(is_object, text), "map<string,string>"), empty)
+        spread = F.coalesce(F.from_json(F.when(is_object, text), "map<string,string>", JSON_OPTIONS), empty)
         spread = F.transform_values(spread, lambda _, value: F.coalesce(value, F.lit("")))
         stringified = F.when(
             ~is_object & kind.isNotNull() & (kind != "VOID"), F.create_map(F.lit("original_row"), text)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.classify import source_type
 from corpusloom.functions.models import Embedder, LeadGenerator, TextGenerator
+from corpusloom.functions.nested import JSON_OPTIONS
 from corpusloom.operators.chunks import chunk_rows
 from corpusloom.operators.documents import examples_from_documents
 from corpusloom.operators.export import flatten_record, review_table
@@ -175,7 +176,7 @@ def prepare_tokens(
 def profile_folder(spark: SparkSession, path: str) -> DataFrame:
     """(file, source_type, count, samples, sample, length, error), one row per file of a folder."""
     records, json_rejects = read_json_documents(spark, path)
-    texts = F.from_json("record", "map<string,string>")
+    texts = F.from_json("record", "map<string,string>", JSON_OPTIONS)
     sample = F.when(texts.isNull(), F.substring("record", 1, fixed.PROFILE_ITEM)).otherwise(record_sample(texts))
     lines, line_rejects = read_jsonl_lenient(spark, path, glob="*.[jJ][sS][oO][nN][lL]")
     lines = lines.select("file", F.col("line_number").alias("row_index"), "record")

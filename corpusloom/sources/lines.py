@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.nested import is_json
+from corpusloom.functions.nested import JSON_OPTIONS, is_json
 
 _SPLIT = ["file_path", "split_start"]
 
@@ -72,7 +72,7 @@ def _is_blank() -> Column:
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
     """Typed records plus ``ordinal``; blank lines do not count, a bad line fails the job."""
     lines = read_lines(spark, path, skip_blank=True)
-    record = F.from_json("value", schema, {"mode": "FAILFAST"})
+    record = F.from_json("value", schema, JSON_OPTIONS | {"mode": "FAILFAST"})
     return lines.select(record.alias("_record"), "ordinal").select("_record.*", "ordinal")
 
 
