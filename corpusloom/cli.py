@@ -9,6 +9,7 @@ import argparse
 import sys
 from functools import partial
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 from corpusloom import fixed_values as fixed
@@ -30,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     prepare.add_argument("--max_chars", type=int, default=fixed.MAX_CHARS)
     prepare.add_argument("--text_column", default="full_text")
     prepare.add_argument("--no_chunk", action="store_true")
+    prepare.add_argument("--row_once", action="store_true", help="keep the source row on a text's first chunk only")
 
     examples = commands.add_parser("examples", help="mixed folder, or one CSV file, to training examples")
     examples.add_argument("--input_dir", default="data_inputs")
@@ -77,12 +79,17 @@ def _parser() -> argparse.ArgumentParser:
     tokens.add_argument("--output", required=True)
     tokens.add_argument("--cutoff_len", "--max_length", dest="max_length", type=int, default=fixed.CUTOFF_LEN)
     tokens.add_argument("--response_max_length", type=int)
+    tokens.add_argument("--micro_batch_size", type=int, help="pad to the longest of each batch of this size")
     return parser
 
 
 def _validate(spark: SparkSession, args: argparse.Namespace) -> int:
     """Prints a profile per file; files are few and samples short, so they come to the driver one by one."""
-    files = pipelines.profile_folder(spark, args.input_dir).orderBy("file")
+    try:
+        files = pipelines.profile_folder(spark, args.input_dir).orderBy("file")
+    except AnalysisException as missing:
+        print(f"Input directory {args.input_dir} not found: {missing.getCondition()}", file=sys.stderr)
+        return 2
     bad, seen = [], 0
     for row in files.toLocalIterator():
         seen += 1
@@ -103,8 +110,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     args = _parser().parse_args(argv)
     if args.command == "prepare":
         count = pipelines.prepare_chunks(
-            spark, args.input_dir or args.input_file, args.output, args.text_column, args.max_chars, args.no_chunk
-        )
+            spark, args.input_dir or args.input_file, args.output, args.text_column, args.max_chars, args.no_chunk,
+            row_once=args.row_once,
+        )
         print(f"Wrote {count} chunks" if count else "No entries created - no valid data found")
     elif args.command == "examples" and args.csv:
         counts = pipelines.convert_csv(
@@ -138,8 +146,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
         return _validate(spark, args)
     elif args.command == "tokens":
         count = pipelines.prepare_tokens(
-            spark, args.train_file, args.output, hashed_words, args.max_length, args.response_max_length
-        )
+            spark, args.train_file, args.output, hashed_words, args.max_length, args.response_max_length,
+            args.micro_batch_size,
+        )
         print(f"Wrote {count} token records")
     return 0
 

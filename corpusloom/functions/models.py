@@ -6,6 +6,7 @@ import os
 import random
 import time
 from collections.abc import Callable, Iterator
+from hashlib import md5
 from typing import Protocol
 
 import pandas as pd
@@ -112,19 +113,14 @@ def generated(prompt: Column | str, load: Callable[[], TextGenerator], max_new_t
 
 
 class WordCountEmbedder:
-    """Deterministic stand-in: words counted in a fixed number of hash buckets."""
-
-    def __init__(self, size: int = 256) -> None:
-        self.size = size
+    """Deterministic stand-in: words counted in 256 buckets, by the first byte of their MD5."""
 
     def embed(self, texts: list[str]) -> list[list[float]]:
-        from zlib import crc32
-
         vectors = []
         for text in texts:
-            vector = [0.0] * self.size
+            vector = [0.0] * 256
             for word in text.lower().split():
-                vector[crc32(word.encode()) % self.size] += 1.0
+                vector[md5(word.encode()).digest()[0]] += 1.0
             vectors.append(vector)
         return vectors
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.functions.once import let
+
 # Unicode whitespace; Java's \s and Spark's trim() know only part of it.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -35,9 +37,15 @@ def non_empty(text: Column | str) -> Column:
 
 def clean_text(text: Column | str) -> Column:
     """Unify line ends, squeeze blank lines and spaces, strip; null becomes ''."""
-    unified = F.regexp_replace(as_col(text), r"\r\n?", "\n")
+    unified = F.replace(F.replace(as_col(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
     squeezed = F.regexp_replace(unified, rf"\n{WS}+\n+", "\n\n")
-    return F.coalesce(strip(F.regexp_replace(squeezed, r"[ \t]+", " ")), F.lit(""))
+    return F.coalesce(strip(let(squeezed, _single_spaces)), F.lit(""))
+
+
+def _single_spaces(text: Column) -> Column:
+    """Runs of spaces and tabs as one space; the search for any is much cheaper than the regex."""
+    runs = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t"))
+    return F.when(runs, F.regexp_replace(text, r"[ \t]+", " ")).otherwise(text)
 
 
 class _TextNodes(HTMLParser):
@@ -110,7 +118,10 @@ def strip_html(text: Column | str, mode: str = "regex") -> Column:
     """Drop markup: ``regex`` deletes tags in the JVM, ``dom`` joins text nodes by newline."""
     if mode == "dom":
         return _strip_html_dom(as_col(text))
-    return F.regexp_replace(as_col(text), "<[^>]+>", "")
+    return let(
+        as_col(text),
+        lambda value: F.when(F.contains(value, F.lit("<")), F.regexp_replace(value, "<[^>]+>", "")).otherwise(value),
+    )
 
 
 def clean_field(text: Column | str, html_mode: str = "regex") -> Column:

@@ -34,11 +34,14 @@ def chunk_rows(
     no_chunk: bool = False,
     html_mode: str = "regex",
     step_cap: bool = True,
+    row_once: bool = False,
 ) -> DataFrame:
     """Chunk records of (file, row_index, row) rows; narrow, no shuffle.
 
     Rows with too little text are dropped after they were numbered, so the
-    numbers in ``source_id`` keep the gaps.
+    numbers in ``source_id`` keep the gaps. Each record repeats its whole row,
+    which makes the output grow with the square of a text's length; with
+    ``row_once`` only a text's first record carries it, all that merging needs.
     """
     fields = fields or map_fields()
     named = rows.select(
@@ -62,5 +65,5 @@ def chunk_rows(
         "total_chunks",
         chunk_prompt("chunk_text", "_title", "file").alias("prompt"),
         "chunk_text",
-        "original_row",
+        F.when(F.col("chunk_index") == 0, F.col("original_row")).alias("original_row") if row_once else "original_row",
     )

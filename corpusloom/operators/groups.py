@@ -24,20 +24,32 @@ _SECTION_BLOCK = 4096
 class GroupLimits:
     """Largest source that is collected into one row."""
 
-    rows: int = 20_000
-    chars: int = 32_000_000
+    rows: int = 5_000
+    chars: int = 8_000_000
 
 
 def source_key(name: str = "source_id") -> Column:
     return F.coalesce(F.col(name), F.lit(fixed.MISSING_SOURCE))
 
 
-def oversized_sources(df: DataFrame, text: str, limits: GroupLimits) -> DataFrame | None:
-    """Keys of sources beyond the limits, or None if there are none.
+@dataclass(frozen=True)
+class Oversized:
+    """Keys of oversized sources, and whether they are few enough to broadcast facts about them."""
+
+    keys: DataFrame
+    few: bool
+
+    def per_source(self, facts: DataFrame) -> DataFrame:
+        """One small row per oversized source, broadcast only if those are known to be few."""
+        return F.broadcast(facts) if self.few else facts
+
+
+def oversized_sources(df: DataFrame, text: str, limits: GroupLimits) -> Oversized | None:
+    """Sources beyond the limits, or None if there are none.
 
     One pass with map-side counts. There can be no more such keys than the data
-    holds multiples of the limit; few are pinned to a broadcast table, more stay
-    a distributed table.
+    holds multiples of the limit; up to a fixed number they are pinned and
+    broadcast, more stay a distributed table that Spark joins as it sees fit.
     """
     sizes = df.groupBy("source_id").agg(F.count("*").alias("n"), F.sum(F.length(text)).alias("chars"))
     keys = sizes.where((F.col("n") > limits.rows) | (F.col("chars") > limits.chars)).select("source_id")
@@ -45,16 +57,17 @@ def oversized_sources(df: DataFrame, text: str, limits: GroupLimits) -> DataFram
     if not found:
         return None
     if len(found) > _BROADCAST_KEYS:
-        return keys
-    return F.broadcast(df.sparkSession.createDataFrame([(key,) for key in found], "source_id string"))
+        return Oversized(keys, few=False)
+    pinned = df.sparkSession.createDataFrame([(key,) for key in found], "source_id string")
+    return Oversized(F.broadcast(pinned), few=True)
 
 
 def split_oversized(df: DataFrame, text: str, limits: GroupLimits) -> tuple[DataFrame, DataFrame | None]:
     """(rows of ordinary sources, rows of oversized ones or None)."""
-    keys = oversized_sources(df, text, limits)
-    if keys is None:
+    oversized = oversized_sources(df, text, limits)
+    if oversized is None:
         return df, None
-    return df.join(keys, "source_id", "left_anti"), df.join(keys, "source_id", "left_semi")
+    return df.join(oversized.keys, "source_id", "left_anti"), df.join(oversized.keys, "source_id", "left_semi")
 
 
 def position() -> Column:

@@ -9,7 +9,7 @@ from corpusloom.functions.classify import is_error
 from corpusloom.functions.sentences import dedup_text, distinct_sentences, join_sentences, merge_summaries
 from corpusloom.functions.text import non_empty
 from corpusloom.operators.generation import CHUNK_STEP, FINAL_STEP
-from corpusloom.operators.groups import GroupLimits, oversized_sources, position, source_key
+from corpusloom.operators.groups import GroupLimits, Oversized, oversized_sources, position, source_key
 from corpusloom.operators.similar_sets import first_distinct
 
 _FINAL_FIELDS = ("total_chunks", "chunk_summaries", "final_summary", "source_metadata")
@@ -40,12 +40,12 @@ def merge_results(results: DataFrame, limits: GroupLimits = GroupLimits()) -> Da
         F.coalesce("chunk_summary", F.lit("")).alias("summary"),
         F.col("original_chunk.original_row").alias("row"),
     ).where(step.isin(CHUNK_STEP, FINAL_STEP))
-    large_keys = oversized_sources(rows.where(~F.col("is_final")), "summary", limits)
-    if large_keys is None:
+    oversized = oversized_sources(rows.where(~F.col("is_final")), "summary", limits)
+    if oversized is None:
         return _merge_ordinary(rows)
-    ordinary = rows.join(large_keys, "source_id", "left_anti")
-    large = rows.join(large_keys, "source_id", "left_semi")
-    return _merge_ordinary(ordinary).unionByName(_merge_large(large))
+    ordinary = rows.join(oversized.keys, "source_id", "left_anti")
+    large = rows.join(oversized.keys, "source_id", "left_semi")
+    return _merge_ordinary(ordinary).unionByName(_merge_large(large, oversized))
 
 
 def _record(df: DataFrame, part: Column, text: Column) -> DataFrame:
@@ -81,15 +81,19 @@ def _merge_ordinary(rows: DataFrame) -> DataFrame:
     return _record(chosen, F.lit(None), merge_summaries("texts"))
 
 
-def _merge_large(rows: DataFrame) -> DataFrame:
-    """Records of oversized sources; nothing is gathered per source."""
+def _merge_large(rows: DataFrame, oversized: Oversized) -> DataFrame:
+    """Records of oversized sources; nothing is gathered per source.
+
+    The metadata of a source, which may hold its whole text, goes with its first part only.
+    """
     finals = last_per_key(rows.where("is_final"), ["source_id"], F.coalesce("ordinal", F.lit(0)), "final")
     finals = finals.where(non_empty("final.final_summary").isNotNull()).select("source_id", "final.*")
     ready = _record(finals, F.lit(None), dedup_text("final_summary"))
 
-    chunks = rows.where(~F.col("is_final")).join(finals.select("source_id"), "source_id", "left_anti")
-    facts = chunks.groupBy("source_id").agg(F.count("*").alias("n"), F.min_by("row", "at").alias("source_metadata"))
-    chunks = chunks.select("source_id", "at", "summary").join(facts, "source_id")
+    finished = oversized.per_source(finals.select("source_id"))
+    chunks = rows.where(~F.col("is_final")).join(finished, "source_id", "left_anti")
+    facts = chunks.groupBy("source_id").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    chunks = chunks.select("source_id", "at", "summary", "row").join(oversized.per_source(facts), "source_id")
     usable = (F.col("n") == 1) | ~is_error("summary")
     sentences = chunks.where(usable).select(
         "source_id", "at", F.posexplode_outer(distinct_sentences("summary")).alias("number", "sentence")
@@ -113,7 +117,7 @@ def _merge_large(rows: DataFrame) -> DataFrame:
         "at",
         F.lit(1).alias("total_chunks"),
         F.array("summary").alias("chunk_summaries"),
-        "source_metadata",
+        F.when(F.col("at") == F.col("first"), F.col("row")).alias("source_metadata"),
         F.coalesce("sentences", F.array().cast("array<string>")).alias("sentences"),
     )
     return ready.unionByName(_record(parts, F.col("at"), join_sentences("sentences")))

@@ -28,13 +28,15 @@ def record_sample(fields: Column | str) -> Column:
 def profile_records(records: DataFrame, sample: Column, by: str = "file", order: str = "row_index") -> DataFrame:
     """(file, count, samples) with the samples of each file's first records.
 
-    Counts combine before the shuffle and the ranking keeps only the first rows
-    of each task, so a file with most of the rows costs no more than any other.
+    Counts combine before the shuffle. The ranking sees short samples instead of
+    whole records and keeps only the first rows of each task, so a file with most
+    of the rows costs no more than any other.
     """
     counts = records.groupBy(by).agg(F.count("*").alias("count"))
     rank = F.row_number().over(Window.partitionBy(by).orderBy(order))
-    first = records.withColumn("_rank", rank).where(F.col("_rank") <= fixed.PROFILE_ROWS)
-    samples = first.select(by, "_rank", sample.alias("sample")).groupBy(by).agg(
+    short = records.select(by, order, sample.alias("sample"))
+    first = short.withColumn("_rank", rank).where(F.col("_rank") <= fixed.PROFILE_ROWS)
+    samples = first.groupBy(by).agg(
         F.array_sort(F.collect_list(F.struct("_rank", "sample"))).alias("items")
     )
     return counts.join(samples, by).select(

@@ -78,6 +78,7 @@ def rows_to_examples(
 
     picked = compute_where(rows, keep, computed, wanted)
     title = F.when(F.col("_untitled"), extract_title("_text", html_mode=html_mode)).otherwise(F.col("_title"))
-    return picked.select(
-        *keep, F.lit(instruction).alias("instruction"), row_input(title, "_text").alias("input"), "output"
+    titled = picked.select(*keep, "_text", "output", title.alias("_title"))
+    return titled.select(
+        *keep, F.lit(instruction).alias("instruction"), row_input("_title", "_text").alias("input"), "output"
     )

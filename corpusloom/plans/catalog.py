@@ -370,7 +370,7 @@ def word_similarity(spark, sf_dir):
 
 def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as free-form records; their shape depends on the type of event."""
-    events = _table(spark, sf_dir, "events")
+    events = spread(_table(spark, sf_dir, "events"))
     source = F.col("event_id").cast("string").alias("source_id")
     user = F.concat(F.lit("user "), F.col("user_id").cast("string"))
     kind = F.col("event_type")

@@ -168,7 +168,8 @@ _MERGED = f"""WITH {_MERGE}
 
 _MERGED_LARGE = f"""WITH {_MERGE},
   whole AS ({_MERGED.replace(f"WITH {_MERGE}", "")}),
-  parts AS (SELECT c.source_id, c.chunk_index, c.summary, r.role,
+  parts AS (SELECT c.source_id, c.chunk_index, c.summary,
+      CASE WHEN c.chunk_index = min(c.chunk_index) OVER (PARTITION BY c.source_id) THEN r.role ELSE '' END AS role,
       list_filter(coalesce(g.kept, []), lambda v: v.c = c.chunk_index) AS kept
     FROM chunk c JOIN rebuilt r USING (source_id) LEFT JOIN folded g USING (source_id)
       LEFT JOIN finals f USING (source_id) WHERE r.n > 1 AND coalesce(f.final_summary, '') = '')
@@ -353,6 +354,17 @@ ORACLES: dict[str, str] = {
     "training_gate": f"""WITH {_SIMILARITY} SELECT 'Summarize.' AS instruction, source AS input, text AS output, doc_id
       FROM documents LEFT JOIN neighbours ON vec_id = doc_id
       WHERE text <> '' AND {_missing("text", GATE_HEADINGS)} = '' AND (similarity IS NULL OR similarity >= {fixed.SIMILARITY_THRESHOLD})""",
+    "word_similarity": f"""WITH {_EXAMPLES}, sides AS (
+          SELECT idx, 0 AS side, substr(input, 1, 2000) AS body FROM examples UNION ALL SELECT idx, 1, output FROM examples),
+        buckets AS (SELECT idx, side, substr(md5(word), 1, 2) AS bucket, count(*) AS n FROM (
+          SELECT idx, side, unnest(list_filter(string_split_regex(lower(body), '{_WS}+'), lambda w: w <> '')) AS word FROM sides)
+          GROUP BY ALL),
+        norms AS (SELECT idx, side, sqrt(sum(n * n)) AS norm FROM buckets GROUP BY ALL),
+        dots AS (SELECT a.idx, sum(a.n * b.n) AS dot FROM buckets a JOIN buckets b USING (idx, bucket)
+          WHERE a.side = 0 AND b.side = 1 GROUP BY ALL)
+      SELECT e.idx, round(coalesce(dot, 0) / (a.norm * b.norm), 4) AS similarity FROM examples e
+        LEFT JOIN dots d ON d.idx = e.idx LEFT JOIN norms a ON a.idx = e.idx AND a.side = 0
+        LEFT JOIN norms b ON b.idx = e.idx AND b.side = 1""",
     "output_fields": f"""WITH {_EVENTS} SELECT event_id,
         CASE t WHEN 'view' THEN 'output' WHEN 'click' THEN 'label' WHEN 'purchase' THEN 'generated'
           WHEN 'signup' THEN 'final_summary' ELSE '' END AS field,

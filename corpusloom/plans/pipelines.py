@@ -20,8 +20,7 @@ from corpusloom.operators.merging import merge_results, merge_statistics
 from corpusloom.operators.profile import profile_records, record_sample, text_profile
 from corpusloom.operators.review import review_rows, score, training_records
 from corpusloom.operators.rows import map_fields, rows_to_examples
-from corpusloom.operators.training import load_examples, require_outputs, tokenize_examples
-from corpusloom.session import cut_lineage
+from corpusloom.operators.training import load_examples, pad_batches, require_outputs, tokenize_examples
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.directory import collect_documents, read_json_documents, read_text_files
 from corpusloom.sources.lines import read_jsonl, read_jsonl_lenient
@@ -57,10 +56,11 @@ def prepare_chunks(
     max_chars: int = fixed.MAX_CHARS,
     no_chunk: bool = False,
     html_mode: str = "regex",
+    row_once: bool = False,
 ) -> int:
     """CSV files to chunk records; no output if there is none."""
     rows, _ = read_csv_rows(spark, path)
-    chunks = chunk_rows(rows, None, text_column, max_chars, no_chunk, html_mode)
+    chunks = chunk_rows(rows, None, text_column, max_chars, no_chunk, html_mode, row_once=row_once)
     if chunks.isEmpty():
         return 0
     counted, seen = _counted(chunks, "chunks")
@@ -124,10 +124,12 @@ def merge_summaries_per_source(
     results = read_jsonl(spark, path, RESULT_SCHEMA)
     if results.isEmpty():
         raise NothingToDo("No results found in input file")
-    merged = cut_lineage(merge_results(results, limits))
+    merged = merge_results(results, limits).persist()
     shown = merged.drop("part") if merged.where(F.col("part").isNotNull()).isEmpty() else merged
     write_jsonl(shown, output, order_by=[name for name in ("source_id", "part") if name in shown.columns])
-    return merge_statistics(merged).first().asDict()
+    statistics = merge_statistics(merged).first().asDict()
+    merged.unpersist()
+    return statistics
 
 
 def export_review(
@@ -135,11 +137,12 @@ def export_review(
 ) -> tuple[int, DataFrame]:
     """Any JSONL to a flat CSV; (rows, rejected lines)."""
     records, rejects = read_jsonl_lenient(spark, path)
-    flat = cut_lineage(records.select("ordinal", flatten_record("record", strict).alias("flat")))
+    flat = records.select("ordinal", flatten_record("record", strict).alias("flat")).persist()
     count = flat.count()
     if count == 0:
         raise NothingToDo("No valid records found in input.")
     write_review_csv(review_table(flat.orderBy("ordinal"), columns), output)
+    flat.unpersist()
     return count, rejects
 
 
@@ -155,7 +158,9 @@ def prepare_review(
 ) -> int:
     """Generated examples to a review CSV and the training records that pass the gate."""
     examples = read_jsonl(spark, path, EXAMPLE_SCHEMA).withColumnRenamed("ordinal", "idx")
-    scored = score(examples, headings, load_embedder).persist()
+    scored = score(examples, headings, load_embedder)
+    if load_embedder:  # worth keeping for the second output; the headings are not
+        scored = scored.persist()
     write_review_csv(review_rows(scored, sample), review_output, order_by=["idx"])
     training, seen = _counted(training_records(scored, threshold), "training")
     write_jsonl(training, train_output)
@@ -164,11 +169,20 @@ def prepare_review(
 
 
 def prepare_tokens(
-    spark: SparkSession, path: str, output: str, tokenizer, max_length: int, response_max: int | None = None
+    spark: SparkSession,
+    path: str,
+    output: str,
+    tokenizer,
+    max_length: int,
+    response_max: int | None = None,
+    batch_size: int | None = None,
 ) -> int:
-    """Training records to token arrays (Parquet)."""
+    """Training records to token arrays (Parquet), padded per batch if a batch size is given."""
     examples = require_outputs(load_examples(read_jsonl(spark, path, EXAMPLE_SCHEMA)))
-    tokens, seen = _counted(tokenize_examples(examples, tokenizer, max_length, response_max, ("ordinal",)), "tokens")
+    tokens = tokenize_examples(examples, tokenizer, max_length, response_max, ("ordinal",))
+    if batch_size:
+        tokens = pad_batches(tokens, batch_size, idx="ordinal")
+    tokens, seen = _counted(tokens, "tokens")
     tokens.write.mode("overwrite").parquet(output)
     return seen.get["rows"]
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.nested import JSON_OPTIONS, is_json
+from corpusloom.session import spread
 
 _SPLIT = ["file_path", "split_start"]
 
@@ -56,8 +57,9 @@ def parquet_ordinal(df: DataFrame) -> DataFrame:
 
     Rows carry their place in their file; only one row per file is summed up.
     """
-    rows = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
-    counts = rows.groupBy("_path").agg((F.max("_at") + 1).alias("n"))
+    scan = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_at"))
+    rows = spread(scan)
+    counts = scan.groupBy("_path").agg((F.max("_at") + 1).alias("n"))
     before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_path", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     return (

@@ -10,7 +10,7 @@ from check_oracles import TABLES, canonical
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no benchmark tables here")
-ROWS_ONLY = {"page_text_dom", "word_similarity"}
+ROWS_ONLY = {"page_text_dom"}
 
 
 @pytest.fixture(scope="module")

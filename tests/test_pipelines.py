@@ -39,8 +39,11 @@ def test_prepare_generate_merge_export(spark, inputs, tmp_path, capsys):
     assert run(spark, ["prepare", "--input_dir", str(inputs), "--output", str(out["chunks"]), "--max_chars", "1000"]) == 0
     chunks = _jsonl(out["chunks"])
     assert {row["source_id"] for row in chunks} == {"notes_0", "notes_2"}
-    assert max(len(row["chunk_text"]) for row in chunks) <= 1000 and chunks[0]["original_row"]["label"] == "L"
+    assert max(len(row["chunk_text"]) for row in chunks) <= 1000 and {row["original_row"]["label"] for row in chunks} == {"L", ""}
 
+    once = ["prepare", "--input_file", str(inputs / "notes.csv"), "--output", str(tmp_path / "once"), "--max_chars", "1000", "--row_once"]
+    assert run(spark, once) == 0
+    assert all((row["original_row"] is not None) == (row["chunk_index"] == 0) for row in _jsonl(tmp_path / "once"))
     assert run(spark, ["generate", "--input", str(out["chunks"]), "--output", str(out["results"]), "--max_gen", "20"]) == 0
     results = _jsonl(out["results"])
     assert sum(row["generation_step"] == "final_summary" for row in results) == 2
@@ -82,6 +85,7 @@ def test_folder_to_examples_and_validation(spark, inputs, tmp_path, capsys):
     assert "my_solution.txt (solution_platform)" in shown and "count: 6" in shown and "a: " + "k" * 31 not in shown
     assert run(spark, ["validate", "--input_dir", str(inputs)]) == 0
     assert "a: " + "k" * 31 in capsys.readouterr().out
+    assert run(spark, ["validate", "--input_dir", str(inputs / "nowhere")]) == 2
     (inputs / "broken.json").write_text("{")
     assert run(spark, ["validate", "--input_dir", str(inputs)]) == 2
     assert run(spark, ["examples", "--input_dir", str(inputs), "--output", str(tmp_path / "x")]) == 0
@@ -111,6 +115,9 @@ def test_review_and_tokens(spark, tmp_path):
     assert run(spark, ["tokens", "--train_file", str(tmp_path / "t"), "--output", str(tmp_path / "k"), "--cutoff_len", "16"]) == 0
     tokens = spark.read.parquet(str(tmp_path / "k")).collect()
     assert len(tokens) == 2 and all(len(row["input_ids"]) == len(row["labels"]) <= 16 for row in tokens)
+    argv = ["tokens", "--train_file", str(tmp_path / "t"), "--output", str(tmp_path / "p"), "--micro_batch_size", "2"]
+    assert run(spark, argv) == 0
+    assert len({len(row["labels"]) for row in spark.read.parquet(str(tmp_path / "p")).collect()}) == 1
     with pytest.raises(Exception, match="empty 'output'"):
         run(spark, ["tokens", "--train_file", str(source), "--output", str(tmp_path / "k2")])
 
