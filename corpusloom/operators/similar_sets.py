@@ -61,31 +61,36 @@ def _signatures(words: Column) -> Column:
 def first_distinct(items: DataFrame, leaders: int = _LEADERS) -> DataFrame:
     """(key, at) of the kept items of (key, at, words), ``at`` being unique and ordered per key."""
     sets = items.select("key", "at", F.array_sort(F.array_distinct("words")).alias("words"))
-    undecided = cut_lineage(sets.groupBy("key", "words").agg(F.min("at").alias("at")))
-    kept = undecided.select("key", "at").limit(0)
-    while not undecided.isEmpty():
-        signed = undecided.withColumn("signatures", _signatures(F.col("words")))
-        spread = signed.select("key", "at", "words", F.explode("signatures").alias("signature"))
+    words = cut_lineage(sets.groupBy("key", "words").agg(F.min("at").alias("at")))
+    hashed = F.array_distinct(F.transform(_signatures(F.col("words")), lambda text: F.xxhash64(text)))
+    signed = words.select("key", "at", F.explode(hashed).alias("signature"))
+    # A signature of one item brings nobody together: most go here, before any join with words.
+    shared = signed.groupBy("key", "signature").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    live = cut_lineage(signed.join(shared, ["key", "signature"], "left_semi"))
+    undecided = live.select("key", "at").distinct()
+    kept = words.select("key", "at").join(undecided, ["key", "at"], "left_anti")
+
+    leader_words = words.select("key", F.col("at").alias("leader"), F.col("words").alias("leader_words"))
+    while not live.isEmpty():
         earliest = Window.partitionBy("key", "signature").orderBy("at")
-        front = spread.withColumn("rank", F.row_number().over(earliest)).where(F.col("rank") <= leaders).drop("rank")
+        front = live.withColumn("rank", F.row_number().over(earliest)).where(F.col("rank") <= leaders).drop("rank")
         front = cut_lineage(front)
-        other = front.select("key", "signature", F.col("at").alias("leader"), F.col("words").alias("leader_words"))
+        met = live.join(front.withColumnRenamed("at", "leader"), ["key", "signature"])
+        met = met.where(F.col("leader") < F.col("at")).select("key", "at", "leader").distinct()
         close = (
-            spread.join(other, ["key", "signature"])
-            .where((F.col("leader") < F.col("at")) & (jaccard("words", "leader_words") > JACCARD_THRESHOLD))
+            met.join(words, ["key", "at"])
+            .join(leader_words, ["key", "leader"])
+            .where(jaccard("words", "leader_words") > JACCARD_THRESHOLD)
             .select("key", "at", "leader")
-            .distinct()
         )
         close = cut_lineage(close)
         # An item in the front of all its signatures has met every earlier candidate.
-        seen = front.groupBy("key", "at").agg(F.count("*").alias("seen"))
-        informed = signed.join(seen, ["key", "at"], "left").where(
-            F.size("signatures") == F.coalesce("seen", F.lit(0))
-        )
+        total = live.groupBy("key", "at").agg(F.count("*").alias("n"))
+        informed = front.groupBy("key", "at").agg(F.count("*").alias("n")).join(total, ["key", "at", "n"], "left_semi")
         settled = informed.select("key", "at").join(close.select("key", "at").distinct(), ["key", "at"], "left_anti")
         settled = cut_lineage(settled)
         fallen = close.join(settled.withColumnRenamed("at", "leader"), ["key", "leader"], "left_semi")
         gone = settled.unionByName(fallen.select("key", "at").distinct())
         kept = kept.unionByName(settled)
-        undecided = cut_lineage(undecided.join(gone, ["key", "at"], "left_anti"))
+        live = cut_lineage(live.join(gone, ["key", "at"], "left_anti"))
     return kept
