@@ -117,10 +117,9 @@ def _sentence_list(x: str) -> str:
     return f"list_transform({kept}, lambda p: {{'s': p, 'w': list_distinct(string_split(lower(p), ' '))}})"
 
 
-_SIMILAR = (
-    "len(list_intersect(k.w, x[1].w))::DOUBLE"
-    f" / (len(k.w) + len(x[1].w) - len(list_intersect(k.w, x[1].w))) > {fixed.JACCARD_THRESHOLD}"
-)
+# shared / (a + b - shared) > 7/10, in whole numbers; sets of too different size are not compared.
+_SIMILAR = """CASE WHEN 10 * len(k.w) > 7 * len(x[1].w) AND 10 * len(x[1].w) > 7 * len(k.w)
+    THEN 17 * len(list_intersect(k.w, x[1].w)) > 7 * (len(k.w) + len(x[1].w)) ELSE false END"""
 
 
 def _fold(sentences: str) -> str:
