@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import fixed_values as fixed
+from corpusloom.functions.prompts import summarize_prompt
 from corpusloom.functions.text import as_col
 
 
@@ -112,6 +113,11 @@ def generated(prompt: Column | str, load: Callable[[], TextGenerator], max_new_t
     return run.asNondeterministic()(as_col(prompt))
 
 
+def summarized(text: Column | str, load: Callable[[], TextGenerator], max_new_tokens: int = 150) -> Column:
+    """struct(text, failed): a short summary of any text."""
+    return generated(summarize_prompt(text), load, max_new_tokens)
+
+
 class WordCountEmbedder:
     """Deterministic stand-in: words counted in 256 buckets, by the first byte of their MD5."""
 

@@ -32,9 +32,10 @@ from corpusloom.operators.profile import profile_records, record_sample
 from corpusloom.operators.review import input_output_similarity, missing_headings, review_rows, score, training_records
 from corpusloom.operators.rows import chunk_source_text, column_fields, rows_to_examples
 from corpusloom.operators.training import empty_outputs, load_examples, pad_batches, tokenize_examples
+from corpusloom.plans.pipelines import profile_folder
 from corpusloom.session import spread
 from corpusloom.sources.csv_rows import read_csv_rows
-from corpusloom.sources.directory import documents_of_records, documents_of_rows
+from corpusloom.sources.directory import collect_documents, documents_of_records, documents_of_rows
 from corpusloom.sources.lines import parquet_ordinal, read_jsonl, read_jsonl_lenient
 from corpusloom.sources.sinks import write_jsonl, write_review_csv
 
@@ -546,6 +547,42 @@ def csv_row_numbers(spark, sf_dir):
     return per_file.agg(F.sum("n").alias("rows"), F.bool_and(consecutive).alias("consecutive"))
 
 
+def _csv_folders(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Documents as CSV files of two layouts: by language, with different headers."""
+    folder = _scratch(spark)
+    documents = _documents(spark, sf_dir)
+    english = documents.where("lang = 'en'").select("doc_id", F.col("source").alias("title"), F.col("text").alias("full_text"))
+    others = documents.where("lang <> 'en'").select(F.col("lang").alias("name"), F.col("text").alias("note"), "doc_id")
+    write_review_csv(english, f"{folder}/english")
+    write_review_csv(others, f"{folder}/others")
+    return [f"{folder}/english", f"{folder}/others"]
+
+
+def csv_chunk_records(spark, sf_dir):
+    """CSV files to chunk records; files without a usual text column name theirs."""
+    rows, _ = read_csv_rows(spark, _csv_folders(spark, sf_dir))
+    chunks = chunk_rows(rows, text_column="note")
+    doc_id = F.col("original_row")["doc_id"].cast("bigint").alias("doc_id")
+    return chunks.select(doc_id, "chunk_index", "total_chunks", "chunk_text")
+
+
+def folder_documents(spark, sf_dir):
+    documents, rejects = collect_documents(spark, _csv_folders(spark, sf_dir))
+    failed = rejects.select(F.lit("rejected").alias("title"), F.col("error").alias("text"))
+    return documents.select("title", "text").unionByName(failed)
+
+
+def folder_profile(spark, sf_dir):
+    """Files of a folder with their counts, samples and problems, summed up."""
+    files = profile_folder(spark, _csv_folders(spark, sf_dir))
+    return files.agg(
+        F.sum("count").alias("records"),
+        F.count_if(F.size("samples") > 5).alias("oversampled"),
+        F.count_if(F.col("error").isNotNull()).alias("failed"),
+        F.count_if(F.col("source_type") != "unknown").alias("typed"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -557,7 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         heading_check, review_table_rows, review_table_sample, embedding_similarity, training_gate, word_similarity,
         output_fields, export_table, export_headers, response_texts, chat_pairs, outputs_missing, masked_tokens,
         masked_tokens_tail, padded_batches, token_budgets, failures_by_user, corpus_profile, jsonl_round_trip,
-        jsonl_lenient_read, csv_round_trip, csv_row_numbers,
+        jsonl_lenient_read, csv_round_trip, csv_row_numbers, csv_chunk_records, folder_documents, folder_profile,
     )
 } | {
     "chunks_2000_200": _chunks(2000, 200),

@@ -410,5 +410,13 @@ ORACLES: dict[str, str] = {
     "jsonl_round_trip": "SELECT doc_id, text, CASE WHEN lang <> 'de' THEN lang END AS lang, source FROM documents",
     "jsonl_lenient_read": "SELECT CASE WHEN lang = 'fr' THEN 'rejected' ELSE lang END AS lang, count(*) AS n FROM documents GROUP BY 1",
     "csv_round_trip": f"SELECT doc_id, lang, {_strip('text')} AS text FROM documents",
+    "csv_chunk_records": f"""WITH RECURSIVE
+        {_walk(f"SELECT doc_id AS id, {_ROW_TEXT} AS tx FROM documents WHERE length({_ROW_TEXT}) > 10", 2000, 200)}
+      SELECT id AS doc_id, chunk_index, total_chunks, chunk_text FROM pieces""",
+    "folder_documents": f"""SELECT title, text FROM (SELECT CASE WHEN lang = 'en' THEN source ELSE lang END AS title,
+        CASE WHEN lang = 'en' AND length({_strip("text")}) > 20 THEN {_ROW_TEXT}
+          WHEN length({_strip("text")}) > 40 AND length({_strip(_plain("text"))}) > 40 THEN {_clean(_strip(_plain("text")))} ELSE '' END AS text
+        FROM documents) WHERE length(text) > 20""",
+    "folder_profile": """SELECT count(*) AS records, 0::BIGINT AS oversampled, 0::BIGINT AS failed, 0::BIGINT AS typed FROM documents""",
     "csv_row_numbers": "SELECT count(*)::BIGINT AS rows, true AS consecutive FROM documents",
 }

@@ -187,7 +187,7 @@ def prepare_tokens(
     return seen.get["rows"]
 
 
-def profile_folder(spark: SparkSession, path: str) -> DataFrame:
+def profile_folder(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(file, source_type, count, samples, sample, length, error), one row per file of a folder."""
     records, json_rejects = read_json_documents(spark, path)
     texts = F.from_json("record", "map<string,string>", JSON_OPTIONS)

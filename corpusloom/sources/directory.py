@@ -43,7 +43,7 @@ def _unwrap(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(text) for text in texts], columns=["items", "error"])
 
 
-def read_json_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_json_documents(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(records, rejects) of whole-file JSON: a list, an object's first list value, or the object.
 
     The result has (file, row_index, record, total), records as JSON text in file order.
@@ -60,7 +60,7 @@ def read_json_documents(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     return records, rejects
 
 
-def read_text_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_text_files(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(files, rejects): (file, text) of every file that is not JSON, JSONL or CSV."""
     name = F.col("_metadata.file_name")
     files = spark.read.text(path, wholetext=True).where(~F.rlike(name, F.lit(STRUCTURED)))
@@ -105,7 +105,7 @@ def documents_of_rows(rows: DataFrame, html_mode: str = "regex") -> DataFrame:
     return _documents_of(rows.withColumn("strings", strings), title, text)
 
 
-def collect_documents(spark: SparkSession, path: str, html_mode: str = "regex") -> tuple[DataFrame, DataFrame]:
+def collect_documents(spark: SparkSession, path: str | list[str], html_mode: str = "regex") -> tuple[DataFrame, DataFrame]:
     """(documents, rejects) of a folder, not of the folders in it.
 
     Documents are (file, row_index, title, text). A file or line that cannot be
