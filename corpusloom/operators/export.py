@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.nested import JSON_OPTIONS
+from corpusloom.functions.once import let
 from corpusloom.functions.text import as_col
 
 _RESERVED = ("source_id", "original_row", "metadata")
 _FIRST_HEADERS = ("source_id", "merged_output", "original_row")
+_MAX_COLUMNS = 10_000
 
 
 def parse_record(record: Column | str) -> Column:
-    """struct(keys, texts, kinds) of a JSON object: key order, values as text, value types."""
+    """struct(texts, kinds) of a JSON object: values as text in the object's order, value types."""
     record = as_col(record)
     typed = F.from_json(record, "map<string,variant>", JSON_OPTIONS)
     return F.struct(
-        F.json_object_keys(record).alias("keys"),
         F.from_json(record, "map<string,string>", JSON_OPTIONS).alias("texts"),
         F.transform_values(typed, lambda _, value: F.schema_of_variant(value)).alias("kinds"),
     )
@@ -36,7 +37,8 @@ def output_field(parsed: Column, strict: bool = False) -> Column:
     other field, which picks another one where the summary is empty.
     """
     known = fixed.EXPORT_OUTPUT_KEYS if strict else [*fixed.EXPORT_OUTPUT_KEYS, "final_summary"]
-    keys, texts, kinds = parsed["keys"], parsed["texts"], parsed["kinds"]
+    texts, kinds = parsed["texts"], parsed["kinds"]
+    keys = F.map_keys(texts)
     named = F.array_intersect(F.array(*map(F.lit, known)), keys)
     others = F.filter(keys, lambda key: ~key.isin(*_RESERVED) & (kinds[key] == "STRING") & (texts[key] != ""))
     return F.coalesce(F.get(named, 0), F.get(others, 0), F.lit(""))
@@ -64,10 +66,7 @@ def flatten_record(record: Column | str, strict: bool = False) -> Column:
     output; other top-level scalars fill what is left. Nested values become JSON
     text, nulls ''.
     """
-    return F.get(
-        F.transform(F.array(parse_record(record)), lambda parsed: _flatten(parsed, strict)),
-        0,
-    )
+    return let(parse_record(record), lambda parsed: _flatten(parsed, strict))
 
 
 def _flatten(parsed: Column, strict: bool) -> Column:
@@ -84,9 +83,12 @@ def _flatten(parsed: Column, strict: bool) -> Column:
             ~is_object & kind.isNotNull() & (kind != "VOID"), F.create_map(F.lit("original_row"), text)
         )
         original = F.when(is_object, spread).otherwise(F.coalesce(stringified, empty))
+        return let(original, lambda bound: around(field, bound))
+
+    def around(field: Column, original: Column) -> Column:
         head = F.map_filter(
             F.map_concat(
-                F.when(F.array_contains(parsed["keys"], "source_id"),
+                F.when(F.map_contains_key(texts, "source_id"),
                        F.create_map(F.lit("source_id"), F.coalesce(texts["source_id"], F.lit("")))).otherwise(empty),
                 F.create_map(F.lit("merged_output"), F.when(field != "", F.coalesce(texts[field], F.lit(""))).otherwise("")),
             ),
@@ -103,7 +105,7 @@ def _flatten(parsed: Column, strict: bool) -> Column:
         return F.map_concat(head, original, rest)
 
     chosen = F.struct(output_field(parsed, strict).alias("field"), _original(parsed).alias("origin"))
-    return F.get(F.transform(F.array(chosen), build), 0)
+    return let(chosen, build)
 
 
 def header_names(flat: DataFrame, column: str = "flat") -> DataFrame:
@@ -122,5 +124,8 @@ def review_table(flat: DataFrame, headers: list[str] | None = None, column: str
     Only the key names come to the driver: they are the table's columns.
     """
     if headers is None:
-        headers = ordered_headers([row[0] for row in header_names(flat, column).collect()])
+        names = [row[0] for row in header_names(flat, column).limit(_MAX_COLUMNS + 1).collect()]
+        if len(names) > _MAX_COLUMNS:
+            raise ValueError(f"more than {_MAX_COLUMNS} distinct keys: name the columns to export")
+        headers = ordered_headers(names)
     return flat.select(*[F.coalesce(F.col(column)[name], F.lit("")).alias(name) for name in headers])

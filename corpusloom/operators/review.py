@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.models import Embedder, embedded
@@ -48,10 +49,13 @@ def score(
 
 def _metadata(df: DataFrame, name: str) -> Column:
     kind = df.schema["metadata"].dataType if "metadata" in df.columns else None
-    names = getattr(kind, "names", None)
-    if kind is None or (names is not None and name not in names):
+    if isinstance(kind, T.VariantType):
+        value = F.try_variant_get("metadata", f"$.{name}", "string")
+    elif isinstance(kind, T.MapType) or (isinstance(kind, T.StructType) and name in kind.names):
+        value = F.col("metadata")[name].cast("string")
+    else:
         return F.lit("")
-    return F.coalesce(F.col("metadata")[name].cast("string"), F.lit(""))
+    return F.coalesce(value, F.lit(""))
 
 
 def review_rows(scored: DataFrame, sample: int = 0) -> DataFrame:
@@ -83,6 +87,11 @@ def passes_gate(threshold: float = fixed.SIMILARITY_THRESHOLD) -> Column:
 
 
 def training_records(scored: DataFrame, threshold: float = fixed.SIMILARITY_THRESHOLD) -> DataFrame:
+    """(instruction, input, output, metadata) of the examples that pass, '' or {} for what is missing."""
     texts = [F.coalesce(name, F.lit("")).alias(name) for name in ("instruction", "input", "output")]
-    extra = ["metadata"] if "metadata" in scored.columns else []
+    extra = []
+    if "metadata" in scored.columns:
+        nothing = {T.VariantType: F.parse_json(F.lit("{}")), T.MapType: F.create_map()}
+        empty = nothing.get(type(scored.schema["metadata"].dataType), F.lit(None))
+        extra = [F.coalesce("metadata", empty).alias("metadata")]
     return scored.where(passes_gate(threshold)).select(*texts, *extra)

@@ -35,7 +35,7 @@ RESULT_SCHEMA = (
     "chunk_summaries array<string>, final_summary string, source_metadata map<string,string>, "
     f"original_chunk struct<{', '.join(':'.join(field.split(' ', 1)) for field in CHUNK_SCHEMA.split(', '))}>"
 )
-EXAMPLE_SCHEMA = "instruction string, input string, output string, metadata map<string,string>"
+EXAMPLE_SCHEMA = "instruction string, input string, output string, metadata variant"
 
 
 class NothingToDo(ValueError):
@@ -113,7 +113,7 @@ def generate_summaries(
     """Chunk records to chunk and final summaries."""
     chunks = read_jsonl(spark, path, CHUNK_SCHEMA)
     results = summarize_hierarchically(chunks, load, max_gen, limits).drop("ordinal")
-    write_jsonl(results, output)
+    write_jsonl(results, output, keep_nulls=False)
     return run_statistics(spark.read.schema("generation_step string").json(output)).first().asDict()
 
 
@@ -126,7 +126,7 @@ def merge_summaries_per_source(
         raise NothingToDo("No results found in input file")
     merged = merge_results(results, limits).persist()
     shown = merged.drop("part") if merged.where(F.col("part").isNotNull()).isEmpty() else merged
-    write_jsonl(shown, output, order_by=[name for name in ("source_id", "part") if name in shown.columns])
+    write_jsonl(shown, output, order_by=[name for name in ("source_id", "part") if name in shown.columns], keep_nulls=False)
     statistics = merge_statistics(merged).first().asDict()
     merged.unpersist()
     return statistics

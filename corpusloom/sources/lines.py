@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.nested import JSON_OPTIONS, is_json
+from corpusloom.functions.once import let
 from corpusloom.session import spread
 
 _SPLIT = ["file_path", "split_start"]
@@ -72,9 +73,17 @@ def _is_blank() -> Column:
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
-    """Typed records plus ``ordinal``; blank lines do not count, a bad line fails the job."""
+    """Typed records plus ``ordinal``; blank lines do not count, a bad line fails the job.
+
+    Spark's parser ignores what follows a value. Inside a list anything but a
+    closing bracket would be an error, and a line that ends in one is no object.
+    """
     lines = read_lines(spark, path, skip_blank=True)
-    record = F.from_json("value", schema, JSON_OPTIONS | {"mode": "FAILFAST"})
+    in_list = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    parsed = F.from_json(in_list, f"array<struct<{schema}>>", JSON_OPTIONS | {"mode": "FAILFAST"})
+    is_object = F.rlike("value", F.lit(r"\}[\s\x1c-\x1f\x85\p{Z}]*$"))
+    broken = F.raise_error(F.concat(F.lit("malformed JSON line: "), F.substring("value", 1, 200)))
+    record = let(parsed, lambda items: F.when(is_object & (F.size(items) == 1), F.get(items, 0)).otherwise(broken))
     return lines.select(record.alias("_record"), "ordinal").select("_record.*", "ordinal")
 
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_jsonl(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:
-    """One JSON object per line, nulls kept.
+def write_jsonl(df: DataFrame, path: str, order_by: list[str] | None = None, keep_nulls: bool = True) -> None:
+    """One JSON object per line; without ``keep_nulls`` a null field is left out of its object.
 
     ``order_by`` range-partitions and sorts, so that part files in name order are in order.
     """
     ordered = df.orderBy(*order_by) if order_by else df
-    ordered.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    ordered.write.mode("overwrite").option("ignoreNullFields", not keep_nulls).json(path)
 
 
 def write_review_csv(df: DataFrame, path: str, order_by: list[str] | None = None) -> None:

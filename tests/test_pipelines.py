@@ -48,6 +48,7 @@ def test_prepare_generate_merge_export(spark, inputs, tmp_path, capsys):
     results = _jsonl(out["results"])
     assert sum(row["generation_step"] == "final_summary" for row in results) == 2
     assert len(results) == len(chunks) + 2
+    assert all(("final_summary" in row) == (row["generation_step"] == "final_summary") for row in results)
 
     assert run(spark, ["merge", "--input", str(out["results"]), "--output", str(out["merged"])]) == 0
     merged = _jsonl(out["merged"])
@@ -97,7 +98,7 @@ def test_folder_to_examples_and_validation(spark, inputs, tmp_path, capsys):
 def test_review_and_tokens(spark, tmp_path):
     good = "Summary: s\nKey lessons: k\nRecommended actions: r"
     examples = [
-        {"instruction": "i", "input": "in", "output": good, "metadata": {"generated_by": "m"}},
+        {"instruction": "i", "input": "in", "output": good, "metadata": {"generated_by": "m", "chunk_index": 0}},
         {"instruction": "i", "input": "in", "output": "nothing"},
         {"input": None, "output": good.upper()},
         {"instruction": "i", "input": "in"},
@@ -110,6 +111,7 @@ def test_review_and_tokens(spark, tmp_path):
     assert [row["idx"] for row in rows] == ["0", "1", "2", "3"] and rows[0]["generated_by"] == "m"
     train = _jsonl(tmp_path / "t")
     assert [row["output"] for row in train] == [good, good.upper()] and train[1]["instruction"] == ""
+    assert [row["metadata"] for row in train] == [{"generated_by": "m", "chunk_index": 0}, {}]
     assert run(spark, ["review", "--input", str(source), "--review", str(tmp_path / "r2"), "--train", str(tmp_path / "t2"), "--sample", "1", "--required-headings", ""]) == 0
     assert len(_csv(tmp_path / "r2")) == 1 and len(_jsonl(tmp_path / "t2")) == 3
     assert run(spark, ["tokens", "--train_file", str(tmp_path / "t"), "--output", str(tmp_path / "k"), "--cutoff_len", "16"]) == 0

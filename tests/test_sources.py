@@ -80,8 +80,10 @@ def test_jsonl_readers(spark, tmp_path):
     records, rejects = read_jsonl_lenient(spark, str(path))
     assert {(row["line_number"], row["record"]) for row in records.collect()} == {(1, '{"a":"1"}'), (5, '"text"')}
     assert {row["line_number"] for row in rejects.collect()} == {3, 4}
-    with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
-        read_jsonl(spark, str(path), "a string").collect()
+    for bad in ('{"a":"1"}\n{"a":', '{"a":"1"}}', '{"a":"1"}]', '{"a":"1"} {"a":"2"}', '{"a":"1"},{"a":"2"}', "words"):
+        path.write_text(bad + "\n")
+        with pytest.raises(Exception, match="MALFORMED|malformed|Malformed"):
+            read_jsonl(spark, str(path), "a string").select("a").collect()
 
 
 def test_parquet_ordinal(spark, tmp_path):
