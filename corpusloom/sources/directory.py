@@ -16,7 +16,7 @@ from corpusloom.functions.text import clean_text, non_empty
 from corpusloom.operators.documents import record_text
 from corpusloom.operators.export import parse_record
 from corpusloom.sources.csv_rows import read_csv_rows
-from corpusloom.sources.lines import read_jsonl_lenient
+from corpusloom.sources.lines import file_name, read_jsonl_lenient
 
 STRUCTURED = r"(?i)\.(json|jsonl|csv)$"
 
@@ -50,7 +50,7 @@ def read_json_documents(spark: SparkSession, path: str | list[str]) -> tuple[Dat
     """
     files = spark.read.option("pathGlobFilter", "*.[jJ][sS][oO][nN]").text(path, wholetext=True)
     valid = F.when(F.is_valid_utf8("value"), F.col("value"))
-    parsed = files.select(F.col("_metadata.file_name").alias("file"), _unwrap(valid).alias("parsed"))
+    parsed = files.select(file_name().alias("file"), _unwrap(valid).alias("parsed"))
     records = parsed.select(
         "file",
         F.size("parsed.items").alias("total"),
@@ -62,9 +62,8 @@ def read_json_documents(spark: SparkSession, path: str | list[str]) -> tuple[Dat
 
 def read_text_files(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """(files, rejects): (file, text) of every file that is not JSON, JSONL or CSV."""
-    name = F.col("_metadata.file_name")
-    files = spark.read.text(path, wholetext=True).where(~F.rlike(name, F.lit(STRUCTURED)))
-    files = files.select(name.alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).where(~F.rlike("_metadata.file_name", F.lit(STRUCTURED)))
+    files = files.select(file_name().alias("file"), "value")
     texts = files.where(F.is_valid_utf8("value")).select("file", F.col("value").alias("text"))
     rejects = files.where(~F.is_valid_utf8("value")).select("file", F.lit("not valid UTF-8").alias("error"))
     return texts, rejects

@@ -17,6 +17,11 @@ from corpusloom.session import spread
 _SPLIT = ["file_path", "split_start"]
 
 
+def file_name() -> Column:
+    """Plain name of the file a row comes from; Spark's metadata has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _number(rows: DataFrame) -> DataFrame:
     """Adds ``line_number`` (1-based, per file) and ``ordinal`` (0-based, over all files in path order)."""
     splits = rows.groupBy(*_SPLIT).agg(F.count("*").alias("n"), F.min("_row").alias("_first"))
@@ -45,7 +50,7 @@ def read_lines(
     lines = lines.where(~_is_blank()) if skip_blank else lines
     rows = lines.select(
         F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.file_name").alias("file"),
+        file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("_row"),
         "value",

@@ -107,14 +107,14 @@ def test_writers(spark, tmp_path):
 
 def test_folder_of_everything(spark, tmp_path):
     text = "long enough to be a document of its own"
-    (tmp_path / "list.json").write_text(json.dumps([{"title": "L", "full_text": text}, "no record", {"full_text": "short"}]))
+    (tmp_path / "a list.json").write_text(json.dumps([{"title": "L", "full_text": text}, "no record", {"full_text": "short"}]))
     (tmp_path / "wrapped.JSON").write_text(json.dumps({"n": 1, "items": [{"name": "W", "full_text": text}], "later": [{"full_text": "no " * 20}]}))
     (tmp_path / "single.json").write_text(json.dumps({"full_text": text}))
     (tmp_path / "broken.json").write_text("{")
     (tmp_path / "scalar.json").write_text("5")
     (tmp_path / "lines.jsonl").write_text(json.dumps({"full_text": text, "title": "1"}) + "\n{bad\n" + json.dumps({"text": "t" * 41}) + "\n")
     (tmp_path / "rows.csv").write_text(f"title,full_text\nC,{text}\nD,short\n")
-    (tmp_path / "notes.md").write_text("# Notes\r\n\r\nwith a body of text")
+    (tmp_path / "my notes+1%20.md").write_text("# Notes\r\n\r\nwith a body of text")
     (tmp_path / "no_suffix").write_text("also read as a text file")
     (tmp_path / "tiny.txt").write_text("tiny")
     (tmp_path / "image.png").write_bytes(b"\x89PNG\xff\xfe" * 10)
@@ -123,13 +123,13 @@ def test_folder_of_everything(spark, tmp_path):
     (tmp_path / "inner" / "deep.txt").write_text("files in folders inside are not read")
     documents, rejects = collect_documents(spark, str(tmp_path))
     assert {(row["file"], row["title"], row["text"]) for row in documents.collect()} == {
-        ("list.json", "L", text),
+        ("a list.json", "L", text),
         ("wrapped.JSON", "W", text),
         ("single.json", "", text),
         ("lines.jsonl", "1", text),
         ("lines.jsonl", "", "t" * 41),
         ("rows.csv", "C", text),
-        ("notes.md", "notes", "# Notes\n\nwith a body of text"),
+        ("my notes+1%20.md", "my notes+1%20", "# Notes\n\nwith a body of text"),
         ("no_suffix", "no_suffix", "also read as a text file"),
     }
     assert {row["file"] for row in rejects.collect()} == {"broken.json", "scalar.json", "lines.jsonl", "image.png", "bad.txt"}
