@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom.functions.classify import is_error
 from corpusloom.functions.sentences import dedup_text, distinct_sentences, join_sentences, merge_summaries
@@ -13,7 +14,6 @@ from corpusloom.operators.groups import GroupLimits, Oversized, oversized_source
 from corpusloom.operators.similar_sets import first_distinct
 
 _FINAL_FIELDS = ("total_chunks", "chunk_summaries", "final_summary", "source_metadata")
-_AT = "struct<chunk_index:int,ordinal:bigint>"
 
 
 def last_per_key(df: DataFrame, keys: list[str], order: Column | str, *fields: str) -> DataFrame:
@@ -34,7 +34,7 @@ def merge_results(results: DataFrame, limits: GroupLimits = GroupLimits()) -> Da
     rows = results.select(
         source_key().alias("source_id"),
         (step == FINAL_STEP).alias("is_final"),
-        position().cast(_AT).alias("at"),
+        position().alias("at"),
         F.col("ordinal"),
         F.struct(*_FINAL_FIELDS).alias("final"),
         F.coalesce("chunk_summary", F.lit("")).alias("summary"),
@@ -48,11 +48,11 @@ def merge_results(results: DataFrame, limits: GroupLimits = GroupLimits()) -> Da
     return _merge_ordinary(ordinary).unionByName(_merge_large(large, oversized))
 
 
-def _record(df: DataFrame, part: Column, text: Column) -> DataFrame:
+def _record(df: DataFrame, part: Column, text: Column, part_type: T.DataType) -> DataFrame:
     metadata = F.coalesce("source_metadata", F.create_map().cast("map<string,string>"))
     return df.select(
         "source_id",
-        part.cast(_AT).alias("part"),
+        part.cast(part_type).alias("part"),
         F.coalesce("total_chunks", F.lit(0)).alias("total_chunks"),
         text.alias("final_summary"),
         F.coalesce("chunk_summaries", F.array().cast("array<string>")).alias("chunk_summaries"),
@@ -65,7 +65,7 @@ def _record(df: DataFrame, part: Column, text: Column) -> DataFrame:
 def _merge_ordinary(rows: DataFrame) -> DataFrame:
     is_final = F.col("is_final")
     grouped = rows.groupBy("source_id").agg(
-        F.max_by("final", F.when(is_final, F.coalesce("ordinal", F.lit(0)))).alias("final"),
+        F.max_by("final", F.when(is_final, F.struct("ordinal"))).alias("final"),
         F.array_sort(F.collect_list(F.when(~is_final, F.struct("at", "summary")))).alias("items"),
         F.min_by("row", F.when(~is_final, F.col("at"))).alias("row"),
     )
@@ -78,7 +78,7 @@ def _merge_ordinary(rows: DataFrame) -> DataFrame:
         F.when(rebuild, F.col("row")).otherwise(F.col("final.source_metadata")).alias("source_metadata"),
         F.when(rebuild, summaries).otherwise(F.array("final.final_summary")).alias("texts"),
     )
-    return _record(chosen, F.lit(None), merge_summaries("texts"))
+    return _record(chosen, F.lit(None), merge_summaries("texts"), rows.schema["at"].dataType)
 
 
 def _merge_large(rows: DataFrame, oversized: Oversized) -> DataFrame:
@@ -86,9 +86,10 @@ def _merge_large(rows: DataFrame, oversized: Oversized) -> DataFrame:
 
     The metadata of a source, which may hold its whole text, goes with its first part only.
     """
-    finals = last_per_key(rows.where("is_final"), ["source_id"], F.coalesce("ordinal", F.lit(0)), "final")
+    finals = last_per_key(rows.where("is_final"), ["source_id"], F.struct("ordinal"), "final")
     finals = finals.where(non_empty("final.final_summary").isNotNull()).select("source_id", "final.*")
-    ready = _record(finals, F.lit(None), dedup_text("final_summary"))
+    part_type = rows.schema["at"].dataType
+    ready = _record(finals, F.lit(None), dedup_text("final_summary"), part_type)
 
     finished = oversized.per_source(finals.select("source_id"))
     chunks = rows.where(~F.col("is_final")).join(finished, "source_id", "left_anti")
@@ -120,7 +121,7 @@ def _merge_large(rows: DataFrame, oversized: Oversized) -> DataFrame:
         F.when(F.col("at") == F.col("first"), F.col("row")).alias("source_metadata"),
         F.coalesce("sentences", F.array().cast("array<string>")).alias("sentences"),
     )
-    return ready.unionByName(_record(parts, F.col("at"), join_sentences("sentences")))
+    return ready.unionByName(_record(parts, F.col("at"), join_sentences("sentences"), part_type))
 
 
 def merge_statistics(merged: DataFrame) -> DataFrame:

@@ -157,7 +157,7 @@ def prepare_review(
     sample: int = 0,
 ) -> int:
     """Generated examples to a review CSV and the training records that pass the gate."""
-    examples = read_jsonl(spark, path, EXAMPLE_SCHEMA).withColumnRenamed("ordinal", "idx")
+    examples = read_jsonl(spark, path, EXAMPLE_SCHEMA, numbered=True).withColumnRenamed("ordinal", "idx")
     scored = score(examples, headings, load_embedder)
     if load_embedder:  # worth keeping for the second output; the headings are not
         scored = scored.persist()
@@ -178,7 +178,7 @@ def prepare_tokens(
     batch_size: int | None = None,
 ) -> int:
     """Training records to token arrays (Parquet), padded per batch if a batch size is given."""
-    examples = require_outputs(load_examples(read_jsonl(spark, path, EXAMPLE_SCHEMA)))
+    examples = require_outputs(load_examples(read_jsonl(spark, path, EXAMPLE_SCHEMA, numbered=batch_size is not None)))
     tokens = tokenize_examples(examples, tokenizer, max_length, response_max, ("ordinal",))
     if batch_size:
         tokens = pad_batches(tokens, batch_size, idx="ordinal")
@@ -193,8 +193,7 @@ def profile_folder(spark: SparkSession, path: str | list[str]) -> DataFrame:
     texts = F.from_json("record", "map<string,string>", JSON_OPTIONS)
     sample = F.when(texts.isNull(), F.substring("record", 1, fixed.PROFILE_ITEM)).otherwise(record_sample(texts))
     lines, line_rejects = read_jsonl_lenient(spark, path, glob="*.[jJ][sS][oO][nN][lL]")
-    lines = lines.select("file", F.col("line_number").alias("row_index"), "record")
-    structured = profile_records(records.select("file", "row_index", "record").unionByName(lines), sample)
+    structured = profile_records(records, sample).unionByName(profile_records(lines, sample, order="ordinal"))
     csv_rows, csv_rejects = read_csv_rows(spark, path, trim=False)
     tables = profile_records(csv_rows, record_sample("row"))
     files, text_rejects = read_text_files(spark, path)

@@ -107,24 +107,25 @@ def documents_of_rows(rows: DataFrame, html_mode: str = "regex") -> DataFrame:
 def collect_documents(spark: SparkSession, path: str | list[str], html_mode: str = "regex") -> tuple[DataFrame, DataFrame]:
     """(documents, rejects) of a folder, not of the folders in it.
 
-    Documents are (file, row_index, title, text). A file or line that cannot be
-    read becomes a reject and disturbs no other.
+    Documents are (file, title, text). A file or line that cannot be read becomes
+    a reject and disturbs no other.
     """
     json_records, json_rejects = read_json_documents(spark, path)
     json_lines, line_rejects = read_jsonl_lenient(spark, path, glob="*.[jJ][sS][oO][nN][lL]")
     csv_rows, csv_rejects = read_csv_rows(spark, path, trim=False)
     text_files, text_rejects = read_text_files(spark, path)
 
-    lines = json_lines.withColumn("row_index", F.col("line_number") - 1)
+    lines = json_lines.withColumnRenamed("ordinal", "row_index")
     texts = text_files.where(F.length("text") > fixed.DOCUMENT_TEXT_MIN).select(
-        "file", F.lit(0).alias("row_index"), file_stem("file").alias("title"), clean_text("text").alias("text")
-    )
-    documents = (
-        documents_of_records(json_records, html_mode)
-        .unionByName(documents_of_records(lines, html_mode))
-        .unionByName(documents_of_rows(csv_rows, html_mode))
-        .unionByName(texts)
+        "file", file_stem("file").alias("title"), clean_text("text").alias("text")
     )
+    documents = texts
+    for found in (
+        documents_of_records(json_records, html_mode),
+        documents_of_records(lines, html_mode),
+        documents_of_rows(csv_rows, html_mode),
+    ):
+        documents = documents.unionByName(found.drop("row_index"))
     bad_lines = line_rejects.select(
         "file", F.concat(F.lit("invalid JSON in line "), F.col("line_number").cast("string")).alias("error")
     )

@@ -1,8 +1,10 @@
-"""Line-oriented files with line numbers and input ordinals, without a global sort.
+"""Line-oriented files in input order, without a global sort.
 
-Text files are split between tasks. Inside a split Spark numbers rows in order, so
-a line's number is its place in the split plus the lines of the splits before it.
-Only one small row per split takes part in that sum; the lines are not shuffled.
+Text files are split between tasks, and inside a split Spark numbers rows in
+order. (file, split, row) therefore orders all lines, at no cost. Where lines need
+consecutive numbers, a line's number is its place in the split plus the lines of
+the splits before it: one more pass to count, one small row per split to sum up,
+no shuffle of the lines.
 """
 
 from __future__ import annotations
@@ -42,9 +44,17 @@ def _number(rows: DataFrame) -> DataFrame:
 
 
 def read_lines(
-    spark: SparkSession, path: str | list[str], glob: str | None = None, skip_blank: bool = False
+    spark: SparkSession,
+    path: str | list[str],
+    glob: str | None = None,
+    skip_blank: bool = False,
+    numbered: bool = True,
 ) -> DataFrame:
-    """(file_path, file, value, line_number, ordinal) of the lines; skipped lines are not counted."""
+    """(file_path, file, value, line_number, ordinal) of the lines; skipped lines are not counted.
+
+    Not ``numbered``, lines come without ``line_number``, and ``ordinal`` is a
+    struct that orders them.
+    """
     reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     lines = reader.text(path)
     lines = lines.where(~_is_blank()) if skip_blank else lines
@@ -55,7 +65,10 @@ def read_lines(
         F.monotonically_increasing_id().alias("_row"),
         "value",
     )
-    return _number(rows)
+    if numbered:
+        return _number(rows)
+    order = F.struct("file_path", "split_start", F.col("_row").alias("row"))
+    return rows.withColumn("ordinal", order).drop("split_start", "_row")
 
 
 def parquet_ordinal(df: DataFrame) -> DataFrame:
@@ -77,13 +90,13 @@ def _is_blank() -> Column:
     return F.rlike("value", F.lit(r"^[\s\x1c-\x1f\x85\p{Z}]*$"))
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, numbered: bool = False) -> DataFrame:
     """Typed records plus ``ordinal``; blank lines do not count, a bad line fails the job.
 
     Spark's parser ignores what follows a value. Inside a list anything but a
     closing bracket would be an error, and a line that ends in one is no object.
     """
-    lines = read_lines(spark, path, skip_blank=True)
+    lines = read_lines(spark, path, skip_blank=True, numbered=numbered)
     in_list = F.concat(F.lit("["), F.col("value"), F.lit("]"))
     parsed = F.from_json(in_list, f"array<struct<{schema}>>", JSON_OPTIONS | {"mode": "FAILFAST"})
     is_object = F.rlike("value", F.lit(r"\}[\s\x1c-\x1f\x85\p{Z}]*$"))
@@ -95,8 +108,9 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: str) -> DataF
 def read_jsonl_lenient(
     spark: SparkSession, path: str | list[str], glob: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(records as JSON text, rejected lines with their numbers)."""
-    lines = read_lines(spark, path, glob).where(~_is_blank())
+    """(records as JSON text, rejected lines with their numbers); only the rejects pay for numbers."""
     valid = is_json("value")
-    records = lines.where(valid).select("file", "line_number", "ordinal", F.col("value").alias("record"))
-    return records, lines.where(~valid).select("file", "line_number", "value")
+    lines = read_lines(spark, path, glob, numbered=False).where(~_is_blank())
+    rejects = read_lines(spark, path, glob).where(~_is_blank() & ~valid)
+    records = lines.where(valid).select("file", "ordinal", F.col("value").alias("record"))
+    return records, rejects.select("file", "line_number", "value")
