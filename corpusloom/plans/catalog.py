@@ -414,12 +414,14 @@ def response_texts(spark, sf_dir):
     text = F.col("text")
     nothing = F.lit(None).cast("string")
     chat = F.struct(F.array(F.struct(F.struct(F.concat(F.lit("  "), text).alias("content")).alias("message"))).alias("choices"))
+    no_text = F.struct(nothing.alias("generated_text"), F.lit(1).alias("other"))
+    late = F.struct(text.alias("generated_text"), nothing.cast("int").alias("other"))
     turn = F.col("turn")
     response = (
         F.when(turn == 0, F.to_json(F.struct(text.alias("response"))))
         .when(turn == 1, F.to_json(chat))
         .when(turn == 2, F.to_json(F.struct(F.array(F.struct(text.alias("text"))).alias("choices"))))
-        .when(turn == 3, F.to_json(F.array(F.struct(nothing.alias("generated_text"), F.lit(1).alias("other")), F.struct(text.alias("generated_text"), nothing.cast("int").alias("other")))))
+        .when(turn == 3, F.to_json(F.array(no_text, late)))
         .when(turn == 4, F.to_json(F.struct(F.lit(" ").alias("response"), text.alias("text"))))
         .when(turn == 5, F.to_json(F.struct(F.array(F.lit(1)).alias("choices"), text.alias("result"))))
         .when(turn == 6, text)
