@@ -6,8 +6,8 @@ columns stand for the operator's input. Every query reads its tables whole.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ from corpusloom.operators.review import input_output_similarity, missing_heading
 from corpusloom.operators.rows import chunk_source_text, column_fields, rows_to_examples
 from corpusloom.operators.training import empty_outputs, load_examples, pad_batches, tokenize_examples
 from corpusloom.plans.pipelines import profile_folder
-from corpusloom.session import spread
+from corpusloom.session import shared_folder, spread
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.directory import collect_documents, documents_of_records, documents_of_rows
 from corpusloom.sources.lines import parquet_ordinal, read_jsonl, read_jsonl_lenient
@@ -498,13 +498,8 @@ def corpus_profile(spark, sf_dir):
 
 
 def _scratch(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach: under the cluster's shared one, if it names any."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        return tempfile.mkdtemp(prefix="corpusloom-")
-    from uuid import uuid4
-
-    return f"{shared}/corpusloom-{uuid4().hex}"
+    """A fresh folder every executor can reach."""
+    return f"{shared_folder(spark)}/corpusloom-{uuid4().hex}"
 
 
 def jsonl_round_trip(spark, sf_dir):

@@ -25,17 +25,29 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint, so that lost executors never force a rebuild.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder all nodes see: the one ``spark.checkpoint.dir`` names.
 
-    The folder is the shared one the cluster names in ``spark.checkpoint.dir``;
-    a scratch folder is used only where that setting is absent (local tests).
+    Where it is unset, a scratch folder serves a local master only; on a cluster
+    other nodes could not read it, so that is an error.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    named = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if not master.startswith("local[") and master != "local":
+        raise ValueError(f"set spark.checkpoint.dir to a folder all nodes of {master} share")
+    made = tempfile.mkdtemp(prefix="corpusloom-shared-")
+    spark.sparkContext.setCheckpointDir(made)
+    return made
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder, so that lost executors never force a rebuild."""
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusloom-checkpoint-"))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
