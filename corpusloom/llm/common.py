@@ -70,3 +70,10 @@ def small_side(rows: DataFrame, bound: int) -> DataFrame:
     For stored rows of fixed width. Results are the same either way.
     """
     return F.broadcast(rows) if rows.limit(bound + 1).count() <= bound else rows
+
+
+def slices(batches, rows: int = 256):
+    """Arrow batches in slices, so that few whole texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import small_side, whole_text, worker_state
+from corpusloom.llm.common import slices, small_side, whole_text, worker_state
 from corpusloom.llm.components import smallest_members
 from corpusloom.session import cut_lineage
 
@@ -33,7 +33,8 @@ TARGET_RECALL = 0.9999
 LEAF = 256
 CHILDREN = 4
 LEVELS = 2
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 250_000
+_SLICE_TOKENS = 200_000
 _BROADCAST_ROWS = 300_000
 
 
@@ -83,7 +84,7 @@ def runs_for(threshold: float, recall: float) -> int:
 def _signer(width: int, seeds: np.ndarray):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_state("word_hashes", _WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             keys, marks = [], []
             for text in batch.column(3).to_pylist():
                 runs = shingle_set(text, hashes, width)
@@ -98,7 +99,7 @@ def _signer(width: int, seeds: np.ndarray):
 def _shingler(width: int):
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_state("word_hashes", _WordHashes)
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.names.index("_text")
             sets = [shingle_set(text, hashes, width).tobytes() for text in batch.column(at).to_pylist()]
             names = [name for name in batch.schema.names if name != "_text"]
@@ -160,23 +161,31 @@ def _needed(leaves: DataFrame) -> DataFrame:
 
 
 def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of every set on the left with every one on the right."""
+    """Sizes of the intersections of every set on the left with every one on the right.
+
+    The sets are sorted, so equal ranges of hashes are cut out of all of them in turn
+    and memory stays bounded whatever their sizes.
+    """
     sets = left + right
-    tokens = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    values, column, times = np.unique(tokens, return_inverse=True, return_counts=True)
-    keep = times[column] > 1
-    number = np.cumsum(times > 1) - 1
-    column, owner = number[column[keep]], owner[keep]
     out = np.zeros((len(left), len(right)), np.float32)
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    width = 8192
-    for begin in range(0, int(number[-1]) + 1 if len(values) else 0, width):
-        a, b = np.searchsorted(column, (begin, begin + width))
-        block = np.zeros((len(sets), width), np.float32)
-        block[owner[a:b], column[a:b] - begin] = 1
-        out += block[: len(left)] @ block[len(left) :].T
+    parts = 1 << max(0, (sum(map(len, sets)) // _SLICE_TOKENS).bit_length())
+    edges = [np.uint64(k * (2**64 // parts)) for k in range(1, parts)]
+    cuts = [np.concatenate(([0], np.searchsorted(one, edges), [len(one)])) for one in sets]
+    for part in range(parts):
+        cut = [one[c[part] : c[part + 1]] for one, c in zip(sets, cuts)]
+        owner = np.repeat(np.arange(len(sets)), [len(one) for one in cut])
+        _, column, times = np.unique(np.concatenate(cut), return_inverse=True, return_counts=True)
+        keep = times[column] > 1
+        number = np.cumsum(times > 1) - 1
+        column, owner = number[column[keep]], owner[keep]
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        width = 4096
+        for begin in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            a, b = np.searchsorted(column, (begin, begin + width))
+            block = np.zeros((len(sets), width), np.float32)
+            block[owner[a:b], column[a:b] - begin] = 1
+            out += block[: len(left)] @ block[len(left) :].T
     return np.rint(out).astype(np.int64)
 
 
@@ -196,7 +205,9 @@ def _verifier(threshold: float):
     names = ["key", "links", "root"]
 
     def verify(group: pa.Table) -> pa.Table:
-        rows = {(row["side"], row["key"]): row for row in group.to_pylist()}
+        # The sets stay in the Arrow buffers.
+        buffers = [one.as_buffer() for one in group.column("runs")]
+        rows = {(row["side"], row["key"]): row | {"runs": b} for row, b in zip(group.drop_columns("runs").to_pylist(), buffers)}
         rows = [rows[at] for at in sorted(rows)]
         same = rows[0]["i"] == rows[0]["j"]
         left = [row for row in rows if row["side"] == rows[0]["i"]]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import whole_text
+from corpusloom.llm.common import slices, whole_text
 from corpusloom.llm.token_ids import text_ids, with_end
 
 CAPACITY = 4096
@@ -122,7 +122,7 @@ def _packer(tokenizer: str, capacity: int, end_id: int, names: list[str]):
             number, held = number + 1, held + offset
 
         seen = 0
-        for batch in batches:
+        for batch in slices(batches):
             kind = batch.column(0).type
             ids_of = encoder.batch(batch.column(1).to_pylist())
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of):

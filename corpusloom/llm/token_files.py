@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import small_side, whole_text
+from corpusloom.llm.common import slices, small_side, whole_text
 from corpusloom.llm.token_ids import text_ids, with_end
 
 END_ID = 1
@@ -46,7 +46,7 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> b
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_ids(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             rows = [with_end(ids, end_id).tobytes() for ids in encoder.batch(batch.column(0).to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
 
@@ -65,7 +65,7 @@ def _frames(tokenizer: str, dictionary: bytes, end_id: int):
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = text_ids(tokenizer)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
-        for batch in batches:
+        for batch in slices(batches):
             counts, frames = [], []
             for ids in encoder.batch(batch.column(1).to_pylist()):
                 ids = with_end(ids, end_id)
@@ -93,7 +93,7 @@ def _blocks(digest: str, width: int):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)], names)
 
         kind = pa.int64()
-        for batch in batches:
+        for batch in slices(batches):
             kind = batch.column(0).type
             for doc, count, frame in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 docs.append(doc)
@@ -183,7 +183,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     each = _decoded(digest, dictionary)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             doc_kind = batch.schema.field("doc_ids").type.value_type
             for row in batch.to_pylist():
                 docs, within, counts, ids, at = [], [], [], [], 0

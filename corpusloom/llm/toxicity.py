@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, whole_text
+from corpusloom.llm.common import bounded_sample, slices, whole_text
 
 SIZES = (4, 5, 6)
 BUCKET_BITS = 20
@@ -77,7 +77,7 @@ class ToxicityModel:
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each class with each n-gram, summed over the task."""
     counts = np.zeros((2, 1 << BUCKET_BITS), dtype=np.int32)
-    for batch in batches:
+    for batch in slices(batches):
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             counts[label, np.unique(gram_buckets(text))] += 1
     seen = np.flatnonzero(counts.any(axis=0))
@@ -92,7 +92,7 @@ def _chosen_grams(chosen: np.ndarray):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
         place[chosen] = np.arange(len(chosen))
-        for batch in batches:
+        for batch in slices(batches):
             rows = [place[np.unique(gram_buckets(text))] for text in batch.column(1).to_pylist()]
             rows = [row[row >= 0] for row in rows]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["label", "grams"])
