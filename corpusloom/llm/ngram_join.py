@@ -36,6 +36,7 @@ LEVELS = 2
 _WORDS_KEPT = 250_000
 _SLICE_TOKENS = 200_000
 _BROADCAST_ROWS = 300_000
+_BROADCAST_SETS = 100_000
 
 
 class _WordHashes(dict):
@@ -118,7 +119,8 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     rows = classes.select("key", "marks", F.explode(starts).alias("b")).select("key", "marks", "b.order", "b.bucket")
     done = None
     for level in range(LEVELS + 1):
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+        # Stored before the join, so that Spark can split the rows of a large bucket over tasks.
+        sizes = cut_lineage(rows.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1))
         rows = cut_lineage(rows.join(sizes, "bucket"))
         large = rows.where(F.col("n") > LEAF)
         if level == LEVELS or large.isEmpty():
@@ -156,6 +158,7 @@ def _needed(leaves: DataFrame) -> DataFrame:
     shared = each.select(F.col("at.leaf").alias("leaf"), F.col("at.n").alias("n"), earlier.alias("e"))
     known = shared.groupBy("leaf", "n", "e.leaf").agg(F.count("*").alias("members")).where(F.col("members") == F.col("n"))
     known = known.toDF("leaf", "n", "earlier", "members").select("leaf").distinct()
+    known = small_side(cut_lineage(known), _BROADCAST_ROWS)
     left = each.select("key", "met", "at", F.col("at.leaf").alias("leaf")).join(known, "leaf", "left_anti")
     return left.groupBy("key").agg(F.first("met").alias("met"), F.collect_list("at").alias("todo"))
 
@@ -288,8 +291,9 @@ def similar_documents(
     needed = cut_lineage(needed.join(classes.select("key", "weight", "one"), "key"))
     needed = needed.select(F.col("one.doc_id").alias("_id"), F.col("one.t1").alias("_t1"), F.col("one.t2").alias("_t2"),
                            "key", "weight", "met", "todo")
+    needed_side = small_side(needed, _BROADCAST_SETS)
     same_row = rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
-    wanted = rows.join(small_side(needed, _BROADCAST_ROWS), same_row).select("key", "weight", "met", "todo", "_text")
+    wanted = rows.join(needed_side, same_row).select("key", "weight", "met", "todo", "_text")
     with_runs = T.StructType([*wanted.drop("_text").schema.fields, T.StructField("runs", T.BinaryType())])
     sets = wanted.mapInArrow(_shingler(width), with_runs)
 
