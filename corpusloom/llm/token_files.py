@@ -58,7 +58,11 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> b
 
 
 def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
-    return zstandard.ZstdCompressionDict(data) if data else None
+    if not data:
+        return None
+    made = zstandard.ZstdCompressionDict(data)
+    made.precompute_compress(level=LEVEL)  # else every frame would digest it anew
+    return made
 
 
 def _frames(tokenizer: str, dictionary: bytes, end_id: int):

@@ -1,20 +1,25 @@
 """Ids of whole texts inside Python workers.
 
 A tokenizer that drops white space and never joins across it gives each word the
-same ids in any text, so ids are kept per word and worker; the store is emptied
-when it is full, which costs time and changes nothing.
+same ids in any text, so ids are kept per word and worker, as many as fit in two
+stores of a fixed size.
 """
 
 from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 
 import numpy as np
 
 from corpusloom.llm.common import worker_state
 
-_WORDS_KEPT = 400_000
+_WORDS_KEPT = 500_000
+_WORDS_A_TEXT = 500
+# Runs of these after a letter are tokens of their own in the pattern that is asked for below.
+_TRAILING = b".,!?;:#$%&*|"
+_LETTERS_APART = (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+")
 
 
 class TextIds:
@@ -26,32 +31,96 @@ class TextIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.by_word = _splits_at_white_space(json.loads(self.tokenizer.to_str()))
-        self.words: dict[bytes, bytes] = {}
+        settings = json.loads(self.tokenizer.to_str())
+        self.by_word = _splits_at_white_space(settings)
+        self.punctuation_apart = self.by_word and set(_LETTERS_APART) <= set(_pattern(settings).split("|"))
+        suffix = settings["model"].get("end_of_word_suffix")
+        self.last_of_word = None
+        if self.punctuation_apart and suffix:
+            self.last_of_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+            self.last_of_word[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
+        # Words of now and of the time before; a word still in use moves over.
+        self.now: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _encoded(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, dtype=self.dtype).tobytes() for one in made]
 
+    def _words_encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words; runs of plain letters go in one text, whose ids say where each word ends."""
+        plain, other = [], []
+        for word in words:
+            text = word.decode()
+            (plain if self.last_of_word is not None and text.isalpha() and max(text) < "\u0250" else other).append(text)
+        made = dict(zip(other, self._encoded(other)))
+        for at in range(0, len(plain), _WORDS_A_TEXT):
+            part = plain[at : at + _WORDS_A_TEXT]
+            ids = np.frombuffer(self._encoded([" ".join(part)])[0], self.dtype)
+            ends = (np.flatnonzero(self.last_of_word[ids]) + 1) * self.dtype.itemsize
+            if len(ends) != len(part):
+                raise ValueError("a word of letters was not encoded as one")
+            data, begin = ids.tobytes(), 0
+            for text, end in zip(part, ends.tolist()):
+                made[text] = data[begin:end]
+                begin = end
+        return {text.encode(): ids for text, ids in made.items()}
+
+    def _core(self, word: bytes) -> bytes:
+        """The word without punctuation at its end, where a letter stands before that."""
+        core = word.rstrip(_TRAILING)
+        if not self.punctuation_apart or not core or core == word:
+            return word
+        last = core[-4:].decode(errors="ignore")[-1:]
+        return core if last.isalpha() and ord(last) < 0x250 else word
+
+    def _learn(self, words: set[bytes]) -> None:
+        now, unknown, cut = self.now, set(), []
+        for word in words:
+            known = self.before.get(word)
+            if known is not None:
+                now[word] = known
+                continue
+            core = self._core(word)
+            if core == word:
+                unknown.add(word)
+            else:
+                cut.append((word, core))
+                unknown.update(part for part in (core, word[len(core) :]) if part not in now)
+        now.update(self._words_encoded(list(unknown)))
+        for word, core in cut:
+            now[word] = now[core] + now[word[len(core) :]]
+
     def batch(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; a missing text has none."""
         if not self.by_word:
             return [np.frombuffer(b, self.dtype) for b in self._encoded([text or "" for text in texts])]
-        out = []
-        for text in texts:
-            # Splits at exactly the six ASCII white-space bytes.
-            words = (text or "").encode().split()
-            known = self.words
-            ids = list(map(known.get, words))
-            if None in ids:
-                new = list({word for word, one in zip(words, ids) if one is None})
-                if len(known) + len(new) > _WORDS_KEPT:
-                    known.clear()
-                fresh = dict(zip(new, self._encoded([word.decode() for word in new])))
-                ids = [one if one is not None else fresh[word] for word, one in zip(words, ids)]
-                known.update(fresh)
-            out.append(np.frombuffer(b"".join(ids), self.dtype))
-        return out
+        # Splits at exactly the six ASCII white-space bytes.
+        words = [(text or "").encode().split() for text in texts]
+        if len(self.now) > _WORDS_KEPT:
+            self.now, self.before = {}, self.now
+        ids = [list(map(self.now.get, each)) for each in words]
+        gaps = [(at, place) for at, each in enumerate(ids) for place in _places_of_none(each)]
+        if gaps:
+            self._learn({words[at][place] for at, place in gaps})
+            for at, place in gaps:
+                ids[at][place] = self.now[words[at][place]]
+        return [np.frombuffer(b"".join(each), self.dtype) for each in ids]
+
+
+def _places_of_none(values: list) -> Iterator[int]:
+    place = -1
+    try:
+        while True:
+            place = values.index(None, place + 1)
+            yield place
+    except ValueError:
+        return
+
+
+def _pattern(settings: dict) -> str:
+    steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return steps[0].get("pattern", {}).get("Regex", "")
 
 
 def _splits_at_white_space(settings: dict) -> bool:
@@ -59,7 +128,7 @@ def _splits_at_white_space(settings: dict) -> bool:
     steps = (settings.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     first = steps[0]
     drops = first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-    classes = first.get("pattern", {}).get("Regex", "")
+    classes = _pattern(settings)
     plain = settings.get("normalizer") or {}
     kinds = {step["type"] for step in plain.get("normalizers", [plain] if plain else [])}
     no_space = all(" " not in part and (r"\s" not in part or r"[^\s" in part) for part in classes.split("|"))
