@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.common import slices, whole_text
-from corpusloom.llm.token_ids import text_ids, with_end
+from corpusloom.llm.token_ids import text_ids, utf8, with_end
 
 CAPACITY = 4096
 END_ID = 2
@@ -124,7 +124,7 @@ def _packer(tokenizer: str, capacity: int, end_id: int, names: list[str]):
         seen = 0
         for batch in slices(batches):
             kind = batch.column(0).type
-            ids_of = encoder.batch(batch.column(1).to_pylist())
+            ids_of = encoder.batch(utf8(batch.column(1)))
             for doc, ids in zip(batch.column(0).to_pylist(), ids_of):
                 ids = with_end(ids, end_id)
                 documents[seen] = [doc, len(ids), len(ids)]

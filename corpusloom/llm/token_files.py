@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.common import slices, small_side, whole_text
-from corpusloom.llm.token_ids import text_ids, with_end
+from corpusloom.llm.token_ids import text_ids, utf8, with_end
 
 END_ID = 1
 DICTIONARY_BYTES = 64 * 1024
-SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on about this many documents ...
+SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on so many documents ...
 SAMPLE_CHARS = 20_000  # ... of at most so many characters, 40 MB of text at most
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
@@ -36,24 +36,17 @@ _BROADCAST_BLOCKS = 500_000
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> bytes:
-    """A zstandard dictionary from the serialized ids of a bounded sample; few documents give raw content."""
-    there = docs.count()
-    if not there:
-        return b""
-    share = min(1.0, SAMPLE_DOCUMENTS / there)
-    picked = F.xxhash64("doc_id", F.length("text")).bitwiseAND(2**32 - 1) < int(share * 2**32)
-    texts = docs.where(picked & (F.length("text") <= SAMPLE_CHARS)).select("text").orderBy("text").limit(2 * SAMPLE_DOCUMENTS)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_ids(tokenizer)
-        for batch in slices(batches):
-            rows = [with_end(ids, end_id).tobytes() for ids in encoder.batch(batch.column(0).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["ids"])
+    """A zstandard dictionary from the serialized ids of the first documents Spark reads; few give raw content.
 
-    samples = [bytes(row["ids"]) for row in texts.mapInArrow(encode, "ids binary").collect()]
+    The sample is bounded and decides how small the frames get, nothing else, so no
+    pass over the corpus is spent on it.
+    """
+    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("text").limit(SAMPLE_DOCUMENTS).collect()
+    encoded = text_ids(tokenizer).batch([row["text"].encode() for row in short])
+    samples = [with_end(ids, end_id).tobytes() for ids in encoded]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
-    except zstandard.ZstdError:  # too few or too short samples to find common strings
+    except (zstandard.ZstdError, ValueError):  # too few or too short samples to find common strings
         return b"".join(samples)[-DICTIONARY_BYTES:]
 
 
@@ -71,7 +64,7 @@ def _frames(tokenizer: str, dictionary: bytes, end_id: int):
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         for batch in slices(batches):
             counts, frames = [], []
-            for ids in encoder.batch(batch.column(1).to_pylist()):
+            for ids in encoder.batch(utf8(batch.column(1))):
                 ids = with_end(ids, end_id)
                 counts.append(len(ids))
                 frames.append(packer.compress(ids.tobytes()))

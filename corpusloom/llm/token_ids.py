@@ -9,16 +9,21 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 from corpusloom.llm.common import worker_state
 
-_WORDS_KEPT = 500_000
+_WORDS_KEPT = 800_000
 _WORDS_A_TEXT = 500
 # Runs of these after a letter are tokens of their own in the pattern that is asked for below.
 _TRAILING = b".,!?;:#$%&*|"
+# Letters up to U+024F, as bytes.
+_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])"
+_LETTERS, _LETTER_LAST = re.compile(_LETTER + rb"+"), re.compile(_LETTER + rb"\Z")
 _LETTERS_APART = (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+")
 
 
@@ -49,30 +54,27 @@ class TextIds:
 
     def _words_encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words; runs of plain letters go in one text, whose ids say where each word ends."""
-        plain, other = [], []
-        for word in words:
-            text = word.decode()
-            (plain if self.last_of_word is not None and text.isalpha() and max(text) < "\u0250" else other).append(text)
-        made = dict(zip(other, self._encoded(other)))
+        together = self.last_of_word is not None
+        plain = [word for word in words if together and _LETTERS.fullmatch(word)]
+        known = set(plain)
+        other = [word for word in words if word not in known]
+        made = dict(zip(other, self._encoded([word.decode() for word in other])))
         for at in range(0, len(plain), _WORDS_A_TEXT):
             part = plain[at : at + _WORDS_A_TEXT]
-            ids = np.frombuffer(self._encoded([" ".join(part)])[0], self.dtype)
-            ends = (np.flatnonzero(self.last_of_word[ids]) + 1) * self.dtype.itemsize
+            data = self._encoded([b" ".join(part).decode()])[0]
+            ends = (np.flatnonzero(self.last_of_word[np.frombuffer(data, self.dtype)]) + 1) * self.dtype.itemsize
             if len(ends) != len(part):
                 raise ValueError("a word of letters was not encoded as one")
-            data, begin = ids.tobytes(), 0
-            for text, end in zip(part, ends.tolist()):
-                made[text] = data[begin:end]
+            begin = 0
+            for word, end in zip(part, ends.tolist()):
+                made[word] = data[begin:end]
                 begin = end
-        return {text.encode(): ids for text, ids in made.items()}
+        return made
 
     def _core(self, word: bytes) -> bytes:
         """The word without punctuation at its end, where a letter stands before that."""
         core = word.rstrip(_TRAILING)
-        if not self.punctuation_apart or not core or core == word:
-            return word
-        last = core[-4:].decode(errors="ignore")[-1:]
-        return core if last.isalpha() and ord(last) < 0x250 else word
+        return core if core != word and self.punctuation_apart and _LETTER_LAST.search(core) else word
 
     def _learn(self, words: set[bytes]) -> None:
         now, unknown, cut = self.now, set(), []
@@ -91,12 +93,12 @@ class TextIds:
         for word, core in cut:
             now[word] = now[core] + now[word[len(core) :]]
 
-    def batch(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each text; a missing text has none."""
+    def batch(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """Ids of each text, given as UTF-8; a missing text has none."""
         if not self.by_word:
-            return [np.frombuffer(b, self.dtype) for b in self._encoded([text or "" for text in texts])]
+            return [np.frombuffer(b, self.dtype) for b in self._encoded([(text or b"").decode() for text in texts])]
         # Splits at exactly the six ASCII white-space bytes.
-        words = [(text or "").encode().split() for text in texts]
+        words = [(text or b"").split() for text in texts]
         if len(self.now) > _WORDS_KEPT:
             self.now, self.before = {}, self.now
         ids = [list(map(self.now.get, each)) for each in words]
@@ -136,6 +138,11 @@ def _splits_at_white_space(settings: dict) -> bool:
     return drops and no_space and not prefixed and kinds <= {"NFC", "Replace", "Lowercase"} and not settings.get("post_processor")
 
 
+def utf8(column: pa.Array) -> list[bytes | None]:
+    """The texts of an Arrow column without decoding them."""
+    return column.cast(pa.binary()).to_pylist()
+
+
 def text_ids(path: str) -> TextIds:
     """The worker's encoder for a tokenizer file."""
     return worker_state(f"ids:{path}", lambda: TextIds(path))

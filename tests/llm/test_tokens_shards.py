@@ -33,11 +33,11 @@ def rows(odd_rows):
 def test_word_by_word_ids_are_the_tokenizers(encode, rows):
     ids = TextIds(PATH)
     assert ids.by_word
-    for text, found in zip([t for _, t in rows], ids.batch([t for _, t in rows])):
+    for text, found in zip([t for _, t in rows], ids.batch([t and t.encode() for _, t in rows])):
         assert found.tolist() == encode(text)
     other = TextIds(public_tokenizers.path("byte_bpe_50k.json"))
     assert not other.by_word
-    assert other.batch(["a  b"])[0].tolist() == other.tokenizer.encode("a  b", add_special_tokens=False).ids
+    assert other.batch([b"a  b"])[0].tolist() == other.tokenizer.encode("a  b", add_special_tokens=False).ids
 
 
 def test_token_files_round_trip(spark, make_docs, encode, rows, tmp_path):
