@@ -53,15 +53,16 @@ def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
 
 
 def worker_state(name: str, make: Callable[[], object]) -> object:
-    """An object that outlives the task in a Python worker.
+    """An object that outlives the task in a Python worker, one at a time: another name lets the former go.
 
     Functions of this package travel by value, so their module globals are new in
     every task; what is dear to build hangs on a module that stays.
     """
     home = sys.modules.setdefault("_corpusloom_worker", types.ModuleType("_corpusloom_worker"))
-    if not hasattr(home, name):
-        setattr(home, name, make())
-    return getattr(home, name)
+    if getattr(home, "name", None) != name:
+        home.kept, home.name = None, None
+        home.kept, home.name = make(), name
+    return home.kept
 
 
 def small_side(rows: DataFrame, bound: int) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from corpusloom.llm.common import worker_state
 
-_WORDS_KEPT = 800_000
+_WORDS_KEPT = 600_000
 _WORDS_A_TEXT = 500
 # Runs of these after a letter are tokens of their own in the pattern that is asked for below.
 _TRAILING = b".,!?;:#$%&*|"

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, slices, whole_text
+from corpusloom.llm.common import bounded_sample, slices, whole_text, worker_state
 
 SIZES = (4, 5, 6)
 BUCKET_BITS = 20
@@ -61,6 +61,7 @@ class ToxicityModel:
 
         @F.pandas_udf("double")
         def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            worker_state("toxicity", object)  # words that other operators keep go
             table = model.table()
             for batch in batches:
                 yield pd.Series([model.probability(text, table) for text in batch], dtype="float64")
@@ -76,6 +77,7 @@ class ToxicityModel:
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents of each class with each n-gram, summed over the task."""
+    worker_state("toxicity", object)
     counts = np.zeros((2, 1 << BUCKET_BITS), dtype=np.int32)
     for batch in slices(batches):
         for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
