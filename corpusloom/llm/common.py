@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +55,15 @@ def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
     return rows.where(F.xxhash64(F.col("doc_id"), F.lit(7)).bitwiseAND(2**32 - 1) < share)
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system, where the C library can do that."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def worker_state(name: str, make: Callable[[], object]) -> object:
     """An object that outlives the task in a Python worker, one at a time: another name lets the former go.
 
@@ -61,6 +73,7 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     home = sys.modules.setdefault("_corpusloom_worker", types.ModuleType("_corpusloom_worker"))
     if getattr(home, "name", None) != name:
         home.kept, home.name = None, None
+        _give_back()
         home.kept, home.name = make(), name
     return home.kept
 

@@ -32,6 +32,7 @@ SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on so many documents ...
 SAMPLE_CHARS = 20_000  # ... of at most so many characters, 40 MB of text at most
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
+WORDS_KEPT = 800_000
 _BROADCAST_BLOCKS = 500_000
 
 
@@ -60,7 +61,7 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict | None:
 
 def _frames(tokenizer: str, dictionary: bytes, end_id: int):
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = text_ids(tokenizer)
+        encoder = text_ids(tokenizer, WORDS_KEPT)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
         for batch in slices(batches):
             counts, frames = [], []

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from corpusloom.llm.common import worker_state
 
-_WORDS_KEPT = 600_000
+WORDS_KEPT = 400_000  # some 150 bytes each, in two stores
 _WORDS_A_TEXT = 500
 # Runs of these after a letter are tokens of their own in the pattern that is asked for below.
 _TRAILING = b".,!?;:#$%&*|"
@@ -30,11 +30,11 @@ _LETTERS_APART = (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+")
 class TextIds:
     """Ids of a text as little-endian unsigned bytes, two or four per id as the vocabulary needs."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words_kept: int = WORDS_KEPT):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.words_kept = Tokenizer.from_file(path), words_kept
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         settings = json.loads(self.tokenizer.to_str())
         self.by_word = _splits_at_white_space(settings)
@@ -99,7 +99,7 @@ class TextIds:
             return [np.frombuffer(b, self.dtype) for b in self._encoded([(text or b"").decode() for text in texts])]
         # Splits at exactly the six ASCII white-space bytes.
         words = [(text or b"").split() for text in texts]
-        if len(self.now) > _WORDS_KEPT:
+        if len(self.now) > self.words_kept:
             self.now, self.before = {}, self.now
         ids = [list(map(self.now.get, each)) for each in words]
         gaps = [(at, place) for at, each in enumerate(ids) for place in _places_of_none(each)]
@@ -143,9 +143,9 @@ def utf8(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def text_ids(path: str) -> TextIds:
+def text_ids(path: str, words_kept: int = WORDS_KEPT) -> TextIds:
     """The worker's encoder for a tokenizer file."""
-    return worker_state(f"ids:{path}", lambda: TextIds(path))
+    return worker_state(f"ids:{path}:{words_kept}", lambda: TextIds(path, words_kept))
 
 
 def with_end(ids: np.ndarray, end_id: int) -> np.ndarray:
