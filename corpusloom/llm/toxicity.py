@@ -24,6 +24,7 @@ BUCKET_BITS = 20
 SAMPLE_DOCUMENTS = 16_000
 FEATURES = 4_096
 THRESHOLD = 0.3
+_FIT_ROWS = 1_000
 
 
 def gram_buckets(text: str | None) -> np.ndarray:
@@ -104,17 +105,22 @@ def _chosen_grams(chosen: np.ndarray):
 
 def fit_logistic(rows: list[np.ndarray], values: np.ndarray, labels: np.ndarray, penalty: float = 3e-4, steps: int = 150):
     """Weights and intercept for documents given as arrays of feature numbers, feature j having ``values[j]``."""
-    sizes = np.array([len(r) for r in rows])
-    columns = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    x, n = values[columns], max(1, len(rows))
-    share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
+    parts = [rows[at : at + _FIT_ROWS] for at in range(0, len(rows), _FIT_ROWS)]
+    sizes = [np.array([len(r) for r in part]) for part in parts]
+    parts = [np.concatenate(part).astype(np.int32) for part in parts]
+    targets = [labels[at : at + _FIT_ROWS] for at in range(0, len(rows), _FIT_ROWS)]
+    n, share = max(1, len(rows)), np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     theta = np.append(np.zeros(len(values)), np.log(share / (1 - share)))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
-        margin = np.bincount(owner, x * theta[columns], minlength=len(rows)) + theta[-1]
-        error = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - labels
-        gradient = np.append(np.bincount(columns, x * error[owner], minlength=len(values)) / n + penalty * theta[:-1], error.mean())
+        gradient = np.append(penalty * theta[:-1], 0.0)
+        scaled = values * theta[:-1]
+        for columns, size, target in zip(parts, sizes, targets):
+            owner = np.repeat(np.arange(len(size)), size)
+            margin = np.bincount(owner, scaled[columns], minlength=len(size)) + theta[-1]
+            error = (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - target) / n
+            gradient[:-1] += values * np.bincount(columns, error[owner], minlength=len(values))
+            gradient[-1] += error.sum()
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         rate = 0.05 * (0.1 if step > steps * 0.8 else 1.0)
         theta -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
@@ -147,8 +153,9 @@ def learn_toxicity(
     best = np.argsort(-((toxic - expected) ** 2 / spread), kind="stable")[:features]
     toxic, clean, buckets = toxic[best] + 1, clean[best] + 1, counted["bucket"].to_numpy()[best]
     ratios = np.log((toxic / toxic.sum()) / (clean / clean.sum()))
-    kept = texts.mapInArrow(_chosen_grams(buckets), "label int, grams array<int>").toPandas()
-    weights, intercept = fit_logistic([np.asarray(g, np.int64) for g in kept["grams"]], ratios, kept["label"].to_numpy(float))
+    kept = texts.mapInArrow(_chosen_grams(buckets), "label int, grams array<int>").toArrow()
+    grams = [one.values.to_numpy() for one in kept["grams"]]
+    weights, intercept = fit_logistic(grams, ratios, kept["label"].to_numpy().astype(float))
     return ToxicityModel(buckets, weights * ratios, intercept)
 
 
