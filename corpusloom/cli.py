@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.models import LeadGenerator, PretrainedGenerator, SentenceEmbedder, embedder_or_none
 from corpusloom.functions.tokens import hashed_words
+from corpusloom.operators.generation import FAN_IN
 from corpusloom.operators.review import split_list
 from corpusloom.plans import pipelines
 
@@ -33,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     prepare.add_argument("--no_chunk", action="store_true")
     prepare.add_argument("--row_once", action="store_true", help="keep the source row on a text's first chunk only")
 
+    prepare.add_argument("--step_cap", action="store_true", help="the historical bound on chunk steps, which can lose tails")
+
     examples = commands.add_parser("examples", help="mixed folder, or one CSV file, to training examples")
     examples.add_argument("--input_dir", default="data_inputs")
     examples.add_argument("--max_chars", type=int, default=fixed.MAX_CHARS)
@@ -49,11 +52,13 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--use_hf_fallback", action="store_true", help="use a transformers model")
     generate.add_argument("--hf_fallback_model")
     generate.add_argument("--max_gen", type=int, default=fixed.MAX_NEW_TOKENS)
+    generate.add_argument("--fan_in", type=int, default=FAN_IN, help="most summaries in a prompt; more are reduced in levels")
     generate.add_argument("--max_chars", type=int, help="kept for compatibility; has no effect")
 
     merge = commands.add_parser("merge", help="summaries to one record per source")
     merge.add_argument("--input", required=True)
     merge.add_argument("--output", required=True)
+    merge.add_argument("--parts", action="store_true", help="one record per chunk, for sources that no cell can hold")
 
     export = commands.add_parser("export", help="JSONL to a flat review CSV")
     export.add_argument("--input", "-i", required=True)
@@ -111,7 +116,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     if args.command == "prepare":
         count = pipelines.prepare_chunks(
             spark, args.input_dir or args.input_file, args.output, args.text_column, args.max_chars, args.no_chunk,
-            row_once=args.row_once,
+            row_once=args.row_once, step_cap=args.step_cap,
         )
         print(f"Wrote {count} chunks" if count else "No entries created - no valid data found")
     elif args.command == "examples" and args.csv:
@@ -126,9 +131,9 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             print(f"Warning: failed to read {row['file']}: {row['error']}")
     elif args.command == "generate":
         load = partial(PretrainedGenerator, args.hf_fallback_model) if args.use_hf_fallback else LeadGenerator
-        print(pipelines.generate_summaries(spark, args.input, args.output, load, args.max_gen))
+        print(pipelines.generate_summaries(spark, args.input, args.output, load, args.max_gen, args.fan_in))
     elif args.command == "merge":
-        print(pipelines.merge_summaries_per_source(spark, args.input, args.output))
+        print(pipelines.merge_summaries_per_source(spark, args.input, args.output, whole=not args.parts))
     elif args.command == "export":
         columns = split_list(args.output_columns) if args.output_columns else None
         count, rejects = pipelines.export_review(spark, args.input, args.output, columns)

@@ -70,14 +70,14 @@ def chunk_text(
     max_chars: int = MAX_CHARS,
     overlap: int = OVERLAP,
     sentence_aware: bool = True,
-    step_cap: bool = True,
+    step_cap: bool = False,
 ) -> Column:
     """Array of chunks of at most ``max_chars`` characters.
 
     Sentence-aware chunks end at sentence ends, else at blank lines, else at
     newlines, each only in the last three quarters of the window. ``step_cap``
-    keeps the historical bound on the number of steps, which can lose the tail
-    when the overlap is close to the chunk size; pass False to lift it.
+    asks for the historical bound on the number of steps, which can lose the tail
+    when the overlap is close to the chunk size.
     Texts that fit in one chunk never leave the JVM.
     """
 

@@ -152,16 +152,24 @@ def embedder_or_none(load: Callable[[], Embedder]) -> Callable[[], Embedder] | N
     return load
 
 
+def _embedded_alone(model: Embedder, text: str):
+    try:
+        return model.embed([text])[0]
+    except Exception:  # noqa: BLE001
+        return None
+
+
 def embedded(text: Column | str, load: Callable[[], Embedder]) -> Column:
-    """Embedding of each text; a failing batch yields nulls."""
+    """Embedding of each text; null for a text that fails, whatever the others of its batch do."""
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
         for texts in batches:
+            plain = texts.fillna("").tolist()
             try:
-                yield pd.Series(model.embed(texts.fillna("").tolist()))
-            except Exception:  # noqa: BLE001
-                yield pd.Series([None] * len(texts))
+                yield pd.Series(model.embed(plain))
+            except Exception:  # noqa: BLE001 - then one by one
+                yield pd.Series([_embedded_alone(model, one) for one in plain])
 
     return run(as_col(text))

@@ -33,7 +33,7 @@ def chunk_rows(
     max_chars: int = fixed.MAX_CHARS,
     no_chunk: bool = False,
     html_mode: str = "regex",
-    step_cap: bool = True,
+    step_cap: bool = False,
     row_once: bool = False,
 ) -> DataFrame:
     """Chunk records of (file, row_index, row) rows; narrow, no shuffle.

@@ -68,7 +68,7 @@ def record_text(
 
 
 def examples_from_documents(
-    documents: DataFrame, keep: tuple[str, ...] = (), max_chars: int = fixed.MAX_CHARS, step_cap: bool = True
+    documents: DataFrame, keep: tuple[str, ...] = (), max_chars: int = fixed.MAX_CHARS, step_cap: bool = False
 ) -> DataFrame:
     """One training example per chunk of (file, title, text) documents; outputs stay empty."""
     chunks = chunk_text("text", max_chars, fixed.OVERLAP, step_cap=step_cap)

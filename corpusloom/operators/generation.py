@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.classify import is_error
 from corpusloom.functions.models import TextGenerator, generated
 from corpusloom.functions.prompts import fallback_chunk_prompt, final_prompt
-from corpusloom.operators.groups import GroupLimits, position, source_key, split_oversized
+from corpusloom.operators.groups import position, source_key
 from corpusloom.session import cut_lineage
 
 CHUNK_STEP, FINAL_STEP = "chunk_summary", "final_summary"
+FAN_IN = 1_000
 
 
 def summarize_chunks(
@@ -52,34 +53,60 @@ def _with_defaults(row: Column) -> Column:
     )
 
 
+def _reduced(rows: DataFrame, load: Callable[[], TextGenerator], max_gen: int, fan_in: int) -> DataFrame:
+    """The rows, with at most ``fan_in`` per source: consecutive ones are summarised until that holds."""
+    if fan_in < 2:
+        raise ValueError("fan_in must be at least 2")
+    while True:
+        counts = rows.groupBy("source_id").agg(F.count("*").alias("n")).where(F.col("n") > fan_in)
+        many = cut_lineage(counts.select("source_id"))
+        if many.isEmpty():
+            return rows
+        few = rows.join(many, "source_id", "left_anti")
+        place = F.row_number().over(Window.partitionBy("source_id").orderBy("at")) - 1
+        blocks = rows.join(many, "source_id", "left_semi").withColumn("block", F.floor(place / F.lit(fan_in)))
+        grouped = blocks.groupBy("source_id", "block").agg(
+            F.array_sort(F.collect_list(F.struct("at", "chunk_summary"))).alias("items"),
+            F.min("at").alias("at"), F.sum("chunks").alias("chunks"), F.min_by("row", "at").alias("row"),
+        )
+        usable = F.filter(F.transform("items", lambda item: item["chunk_summary"]), lambda text: ~is_error(text))
+        prompt = final_prompt(usable, F.col("row")["title"], F.col("row")["source_filename"])
+        # A block of failures alone stays one.
+        text = F.when(F.size(usable) > 0, generated(prompt, load, max_gen)["text"]).otherwise(F.col("items")[0]["chunk_summary"])
+        rows = cut_lineage(few.unionByName(grouped.select("source_id", "at", text.alias("chunk_summary"), "chunks", "row")))
+
+
 def summarize_sources(
     chunk_results: DataFrame,
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    limits: GroupLimits = GroupLimits(),
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Final results, one per source with any usable chunk summary.
 
-    No prompt can hold an oversized source; it gets no final result, so that the
-    merge rebuilds its summary from its chunks, all of them, without a model.
+    A prompt takes ``fan_in`` summaries at most. Where a source has more, those of
+    ``fan_in`` consecutive chunks are summarised first, and so on in levels; its
+    ``chunk_summaries`` are then those of the last level, its total that of all chunks.
     """
     rows = chunk_results.select(
-        "source_id", position().alias("at"), "chunk_summary", F.col("original_chunk.original_row").alias("row")
-    )
-    ordinary, _ = split_oversized(rows, "chunk_summary", limits)
-    grouped = ordinary.groupBy("source_id").agg(
+        "source_id", position().alias("at"), "chunk_summary", F.lit(1).cast("long").alias("chunks"),
+        F.col("original_chunk.original_row").alias("row"),
+    )
+    rows = _reduced(rows, load, max_gen, fan_in)
+    grouped = rows.groupBy("source_id").agg(
         F.array_sort(F.collect_list(F.struct("at", "chunk_summary"))).alias("items"),
         F.min_by(_with_defaults(F.col("row")), "at").alias("source_metadata"),
+        F.sum("chunks").cast("int").alias("total_chunks"),
     )
     usable = F.filter("chunk_summaries", lambda text: ~is_error(text))
     sources = grouped.select(
-        "source_id", F.transform("items", lambda item: item["chunk_summary"]).alias("chunk_summaries"), "source_metadata"
+        "source_id", "total_chunks", F.transform("items", lambda item: item["chunk_summary"]).alias("chunk_summaries"), "source_metadata"
     ).where(F.exists("chunk_summaries", lambda text: ~is_error(text)))
     metadata = F.col("source_metadata")
     prompt = final_prompt(usable, metadata["title"], metadata["source_filename"])
     return sources.select(
         "source_id",
-        F.size("chunk_summaries").alias("total_chunks"),
+        "total_chunks",
         "chunk_summaries",
         generated(prompt, load, max_gen * 2)["text"].alias("final_summary"),
         "source_metadata",
@@ -91,7 +118,7 @@ def summarize_hierarchically(
     chunks: DataFrame,
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    limits: GroupLimits = GroupLimits(),
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """Chunk results and final results in one table, told apart by ``generation_step``.
 
@@ -101,7 +128,7 @@ def summarize_hierarchically(
     """
     spread = chunks.repartition("source_id", "chunk_index", "ordinal")
     chunk_results = cut_lineage(summarize_chunks(spread, load, max_gen))
-    finals = summarize_sources(chunk_results, load, max_gen, limits)
+    finals = summarize_sources(chunk_results, load, max_gen, fan_in)
     return finals.unionByName(chunk_results, allowMissingColumns=True)
 
 

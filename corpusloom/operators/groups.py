@@ -1,14 +1,13 @@
-"""Ordered collection per source, with oversized sources kept apart.
+"""Ordered collection per source, in one of two forms that the caller chooses.
 
-Ordinary sources become one row each. A source beyond the limits never meets in
-one task: its rows stay separate, each named by ``part``, and together in order
-of ``part`` they are the whole. ``part`` is null where the source is one row.
+``whole`` gives one row per source, which one task gathers and one cell (2 GB)
+must hold. Otherwise no source is gathered: its rows stay apart, each named by
+``part``, and together in order of ``part`` they are the whole. The form never
+depends on the size of a source.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,112 +15,69 @@ from corpusloom import fixed_values as fixed
 from corpusloom.functions.classify import is_error
 from corpusloom.functions.prompts import final_opening, final_prompt
 
-_BROADCAST_KEYS = 10_000
 _SECTION_BLOCK = 4096
 
 
-@dataclass(frozen=True)
-class GroupLimits:
-    """Largest source that is collected into one row."""
-
-    rows: int = 5_000
-    chars: int = 8_000_000
-
-
 def source_key(name: str = "source_id") -> Column:
     return F.coalesce(F.col(name), F.lit(fixed.MISSING_SOURCE))
 
 
-@dataclass(frozen=True)
-class Oversized:
-    """Keys of oversized sources, and whether they are few enough to broadcast facts about them."""
-
-    keys: DataFrame
-    few: bool
-
-    def per_source(self, facts: DataFrame) -> DataFrame:
-        """One small row per oversized source, broadcast only if those are known to be few."""
-        return F.broadcast(facts) if self.few else facts
-
-
-def oversized_sources(df: DataFrame, text: str, limits: GroupLimits) -> Oversized | None:
-    """Sources beyond the limits, or None if there are none.
-
-    One pass with map-side counts. There can be no more such keys than the data
-    holds multiples of the limit; up to a fixed number they are pinned and
-    broadcast, more stay a distributed table that Spark joins as it sees fit.
-    """
-    sizes = df.groupBy("source_id").agg(F.count("*").alias("n"), F.sum(F.length(text)).alias("chars"))
-    keys = sizes.where((F.col("n") > limits.rows) | (F.col("chars") > limits.chars)).select("source_id")
-    found = [row[0] for row in keys.limit(_BROADCAST_KEYS + 1).collect()]
-    if not found:
-        return None
-    if len(found) > _BROADCAST_KEYS:
-        return Oversized(keys, few=False)
-    pinned = df.sparkSession.createDataFrame([(key,) for key in found], "source_id string")
-    return Oversized(F.broadcast(pinned), few=True)
-
-
-def split_oversized(df: DataFrame, text: str, limits: GroupLimits) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary sources, rows of oversized ones or None)."""
-    oversized = oversized_sources(df, text, limits)
-    if oversized is None:
-        return df, None
-    return df.join(oversized.keys, "source_id", "left_anti"), df.join(oversized.keys, "source_id", "left_semi")
-
-
 def position() -> Column:
     """Place of a chunk in its source; a missing index counts as 0, ties keep input order."""
     return F.struct(F.coalesce("chunk_index", F.lit(0)).cast("int").alias("chunk_index"), F.col("ordinal").alias("ordinal"))
 
 
-def collect_ordered(chunks: DataFrame, text: str, limits: GroupLimits = GroupLimits()) -> DataFrame:
+def collect_ordered(chunks: DataFrame, text: str, whole: bool = True) -> DataFrame:
     """(source_id, part, texts) from rows with source_id, chunk_index, ordinal and a text.
 
-    The array is in chunk order, also for the single-row parts of large sources.
+    ``texts`` is the array of a source in chunk order and ``part`` null, or, unless
+    ``whole``, each row's own text with its place.
     """
-    chunks = chunks.select(source_key().alias("source_id"), position().alias("at"), F.col(text).alias("text"))
-    ordinary, large = split_oversized(chunks, "text", limits)
-    ordered = F.array_sort(F.collect_list(F.struct("at", F.coalesce("text", F.lit("")).alias("text"))))
-    grouped = ordinary.groupBy("source_id").agg(F.transform(ordered, lambda item: item["text"]).alias("texts"))
-    grouped = grouped.select("source_id", F.lit(None).cast(chunks.schema["at"].dataType).alias("part"), "texts")
-    if large is not None:
-        single = large.select("source_id", F.col("at").alias("part"), F.array(F.coalesce("text", F.lit(""))).alias("texts"))
-        grouped = grouped.unionByName(single)
-    return grouped
-
-
-def final_prompts(chunks: DataFrame, limits: GroupLimits = GroupLimits()) -> DataFrame:
+    chunks = chunks.select(source_key().alias("source_id"), position().alias("at"), F.coalesce(text, F.lit("")).alias("text"))
+    if not whole:
+        return chunks.select("source_id", F.col("at").alias("part"), F.array("text").alias("texts"))
+    ordered = F.array_sort(F.collect_list(F.struct("at", "text")))
+    grouped = chunks.groupBy("source_id").agg(F.transform(ordered, lambda item: item["text"]).alias("texts"))
+    return grouped.select("source_id", F.lit(None).cast(chunks.schema["at"].dataType).alias("part"), "texts")
+
+
+def final_prompts(chunks: DataFrame, whole: bool = True) -> DataFrame:
     """(source_id, part, prompt) that asks for one summary of a source's chunk summaries.
 
     Expects source_id, chunk_index, ordinal, chunk_summary, title and
-    source_filename. Failed summaries are left out and the rest numbered. The
-    prompt of an oversized source comes as lines of text, ``part`` 0 the opening,
-    then one per section, then the closing.
+    source_filename. Failed summaries are left out and the rest numbered. Unless
+    ``whole``, a prompt comes as lines of text, ``part`` 0 the opening, then one per
+    section, then the closing.
     """
     usable = chunks.where(~is_error("chunk_summary")).select(
         source_key().alias("source_id"), position().alias("at"), F.coalesce("chunk_summary", F.lit("")).alias("summary"),
         F.col("title"), F.col("source_filename"),
     )
-    ordinary, large = split_oversized(usable, "summary", limits)
     first = F.min_by(F.struct("title", "source_filename"), "at").alias("first")
-    grouped = ordinary.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("at", "summary"))).alias("items"), first)
+    if not whole:
+        return _prompt_lines(usable, first)
+    grouped = usable.groupBy("source_id").agg(F.array_sort(F.collect_list(F.struct("at", "summary"))).alias("items"), first)
     summaries = F.transform("items", lambda item: item["summary"])
-    prompts = grouped.select(
+    return grouped.select(
         "source_id",
         F.lit(None).cast("bigint").alias("part"),
         final_prompt(summaries, F.col("first.title"), F.col("first.source_filename")).alias("prompt"),
     )
-    return prompts if large is None else prompts.unionByName(_prompt_lines(large, first))
 
 
 def _prompt_lines(large: DataFrame, first: Column) -> DataFrame:
-    """Prompt lines of oversized sources, sections numbered without gathering a source.
+    """Prompt lines, sections numbered without gathering a source.
 
-    Numbers come from counts per block of chunk indexes plus a rank inside the
-    block, so that no window spans more than one block.
+    Numbers come from counts per block plus a rank inside the block, so that no
+    window spans more than one block: chunk indexes in steps, and within a step
+    ordinals in steps, as rows without an index all count as 0.
     """
-    blocks = large.withColumn("block", F.floor(F.col("at.chunk_index") / _SECTION_BLOCK))
+    zero = F.col("at.chunk_index") == 0
+    block = F.struct(
+        F.floor(F.col("at.chunk_index") / _SECTION_BLOCK).alias("step"), (~zero).alias("later"),
+        F.when(zero, F.floor(F.col("at.ordinal") / _SECTION_BLOCK)).otherwise(F.lit(0)).alias("rows"),
+    )
+    blocks = large.withColumn("block", block)
     counts = blocks.groupBy("source_id", "block").agg(F.count("*").alias("n"))
     before = Window.partitionBy("source_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("source_id", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))

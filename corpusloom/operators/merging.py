@@ -10,7 +10,7 @@ from corpusloom.functions.classify import is_error
 from corpusloom.functions.sentences import dedup_text, distinct_sentences, join_sentences, merge_summaries
 from corpusloom.functions.text import non_empty
 from corpusloom.operators.generation import CHUNK_STEP, FINAL_STEP
-from corpusloom.operators.groups import GroupLimits, Oversized, oversized_sources, position, source_key
+from corpusloom.operators.groups import position, source_key
 from corpusloom.operators.similar_sets import first_distinct
 
 _FINAL_FIELDS = ("total_chunks", "chunk_summaries", "final_summary", "source_metadata")
@@ -22,13 +22,15 @@ def last_per_key(df: DataFrame, keys: list[str], order: Column | str, *fields: s
     return df.groupBy(*keys).agg(last).select(*keys, "_last.*")
 
 
-def merge_results(results: DataFrame, limits: GroupLimits = GroupLimits()) -> DataFrame:
+def merge_results(results: DataFrame, whole: bool = True) -> DataFrame:
     """Merged records of generation results.
 
     Expects the columns of :func:`generation.summarize_hierarchically`. A source's
     last final result counts; where it is missing or empty and there are chunk
-    results, the summary is rebuilt from those. One shuffle in the usual case. An
-    oversized source yields one record per chunk, in order of ``part``.
+    results, the summary is rebuilt from those. ``whole`` gives one record per source
+    with one shuffle; otherwise a source rebuilt from chunks yields one record per
+    chunk, in order of ``part``, and nothing is gathered per source. The choice is
+    the caller's and holds for all sources alike.
     """
     step = F.col("generation_step")
     rows = results.select(
@@ -40,12 +42,7 @@ def merge_results(results: DataFrame, limits: GroupLimits = GroupLimits()) -> Da
         F.coalesce("chunk_summary", F.lit("")).alias("summary"),
         F.col("original_chunk.original_row").alias("row"),
     ).where(step.isin(CHUNK_STEP, FINAL_STEP))
-    oversized = oversized_sources(rows.where(~F.col("is_final")), "summary", limits)
-    if oversized is None:
-        return _merge_ordinary(rows)
-    ordinary = rows.join(oversized.keys, "source_id", "left_anti")
-    large = rows.join(oversized.keys, "source_id", "left_semi")
-    return _merge_ordinary(ordinary).unionByName(_merge_large(large, oversized))
+    return _merge_whole(rows) if whole else _merge_parts(rows)
 
 
 def _record(df: DataFrame, part: Column, text: Column, part_type: T.DataType) -> DataFrame:
@@ -62,7 +59,7 @@ def _record(df: DataFrame, part: Column, text: Column, part_type: T.DataType) ->
     )
 
 
-def _merge_ordinary(rows: DataFrame) -> DataFrame:
+def _merge_whole(rows: DataFrame) -> DataFrame:
     is_final = F.col("is_final")
     grouped = rows.groupBy("source_id").agg(
         F.max_by("final", F.when(is_final, F.struct("ordinal"))).alias("final"),
@@ -81,20 +78,21 @@ def _merge_ordinary(rows: DataFrame) -> DataFrame:
     return _record(chosen, F.lit(None), merge_summaries("texts"), rows.schema["at"].dataType)
 
 
-def _merge_large(rows: DataFrame, oversized: Oversized) -> DataFrame:
-    """Records of oversized sources; nothing is gathered per source.
+def _merge_parts(rows: DataFrame) -> DataFrame:
+    """Records of sources of which nothing is gathered.
 
     The metadata of a source, which may hold its whole text, goes with its first part only.
     """
-    finals = last_per_key(rows.where("is_final"), ["source_id"], F.struct("ordinal"), "final")
-    finals = finals.where(non_empty("final.final_summary").isNotNull()).select("source_id", "final.*")
     part_type = rows.schema["at"].dataType
+    chunks = rows.where(~F.col("is_final"))
+    facts = chunks.groupBy("source_id").agg(F.count("*").alias("n"), F.min("at").alias("first"))
+    finals = last_per_key(rows.where("is_final"), ["source_id"], F.struct("ordinal"), "final").select("source_id", "final.*")
+    finals = finals.join(facts, "source_id", "left")
+    finals = finals.where(non_empty("final_summary").isNotNull() | F.col("n").isNull()).drop("n", "first")
     ready = _record(finals, F.lit(None), dedup_text("final_summary"), part_type)
 
-    finished = oversized.per_source(finals.select("source_id"))
-    chunks = rows.where(~F.col("is_final")).join(finished, "source_id", "left_anti")
-    facts = chunks.groupBy("source_id").agg(F.count("*").alias("n"), F.min("at").alias("first"))
-    chunks = chunks.select("source_id", "at", "summary", "row").join(oversized.per_source(facts), "source_id")
+    chunks = chunks.join(finals.select("source_id"), "source_id", "left_anti")
+    chunks = chunks.select("source_id", "at", "summary", "row").join(facts, "source_id")
     usable = (F.col("n") == 1) | ~is_error("summary")
     sentences = chunks.where(usable).select(
         "source_id", "at", F.posexplode_outer(distinct_sentences("summary")).alias("number", "sentence")

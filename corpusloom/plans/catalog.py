@@ -26,7 +26,7 @@ from corpusloom.operators.chunks import chunk_rows, explode_chunks
 from corpusloom.operators.documents import examples_from_documents
 from corpusloom.operators.export import flatten_record, header_names, output_field, parse_record, review_table
 from corpusloom.operators.generation import run_statistics, summarize_hierarchically
-from corpusloom.operators.groups import GroupLimits, collect_ordered, final_prompts
+from corpusloom.operators.groups import collect_ordered, final_prompts
 from corpusloom.operators.merging import last_per_key, merge_results, merge_statistics
 from corpusloom.operators.profile import profile_records, record_sample
 from corpusloom.operators.review import input_output_similarity, missing_headings, review_rows, score, training_records
@@ -42,7 +42,6 @@ from corpusloom.sources.sinks import write_jsonl, write_review_csv
 HEADINGS = ["The", "der ", "la"]
 GATE_HEADINGS = ["."]
 FILE_WORDS = ["solutions", "experiments", "action_list", "work_plan", "blog_posts", "notes"]
-FORCED_LARGE = GroupLimits(rows=1)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -106,7 +105,7 @@ def turn_word_overlap(spark, sf_dir):
 # --- chunking -------------------------------------------------------------------
 
 
-def _chunks(max_chars: int, overlap: int, sentence_aware: bool = True, step_cap: bool = True):
+def _chunks(max_chars: int, overlap: int, sentence_aware: bool = True, step_cap: bool = False):
     def query(spark, sf_dir):
         chunks = chunk_text("text", max_chars, overlap, sentence_aware, step_cap)
         return explode_chunks(_documents(spark, sf_dir), chunks, "doc_id")
@@ -225,7 +224,7 @@ def ordered_turns(spark, sf_dir):
 
 
 def ordered_turns_large(spark, sf_dir):
-    grouped = collect_ordered(_turns(spark, sf_dir), "chunk_summary", FORCED_LARGE)
+    grouped = collect_ordered(_turns(spark, sf_dir), "chunk_summary", whole=False)
     return grouped.select("source_id", F.col("part.chunk_index").alias("part"), F.array_join("texts", "\n").alias("texts"))
 
 
@@ -234,7 +233,7 @@ def final_prompt_per_source(spark, sf_dir):
 
 
 def final_prompt_lines(spark, sf_dir):
-    lines = final_prompts(_turns(spark, sf_dir), FORCED_LARGE)
+    lines = final_prompts(_turns(spark, sf_dir), whole=False)
     return lines.withColumn("part", F.coalesce("part", F.lit(-1)))
 
 
@@ -278,8 +277,8 @@ def merged_results(spark, sf_dir):
 
 
 def merged_results_large(spark, sf_dir):
-    """The same with every source of more than one chunk taken for oversized."""
-    merged = merge_results(_results(spark, sf_dir), FORCED_LARGE)
+    """The same as parts, no source being gathered."""
+    merged = merge_results(_results(spark, sf_dir), whole=False)
     return _merged(merged)
 
 
@@ -531,11 +530,11 @@ def csv_round_trip(spark, sf_dir):
 
 
 def csv_row_numbers(spark, sf_dir):
-    """Rows numbered per file, files cut into blocks that are parsed apart."""
+    """Rows numbered per file, files opened by the tasks as streams."""
     folder = f"{_scratch(spark)}/blocks"
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     write_review_csv(documents, folder)
-    rows, _ = read_csv_rows(spark, folder, block_bytes=64 * 1024)
+    rows, _ = read_csv_rows(spark, folder, stream_bytes=64 * 1024)
     numbers = F.col("row_index")
     per_file = rows.groupBy("file").agg(
         F.count("*").alias("n"), F.count_distinct(numbers).alias("d"), F.min(numbers).alias("a"), F.max(numbers).alias("z")
@@ -596,7 +595,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 } | {
     "chunks_2000_200": _chunks(2000, 200),
     "chunks_500_200": _chunks(500, 200),
-    "chunks_250_200_capped": _chunks(250, 200),
-    "chunks_250_200_uncapped": _chunks(250, 200, step_cap=False),
+    "chunks_250_200_capped": _chunks(250, 200, step_cap=True),
+    "chunks_250_200_uncapped": _chunks(250, 200),
     "chunks_by_line_2000_200": _chunks(2000, 200, sentence_aware=False),
 }

@@ -171,7 +171,7 @@ _MERGED_LARGE = f"""WITH {_MERGE},
       CASE WHEN c.chunk_index = min(c.chunk_index) OVER (PARTITION BY c.source_id) THEN r.role ELSE '' END AS role,
       list_filter(coalesce(g.kept, []), lambda v: v.c = c.chunk_index) AS kept
     FROM chunk c JOIN rebuilt r USING (source_id) LEFT JOIN folded g USING (source_id)
-      LEFT JOIN finals f USING (source_id) WHERE r.n > 1 AND coalesce(f.final_summary, '') = '')
+      LEFT JOIN finals f USING (source_id) WHERE coalesce(f.final_summary, '') = '')
   SELECT source_id, 1 AS total_chunks, {_rejoin("kept")} AS final_summary, summary AS chunk_summaries, role,
     'merged' AS processing_step FROM parts
   UNION ALL SELECT * FROM whole WHERE source_id NOT IN (SELECT source_id FROM parts)"""
@@ -330,11 +330,9 @@ ORACLES: dict[str, str] = {
         || string_agg('Section ' || k || ': ' || summary, chr(10) || chr(10) ORDER BY k) || chr(10) || chr(10)
         || {_text(fixed.FINAL_CLOSING)} AS prompt FROM usable JOIN heads USING (source_id) GROUP BY source_id, opening""",
     "final_prompt_lines": f"""WITH {_SECTIONS}
-        SELECT source_id, k AS part, 'Section ' || k || ': ' || summary AS prompt FROM usable JOIN heads USING (source_id) WHERE n > 1
-        UNION ALL SELECT source_id, 0, opening FROM heads WHERE n > 1
-        UNION ALL SELECT source_id, n + 1, chr(10) || {_text(fixed.FINAL_CLOSING)} FROM heads WHERE n > 1
-        UNION ALL SELECT source_id, -1, opening || chr(10) || 'Section 1: ' || summary || chr(10) || chr(10)
-          || {_text(fixed.FINAL_CLOSING)} FROM usable JOIN heads USING (source_id) WHERE n = 1""",
+        SELECT source_id, k AS part, 'Section ' || k || ': ' || summary AS prompt FROM usable
+        UNION ALL SELECT source_id, 0, opening FROM heads
+        UNION ALL SELECT source_id, n + 1, chr(10) || {_text(fixed.FINAL_CLOSING)} FROM heads""",
     "sentence_dedup": f"""SELECT doc_id, {_rejoin("kept")} AS text FROM (
         SELECT doc_id, {_fold("own")} AS kept FROM (SELECT doc_id, {_sentence_list("text")} AS own FROM documents))""",
     "merged_results": _MERGED,

@@ -14,8 +14,7 @@ from corpusloom.functions.nested import JSON_OPTIONS
 from corpusloom.operators.chunks import chunk_rows
 from corpusloom.operators.documents import examples_from_documents
 from corpusloom.operators.export import flatten_record, review_table
-from corpusloom.operators.generation import run_statistics, summarize_hierarchically
-from corpusloom.operators.groups import GroupLimits
+from corpusloom.operators.generation import FAN_IN, run_statistics, summarize_hierarchically
 from corpusloom.operators.merging import merge_results, merge_statistics
 from corpusloom.operators.profile import profile_records, record_sample, text_profile
 from corpusloom.operators.review import review_rows, score, training_records
@@ -57,10 +56,11 @@ def prepare_chunks(
     no_chunk: bool = False,
     html_mode: str = "regex",
     row_once: bool = False,
+    step_cap: bool = False,
 ) -> int:
     """CSV files to chunk records; no output if there is none."""
     rows, _ = read_csv_rows(spark, path)
-    chunks = chunk_rows(rows, None, text_column, max_chars, no_chunk, html_mode, row_once=row_once)
+    chunks = chunk_rows(rows, None, text_column, max_chars, no_chunk, html_mode, row_once=row_once, step_cap=step_cap)
     if chunks.isEmpty():
         return 0
     counted, seen = _counted(chunks, "chunks")
@@ -108,24 +108,24 @@ def generate_summaries(
     output: str,
     load: Callable[[], TextGenerator] = LeadGenerator,
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    limits: GroupLimits = GroupLimits(),
+    fan_in: int = FAN_IN,
 ) -> dict[str, int]:
     """Chunk records to chunk and final summaries."""
     chunks = read_jsonl(spark, path, CHUNK_SCHEMA)
-    results = summarize_hierarchically(chunks, load, max_gen, limits).drop("ordinal")
+    results = summarize_hierarchically(chunks, load, max_gen, fan_in).drop("ordinal")
     write_jsonl(results, output, keep_nulls=False)
     return run_statistics(spark.read.schema("generation_step string").json(output)).first().asDict()
 
 
 def merge_summaries_per_source(
-    spark: SparkSession, path: str, output: str, limits: GroupLimits = GroupLimits()
+    spark: SparkSession, path: str, output: str, whole: bool = True
 ) -> dict[str, int]:
-    """Generation results to merged records, in order of source."""
+    """Generation results to merged records, in order of source; as parts with a column ``part`` unless ``whole``."""
     results = read_jsonl(spark, path, RESULT_SCHEMA)
     if results.isEmpty():
         raise NothingToDo("No results found in input file")
-    merged = merge_results(results, limits).persist()
-    shown = merged.drop("part") if merged.where(F.col("part").isNotNull()).isEmpty() else merged
+    merged = merge_results(results, whole).persist()
+    shown = merged.drop("part") if whole else merged
     write_jsonl(shown, output, order_by=[name for name in ("source_id", "part") if name in shown.columns], keep_nulls=False)
     statistics = merge_statistics(merged).first().asDict()
     merged.unpersist()

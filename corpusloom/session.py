@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

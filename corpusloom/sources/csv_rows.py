@@ -1,10 +1,9 @@
 """CSV files as string maps with row numbers per file.
 
 Spark's own CSV reader applies the first file's header to all and numbers no
-rows, so the parsing runs inside tasks, over Python's csv module. Files up to a
-block travel whole; larger ones are cut into blocks that tasks parse separately:
-a first pass counts quote characters per block, which tells for each block
-whether it starts inside a quoted field, hence where its first record begins.
+rows, so the parsing runs inside tasks, over Python's csv module. A file is read
+from its start to its end by one task, and files in parallel: which quotes count
+depends on all that comes before, so a cut could lose rows.
 """
 
 from __future__ import annotations
@@ -14,14 +13,15 @@ import csv
 import io
 import sys
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.session import spread
 
-BLOCK_BYTES = 128 << 20
+STREAM_BYTES = 128 << 20
 _BATCH_ROWS = 2048
 _ROW_TYPE = pa.map_(pa.string(), pa.string())
 _SCHEMA = "path string, start bigint, row_index bigint, row map<string,string>, error string"
@@ -31,39 +31,17 @@ def _encoding(valid_utf8: bool) -> str:
     return "utf-8" if valid_utf8 else "latin-1"
 
 
-def _is_utf8(data: bytes, cut_start: bool = False, cut_end: bool = False) -> bool:
-    """Whether bytes are UTF-8, not counting characters cut off at a block's ends."""
-    skip = 0
-    while cut_start and skip < min(3, len(data)) and data[skip] & 0xC0 == 0x80:
-        skip += 1
+def _is_utf8(stream: BinaryIO) -> bool:
+    decoder = codecs.getincrementaldecoder("utf-8")()
     try:
-        codecs.getincrementaldecoder("utf-8")().decode(data[skip:], final=not cut_end)
+        while data := stream.read(1 << 20):
+            decoder.decode(data)
+        decoder.decode(b"", final=True)
     except UnicodeDecodeError:
         return False
     return True
 
 
-class _CountedLines:
-    """Decoded lines of a byte stream for csv.reader, with the bytes handed out so far."""
-
-    def __init__(self, stream, encoding: str, position: int) -> None:
-        self.stream, self.encoding, self.position = stream, encoding, position
-
-    def __iter__(self) -> Iterator[str]:
-        return self
-
-    def __next__(self) -> str:
-        line = self.stream.readline()
-        if not line:
-            raise StopIteration
-        if self.position == 0 and line.startswith(codecs.BOM_UTF8):
-            text = line[3:].decode(self.encoding)
-        else:
-            text = line.decode(self.encoding)
-        self.position += len(line)
-        return text
-
-
 def _row_items(names: list[str], values: list[str], trim: bool) -> list[tuple[str, str | None]]:
     """Fields of one row: surplus values are dropped, missing ones are '' (null untrimmed)."""
     padded = values[: len(names)] + [None] * (len(names) - len(values))
@@ -73,17 +51,19 @@ def _row_items(names: list[str], values: list[str], trim: bool) -> list[tuple[st
     return list(row.items())
 
 
-def _parse(stream, names: list[str] | None, encoding: str, start: int, stop: float, trim: bool) -> Iterator[list]:
-    """Rows whose record begins in [start, stop); the first record of a file names the fields."""
+def _parse(stream: BinaryIO, trim: bool) -> Iterator[list]:
+    """Rows of a whole file; the first record names the fields.
+
+    The file is read from its start, as only that tells which quotes count; lines
+    end at CR, LF or both, as the csv module wants them.
+    """
     csv.field_size_limit(sys.maxsize)
-    lines = _CountedLines(stream, encoding, start)
-    reader = csv.reader(lines)
-    if names is None:
-        names = next(reader, [])
-    while lines.position < stop:
-        values = next(reader, None)
-        if values is None:
-            return
+    encoding = _encoding(_is_utf8(stream))
+    stream.seek(0)
+    stream.seek(len(codecs.BOM_UTF8) if stream.read(len(codecs.BOM_UTF8)) == codecs.BOM_UTF8 else 0)
+    reader = csv.reader(io.TextIOWrapper(stream, encoding, newline=""))
+    names = next(reader, [])
+    for values in reader:
         if values:
             yield _row_items(names, values, trim)
 
@@ -125,8 +105,7 @@ def _parse_whole(trim: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                encoding = _encoding(_is_utf8(content))
-                yield from _batches(path, 0, _parse(io.BytesIO(content), None, encoding, 0, float("inf"), trim))
+                yield from _batches(path, 0, _parse(io.BytesIO(content), trim))
 
     return run
 
@@ -141,106 +120,36 @@ def _open(path: str) -> io.BufferedReader:
     return io.BufferedReader(system.open_input_file(name), 1 << 20)
 
 
-def _scan_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(path, start, odd, utf8): parity of quote characters and validity of each block."""
-    for batch in batches:
-        for block in batch.to_pylist():
-            with _open(block["path"]) as file:
-                file.seek(block["start"])
-                data = file.read(block["stop"] - block["start"] + 3)
-            own = data[: block["stop"] - block["start"]]
-            last = block["stop"] >= block["length"]
-            row = {
-                "path": block["path"],
-                "start": block["start"],
-                "odd": own.count(b'"') % 2,
-                "utf8": _is_utf8(data, cut_start=block["start"] > 0, cut_end=not last),
-            }
-            yield pa.RecordBatch.from_pylist(
-                [row],
-                schema=pa.schema(
-                    [("path", pa.string()), ("start", pa.int64()), ("odd", pa.int32()), ("utf8", pa.bool_())]
-                ),
-            )
-
-
-def _first_record(file, start: int, quoted: bool) -> int:
-    """Offset of the first record that begins at or after ``start``."""
-    if start == 0:
-        return 0
-    file.seek(start - 1)
-    before = file.read(1)
-    if before == b"\n" and not quoted:
-        return start
-    position = start
-    file.seek(start)
-    while line := file.readline():
-        position += len(line)
-        if line.count(b'"') % 2:
-            quoted = not quoted
-        if not quoted and line.endswith(b"\n"):
-            break
-    return position
-
-
-def _parse_blocks(trim: bool):
+def _parse_stream(trim: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in batch.to_pylist():
-                encoding = _encoding(block["utf8"])
-                with _open(block["path"]) as file:
-                    first = _first_record(file, block["start"], bool(block["quoted"]))
-                    names = None
-                    if first > 0:
-                        file.seek(0)
-                        names = next(csv.reader(_CountedLines(file, encoding, 0)), [])
-                    file.seek(first)
-                    rows = _parse(file, names, encoding, first, block["stop"], trim)
-                    yield from _batches(block["path"], block["start"], rows)
+            for path in batch["path"].to_pylist():
+                with _open(path) as file:
+                    yield from _batches(path, 0, _parse(file, trim))
 
     return run
 
 
-def _read_large(files: DataFrame, block_bytes: int, trim: bool) -> DataFrame:
-    starts = F.explode(F.expr(f"sequence(0L, length - 1, {block_bytes}L)"))
-    blocks = files.select("path", "length", starts.alias("start"))
-    blocks = blocks.withColumn("stop", F.least(F.col("start") + block_bytes, F.col("length")))
-    blocks = blocks.repartition("path", "start")
-    scanned = blocks.mapInArrow(_scan_blocks, "path string, start bigint, odd int, utf8 boolean")
-    file = Window.partitionBy("path")
-    before = file.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-    facts = scanned.select(
-        "path",
-        "start",
-        (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).cast("int").alias("quoted"),
-        F.bool_and("utf8").over(file).alias("utf8"),
-    )
-    planned = blocks.join(facts, ["path", "start"]).repartition("path", "start")
-    rows = planned.mapInArrow(_parse_blocks(trim), _SCHEMA)
-    counts = rows.groupBy("path", "start").agg(F.count("row").alias("n"))
-    offsets = counts.select("path", "start", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
-    return rows.join(offsets, ["path", "start"]).withColumn("row_index", F.col("row_index") + F.col("offset")).drop("offset")
-
-
 def read_csv_rows(
     spark: SparkSession,
     path: str | list[str],
     trim: bool = True,
     glob: str = "*.[cC][sS][vV]",
-    block_bytes: int = BLOCK_BYTES,
+    stream_bytes: int = STREAM_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects): (file, row_index, row) of all rows, and (file, error) of files that failed.
 
     Trimmed rows have stripped names and values and '' for missing values. Files
-    that are not UTF-8 are read as Latin-1. Rows before an error are kept.
+    that are not UTF-8 are read as Latin-1. Rows before an error are kept. A file is
+    one stream in one task; many files are read in parallel. Files over
+    ``stream_bytes`` are opened by the task, others come in a row; the parser is one.
     """
     paths = [path] if isinstance(path, str) else path
     listing = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(paths)
-    small = listing.where(F.col("length") <= block_bytes).select("path", "content")
+    small = listing.where(F.col("length") <= stream_bytes).select("path", "content")
     rows = spread(small.mapInArrow(_parse_whole(trim), _SCHEMA))
-    large = listing.where(F.col("length") > block_bytes).select("path", "length")
-    if not large.isEmpty():
-        rows = rows.unionByName(_read_large(large, block_bytes, trim))
+    large = listing.where(F.col("length") > stream_bytes).select("path")
+    rows = rows.unionByName(large.repartition("path").mapInArrow(_parse_stream(trim), _SCHEMA))
     named = rows.withColumn("file", F.substring_index("path", "/", -1))
     return (
         named.where(F.col("error").isNull()).select("file", "row_index", "row"),

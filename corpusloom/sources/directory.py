@@ -126,7 +126,12 @@ def collect_documents(spark: SparkSession, path: str | list[str], html_mode: str
         documents_of_rows(csv_rows, html_mode),
     ):
         documents = documents.unionByName(found.drop("row_index"))
+    # What is valid JSON and no object, or holds a value too large for a variant, is told, not dropped.
+    odd = [
+        records.where(parse_record("record")["kinds"].isNull()).select("file", F.concat(F.lit("no usable JSON object in record "), F.col("row_index").cast("string")).alias("error"))
+        for records in (json_records, lines)
+    ]
     bad_lines = line_rejects.select(
         "file", F.concat(F.lit("invalid JSON in line "), F.col("line_number").cast("string")).alias("error")
     )
-    return documents, json_rejects.unionByName(bad_lines).unionByName(csv_rejects).unionByName(text_rejects)
+    return documents, json_rejects.unionByName(bad_lines).unionByName(odd[0]).unionByName(odd[1]).unionByName(csv_rejects).unionByName(text_rejects)

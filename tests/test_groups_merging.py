@@ -1,17 +1,17 @@
 import random
 import sys
 
+import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions.models import LeadGenerator, RetryingGenerator, model_name_or_default
 from corpusloom.operators.generation import run_statistics, summarize_chunks, summarize_hierarchically
-from corpusloom.operators.groups import GroupLimits, collect_ordered, final_prompts
+from corpusloom.operators.groups import collect_ordered, final_prompts
 from corpusloom.operators.merging import merge_results, merge_statistics
 from corpusloom.plans.pipelines import RESULT_SCHEMA
 from tests import brute_force
 
-TINY = GroupLimits(rows=1)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
@@ -70,20 +70,19 @@ def test_one_source_with_a_third_of_all_rows(spark):
         rows.append(_chunk(source, n, rng.choice([text, text, "Error: " + text])))
     results = _results(spark, rows).repartition(6)
     whole = {row["source_id"]: row for row in merge_results(results).collect()}
-    split = merge_results(results, GroupLimits(rows=50)).collect()
+    split = merge_results(results, whole=False).collect()
     parts = sorted((row for row in split if row["part"] is not None), key=lambda row: row["part"])
-    assert {row["source_id"] for row in parts} == {"hot"} and len(parts) == 100
-    assert " ".join(row["final_summary"] for row in parts if row["final_summary"]) == whole["hot"]["final_summary"]
-    assert [text for row in parts for text in row["chunk_summaries"]] == whole["hot"]["chunk_summaries"]
-    assert {row["source_id"]: row for row in split if row["part"] is None} == {
-        source: row for source, row in whole.items() if source != "hot"
-    }
-    assert merge_statistics(merge_results(results, GroupLimits(rows=50))).first() == merge_statistics(merge_results(results)).first()
+    assert len(parts) == len(split) and {row["source_id"] for row in parts} == set(whole)
+    for source, record in whole.items():
+        mine = [row for row in parts if row["source_id"] == source]
+        assert " ".join(row["final_summary"] for row in mine if row["final_summary"]) == record["final_summary"]
+        assert [text for row in mine for text in row["chunk_summaries"]] == record["chunk_summaries"]
+    assert merge_statistics(merge_results(results, whole=False)).first() == merge_statistics(merge_results(results)).first()
 
 
 def test_oversized_source_with_a_final_result(spark):
     rows = [_chunk("a", n, f"Chunk number {n} of this.") for n in range(5)] + [_final("a", "Final text of the source.", total_chunks=5)]
-    [row] = merge_results(_results(spark, rows), TINY).collect()
+    [row] = merge_results(_results(spark, rows), whole=False).collect()
     assert row["final_summary"] == "Final text of the source." and row["part"] is None
 
 
@@ -98,7 +97,7 @@ def test_final_prompts_whole_and_in_lines(spark):
     assert "Section 1: first\n\nSection 2: second\n\nUnified Summary:" in prompts["s"]
     assert "Source: f.csv\n\nSection summaries" in prompts["s"] and "Document Title" not in prompts["s"]
     assert "Document Title: T\n\nSection summaries to merge:\nSection 1: only" in prompts["t"]
-    lines = final_prompts(_summaries(spark, rows), TINY).where("source_id = 's'").orderBy("part").collect()
+    lines = final_prompts(_summaries(spark, rows), whole=False).where("source_id = 's'").orderBy("part").collect()
     opening, *sections, closing = [row["prompt"] for row in lines]
     assert opening + "\n" + "\n\n".join(sections) + "\n" + closing == prompts["s"]
 
@@ -107,10 +106,8 @@ def test_collect_ordered_in_parts(spark):
     rows = [("s", n // 2, n, f"text {n}", "", "") for n in range(9)]
     df = _summaries(spark, rows).repartition(4)
     [whole] = collect_ordered(df, "chunk_summary").collect()
-    parts = collect_ordered(df, "chunk_summary", GroupLimits(rows=3)).orderBy("part").collect()
+    parts = collect_ordered(df, "chunk_summary", whole=False).orderBy("part").collect()
     assert whole["texts"] == [text for row in parts for text in row["texts"]] == [f"text {n}" for n in range(9)]
-    by_size = collect_ordered(df, "chunk_summary", GroupLimits(chars=10)).collect()
-    assert len(by_size) == 9
 
 
 class Failing:
@@ -147,12 +144,20 @@ def test_hierarchical_generation(spark):
     assert finals["a"]["total_chunks"] == 2 and finals["a"]["final_summary"] == "Unified Summary:"
     assert finals["a"]["source_metadata"] == {"title": "T", "source_filename": ""}
     assert tuple(run_statistics(results).first()) == (2, 4)
-    oversized = summarize_hierarchically(_chunk_records(spark), Failing, 20, TINY)
-    assert {row["source_id"] for row in oversized.where("generation_step = 'final_summary'").collect()} == {"c"}
-    merged = {row["source_id"] for row in merge_results(oversized.withColumn("ordinal", F.coalesce("ordinal", F.lit(0)))).collect()}
+    merged = {row["source_id"] for row in merge_results(results.withColumn("ordinal", F.coalesce("ordinal", F.lit(0)))).collect()}
     assert merged == {"a", "b", "c"}
 
 
+@pytest.mark.parametrize("fan_in", [2, 3, 40, 1000])
+def test_every_source_gets_a_final_result_at_any_fan_in(spark, fan_in):
+    rows = [(f"s{n % 11}", n // 11, 4, f"prompt {n}", f"text {n}", {"title": "T"}, n) for n in range(440)]
+    schema = "source_id string, chunk_index int, total_chunks int, prompt string, chunk_text string, original_row map<string,string>, ordinal bigint"
+    results = summarize_hierarchically(spark.createDataFrame(rows, schema), LeadGenerator, fan_in=fan_in)
+    finals = results.where("generation_step = 'final_summary'").collect()
+    assert len(finals) == 11 and {row["total_chunks"] for row in finals} == {40}
+    assert all(row["final_summary"] and len(row["chunk_summaries"]) <= fan_in for row in finals)
+
+
 def test_generated_text_is_not_made_twice(spark):
     plan = summarize_chunks(_chunk_records(spark), LeadGenerator).where("chunk_summary <> ''")
     assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

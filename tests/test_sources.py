@@ -36,22 +36,22 @@ def test_csv_details(spark, tmp_path):
 
 
 @pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
-def test_large_csv_is_cut_into_blocks(spark, tmp_path, encoding):
-    """Blocks of a few bytes, borders inside quotes, line ends, characters and the header."""
-    rng = random.Random(7)
-    rows = []
-    for n in range(120):
-        cells = ["".join(rng.choices(['"', "\n", "\r\n", ",", "é", "x", "yy ", ""], k=rng.randint(0, 8))) for _ in range(2)]
-        rows.append([str(n), *cells])
-    path = tmp_path / "big.csv"
-    with path.open("w", encoding=encoding, newline="") as file:
-        writer = csv.writer(file)
-        writer.writerow(["n", 'quoted\n"name"', "z"])
-        writer.writerows(rows)
-    with path.open(encoding=encoding, newline="") as file:
-        expected = [("big.csv", at, dict(row)) for at, row in enumerate(csv.DictReader(file))]
-    for block in (7, 64, 1000, 10**9):
-        assert _csv(spark, path, trim=False, block_bytes=block) == expected
+def test_csv_bytes_read_the_same_whole_and_as_streams(spark, tmp_path, encoding):
+    """Stray quotes, quotes inside plain fields, CR, LF, both, blank lines, a quoted header."""
+    for seed in range(12):
+        rng = random.Random(seed)
+        body = "".join(rng.choices(['"', "\n", "\r\n", "\r", ",", "é", '5" pipe', '"a,b"', "yy ", ""], k=400))
+        path = tmp_path / f"big{seed}.csv"
+        path.write_bytes(('n,"quoted\n""name""",z\n' + body).encode(encoding))
+        with path.open(encoding=encoding, newline="") as file:
+            expected = [(path.name, at, {k: v for k, v in row.items() if k is not None}) for at, row in enumerate(csv.DictReader(file))]
+        for limit in (1, 10**9):
+            assert _csv(spark, path, trim=False, stream_bytes=limit) == expected
+
+
+def test_csv_with_carriage_returns(spark, tmp_path):
+    (tmp_path / "old.csv").write_bytes(b"a,b\r1,2\r3,4\r")
+    assert [row for _, _, row in _csv(spark, tmp_path / "old.csv")] == [{"a": "1", "b": "2"}, {"a": "3", "b": "4"}]
 
 
 def test_lines_are_numbered_across_splits(spark, tmp_path):
@@ -116,6 +116,7 @@ def test_folder_of_everything(spark, tmp_path):
     (tmp_path / "broken.json").write_text("{")
     (tmp_path / "scalar.json").write_text("5")
     (tmp_path / "lines.jsonl").write_text(json.dumps({"full_text": text, "title": "1"}) + "\n{bad\n" + json.dumps({"text": "t" * 41}) + "\n")
+    (tmp_path / "repeated.jsonl").write_text('{"m":{"a":1,"a":2},"full_text":"' + text + '"}\n[1]\n"bare"\n')
     (tmp_path / "rows.csv").write_text(f"title,full_text\nC,{text}\nD,short\n")
     (tmp_path / "my notes+1%20.md").write_text("# Notes\r\n\r\nwith a body of text")
     (tmp_path / "no_suffix").write_text("also read as a text file")
@@ -131,9 +132,11 @@ def test_folder_of_everything(spark, tmp_path):
         ("single.json", "", text),
         ("lines.jsonl", "1", text),
         ("lines.jsonl", "", "t" * 41),
+        ("repeated.jsonl", "", text),
         ("rows.csv", "C", text),
         ("my notes+1%20.md", "my notes+1%20", "# Notes\n\nwith a body of text"),
         ("no_suffix", "no_suffix", "also read as a text file"),
     }
-    assert {row["file"] for row in rejects.collect()} == {"broken.json", "scalar.json", "lines.jsonl", "image.png", "bad.txt"}
+    assert {row["file"] for row in rejects.collect()} == {"a list.json", "broken.json", "scalar.json", "lines.jsonl", "repeated.jsonl", "image.png", "bad.txt"}
+    assert rejects.where(F.col("file") == "repeated.jsonl").count() == 2
     assert rejects.where(F.col("file") == "lines.jsonl").first()["error"] == "invalid JSON in line 2"
