@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.llm.common import slices, whole_text
-from corpusloom.llm.token_ids import text_ids, utf8, with_end
+from corpusloom.llm.token_ids import WORDS_KEPT, text_ids, utf8, with_end
 
 CAPACITY = 4096
 END_ID = 2
@@ -94,9 +94,9 @@ class Window:
             yield self.sequence(1 << (self.tokens.bit_length() - 1))
 
 
-def _packer(tokenizer: str, capacity: int, end_id: int, names: list[str]):
+def _packer(tokenizer: str, capacity: int, end_id: int, names: list[str], words_kept: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, window = text_ids(tokenizer), Window(capacity)
+        encoder, window = text_ids(tokenizer, words_kept), Window(capacity)
         number, documents, kind = TaskContext.get().partitionId() << 40, {}, None
         made, held = [[] for _ in names], 0
 
@@ -146,14 +146,17 @@ def _packer(tokenizer: str, capacity: int, end_id: int, names: list[str]):
     return pack
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack_documents(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, words_kept: int = WORDS_KEPT
+) -> DataFrame:
     """Pieces of (doc_id, text) in sequences: (doc_id, start, length, doc_tokens, sequence_id, offset, ids).
 
     Every id of a document, its end id included, is in exactly one piece; ``ids`` are
     little-endian unsigned 32-bit. Missing and empty texts are one end id; missing
     ids and repeated rows are documents like others; other columns are ignored; an
     empty table gives no rows. Sequences hold ``capacity`` ids, the last few of a task
-    a smaller power of two each (``capacity`` must be one itself).
+    a smaller power of two each (``capacity`` must be one itself). ``words_kept`` trades
+    a worker's memory for time and changes no result.
     """
     if capacity < 1 or capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
@@ -162,7 +165,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, en
     layout = T.StructType(
         [rows.schema["doc_id"], *[T.StructField(n, T.LongType()) for n in names], T.StructField("ids", T.BinaryType())]
     )
-    return rows.mapInArrow(_packer(tokenizer, capacity, end_id, layout.names), layout)
+    return rows.mapInArrow(_packer(tokenizer, capacity, end_id, layout.names, words_kept), layout)
 
 
 def packed_digest(pieces: DataFrame) -> DataFrame:

@@ -79,7 +79,8 @@ def op7_benchmark_decontamination(spark, sf_dir) -> DataFrame:
 
 
 def op8_packing(spark, sf_dir) -> DataFrame:
-    return packed_digest(pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()))
+    # Alone on its executors, the packing has memory for more words than as a stage of the pipeline.
+    return packed_digest(pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), words_kept=800_000))
 
 
 def op9_sharding(spark, sf_dir) -> DataFrame:
