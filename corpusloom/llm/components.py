@@ -5,20 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import small_side
 from corpusloom.session import cut_lineage
 
+_BROADCAST_ROWS = 300_000
+
+
+def _apart(least: DataFrame) -> DataFrame:
+    """One row per node, stored, so that a join with it can deal out the edges of a hub."""
+    return small_side(cut_lineage(least), _BROADCAST_ROWS)
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node goes to the node's smallest neighbour (or itself)."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = _apart(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours go to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = _apart(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").where(F.col("v") > F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.withColumnRenamed("m", "v")).distinct()
 
