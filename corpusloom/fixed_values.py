@@ -71,30 +71,6 @@ RESPONSE_PATHS = [
     "$.output",
     "$.result",
 ]
-METADATA_KEYS = [
-    "source_type",
-    "source_filename",
-    "title",
-    "chunk_index",
-    "chunk_chars",
-    "generated_by",
-    "generated_at",
-    "review_status",
-    "reviewer",
-]
-
-# Review table columns.
-REVIEW_COLUMNS = [
-    "idx",
-    "instruction",
-    "input",
-    "output_preview",
-    "missing_headings",
-    "embedding_similarity",
-    "generated_by",
-    "generated_at",
-    "note_review_status",
-]
 
 # Prompt wording.
 PROMPT_TEMPLATE = "### Instruction:\n{instruction}\n\n### Input:\n{input}\n\n### Response:\n"
@@ -123,7 +99,6 @@ FIELD_PREVIEW, OUTPUT_PREVIEW = 2000, 500
 REQUIRED_HEADINGS = ["Summary:", "Key lessons:", "Recommended actions:"]
 SIMILARITY_THRESHOLD = 0.18
 CUTOFF_LEN = 512
-MAX_LENGTH, RESPONSE_MAX_LENGTH = 2048, 512
 LABEL_IGNORE = -100
 WHITESPACE_TOKEN_BITS = 28
 MAX_NEW_TOKENS = 200
