@@ -139,19 +139,20 @@ def learn_toxicity(
     # Bounded by the parameter, so it may be broadcast.
     chosen_ids = F.broadcast(bounded_sample(labels, sample))
     texts = docs.select("doc_id", whole_text("text").alias("text")).join(chosen_ids, "doc_id").select("label", "text")
-    sums = texts.mapInArrow(_count_grams, "bucket int, toxic int, clean int").groupBy("bucket")
-    sums = sums.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    counted = sums.where(F.col("toxic") + F.col("clean") >= at_least).toPandas().sort_values("bucket")
     sizes = labels_in(texts)
     total = sizes[0] + sizes[1]
-    if not sizes[0] or not sizes[1] or counted.empty:
+    sums = texts.mapInArrow(_count_grams, "bucket int, toxic int, clean int").groupBy("bucket")
+    sums = sums.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seen = F.col("toxic") + F.col("clean")
+    expected = seen * F.lit(sizes[1] / max(1, total))
+    spread = expected * (1 - seen / F.lit(max(1, total))) * F.lit(sizes[0] / max(1, total)) + 1e-9
+    ranked = sums.where(seen >= at_least).orderBy(F.desc(F.pow(F.col("toxic") - expected, 2) / spread), "bucket")
+    # The driver sees the best buckets only, at most ``features`` rows.
+    best = ranked.limit(features).toPandas() if sizes[0] and sizes[1] else None
+    if best is None or best.empty:
         share = (sizes[1] + 1) / (total + 2)
         return ToxicityModel(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
-    toxic, clean = counted["toxic"].to_numpy(float), counted["clean"].to_numpy(float)
-    expected = (toxic + clean) * sizes[1] / total
-    spread = expected * (1 - (toxic + clean) / total) * sizes[0] / total + 1e-9
-    best = np.argsort(-((toxic - expected) ** 2 / spread), kind="stable")[:features]
-    toxic, clean, buckets = toxic[best] + 1, clean[best] + 1, counted["bucket"].to_numpy()[best]
+    toxic, clean, buckets = best["toxic"].to_numpy(float) + 1, best["clean"].to_numpy(float) + 1, best["bucket"].to_numpy()
     ratios = np.log((toxic / toxic.sum()) / (clean / clean.sum()))
     kept = texts.mapInArrow(_chosen_grams(buckets), "label int, grams array<int>").toArrow()
     grams = [one.values.to_numpy() for one in kept["grams"]]
