@@ -33,7 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     prepare.add_argument("--text_column", default="full_text")
     prepare.add_argument("--no_chunk", action="store_true")
     prepare.add_argument("--row_once", action="store_true", help="keep the source row on a text's first chunk only")
-
+    prepare.add_argument("--html_mode", choices=("regex", "dom"), default="regex", help="how markup is dropped: tags deleted, or text nodes joined")
     prepare.add_argument("--step_cap", action="store_true", help="the historical bound on chunk steps, which can lose tails")
 
     examples = commands.add_parser("examples", help="mixed folder, or one CSV file, to training examples")
@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     examples.add_argument("--text-column", default="full_text")
     examples.add_argument("--instruction")
     examples.add_argument("--filter-empty", action="store_true")
+    examples.add_argument("--html_mode", choices=("regex", "dom"), default="regex", help="how markup is dropped: tags deleted, or text nodes joined")
     examples.add_argument("--output", default="sft_dataset.jsonl")
 
     generate = commands.add_parser("generate", help="chunk records to summaries")
@@ -116,16 +117,16 @@ def run(spark: SparkSession, argv: list[str]) -> int:
     if args.command == "prepare":
         count = pipelines.prepare_chunks(
             spark, args.input_dir or args.input_file, args.output, args.text_column, args.max_chars, args.no_chunk,
-            row_once=args.row_once, step_cap=args.step_cap,
+            html_mode=args.html_mode, row_once=args.row_once, step_cap=args.step_cap,
         )
         print(f"Wrote {count} chunks" if count else "No entries created - no valid data found")
     elif args.command == "examples" and args.csv:
         counts = pipelines.convert_csv(
-            spark, args.csv, args.output, args.text_column, args.instruction, args.filter_empty
+            spark, args.csv, args.output, args.text_column, args.instruction, args.filter_empty, args.html_mode
         )
         print("Converted {converted} entries (skipped {skipped})".format(**counts))
     elif args.command == "examples":
-        count, rejects = pipelines.prepare_documents(spark, args.input_dir, args.output, args.max_chars)
+        count, rejects = pipelines.prepare_documents(spark, args.input_dir, args.output, args.max_chars, args.html_mode)
         print(f"Wrote {count} examples")
         for row in rejects.orderBy("file").toLocalIterator():
             print(f"Warning: failed to read {row['file']}: {row['error']}")

@@ -124,5 +124,15 @@ def strip_html(text: Column | str, mode: str = "regex") -> Column:
     )
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _strip_each_dom(markups: pd.Series) -> pd.Series:
+    return markups.map(lambda values: [value if value is None else visible_text(value) for value in values], na_action="ignore")
+
+
+def strip_html_each(texts: Column, mode: str = "regex") -> Column:
+    """``strip_html`` of every entry of an array; a lambda could not call Python."""
+    return _strip_each_dom(texts) if mode == "dom" else F.transform(texts, lambda text: strip_html(text))
+
+
 def clean_field(text: Column | str, html_mode: str = "regex") -> Column:
     return clean_text(strip_html(text, html_mode))

@@ -11,7 +11,7 @@ from corpusloom.functions.classify import instruction_for, source_type
 from corpusloom.functions.nested import nested_texts
 from corpusloom.functions.once import let
 from corpusloom.functions.prompts import document_input
-from corpusloom.functions.text import as_col, clean_field, clean_text, strip, strip_html
+from corpusloom.functions.text import as_col, clean_field, clean_text, strip, strip_html, strip_html_each
 from corpusloom.operators.chunks import explode_chunks
 
 
@@ -22,7 +22,7 @@ def longest_field(values: Column | str, html_mode: str = "regex") -> Column:
         return F.length(text) > fixed.LONG_FIELD_MIN
 
     raw = F.filter(as_col(values), lambda value: long_enough(strip(value)))
-    plain = F.transform(raw, lambda value: strip(strip_html(value)))
+    plain = F.transform(strip_html_each(raw, html_mode), strip)
     ranked = F.transform(
         F.filter(plain, long_enough),
         lambda value, at: F.struct(F.length(value).alias("size"), (-at).alias("before"), value.alias("value")),
@@ -41,12 +41,17 @@ def sections_text(sections: Column, is_json_value: Column, html_mode: str = "reg
     json_like = is_json_value | F.rlike(stripped, F.lit(r"^[\[{]"))
     texts = nested_texts(F.when(json_like, sections), html_mode)
     plain = strip_html(sections, html_mode)
-    return let(
-        texts,
-        lambda found: F.when(F.size(found) > 0, clean_text(F.array_join(found, "\n\n"))).when(
+
+    def choose(found: Column, plain: Column) -> Column:
+        return F.when(F.size(found) > 0, clean_text(F.array_join(found, "\n\n"))).when(
             json_like & found.isNull() & (F.length(strip(plain)) > fixed.DOCUMENT_TEXT_MIN), clean_text(plain)
-        ),
-    )
+        )
+
+    if html_mode == "dom":
+        # A lambda cannot call Python: both texts are made before it.
+        both = F.struct(texts.alias("found"), plain.alias("plain"))
+        return let(both, lambda made: choose(made["found"], made["plain"]))
+    return let(texts, lambda found: choose(found, plain))
 
 
 def record_text(

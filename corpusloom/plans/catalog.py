@@ -121,7 +121,9 @@ def _document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chunk_records(spark, sf_dir):
-    return chunk_rows(_document_rows(spark, sf_dir)).drop("original_row")
+    row = F.col("original_row")
+    lineage = row["title"].alias("row_title"), row["lang"].alias("row_lang"), F.md5(row["full_text"].cast("binary")).alias("row_text_md5")
+    return chunk_rows(_document_rows(spark, sf_dir)).select("*", *lineage).drop("original_row")
 
 
 def whole_text_records(spark, sf_dir):
@@ -173,11 +175,18 @@ def examples_from_texts(spark, sf_dir):
     return examples.select("doc_id", "instruction", "input", "output", "metadata.*")
 
 
+def _page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    record = F.to_json(F.struct("page_id", F.col("url").alias("name"), "html"))
+    return _pages(spark, sf_dir).select(F.lit("pages.json").alias("file"), F.col("page_id").alias("row_index"), record.alias("record"))
+
+
 def record_documents(spark, sf_dir):
     """Pages as free-form records: the longest string field is the text."""
-    record = F.to_json(F.struct("page_id", F.col("url").alias("name"), "html"))
-    records = _pages(spark, sf_dir).select(F.lit("pages.json").alias("file"), F.col("page_id").alias("row_index"), record.alias("record"))
-    return documents_of_records(records)
+    return documents_of_records(_page_records(spark, sf_dir))
+
+
+def record_documents_dom(spark, sf_dir):
+    return documents_of_records(_page_records(spark, sf_dir), "dom")
 
 
 def nested_section_documents(spark, sf_dir):
@@ -548,7 +557,7 @@ def _csv_folders(spark: SparkSession, sf_dir: str) -> list[str]:
     folder = _scratch(spark)
     documents = _documents(spark, sf_dir)
     english = documents.where("lang = 'en'").select("doc_id", F.col("source").alias("title"), F.col("text").alias("full_text"))
-    others = documents.where("lang <> 'en'").select(F.col("lang").alias("name"), F.col("text").alias("note"), "doc_id")
+    others = documents.where("lang is distinct from 'en'").select(F.col("lang").alias("name"), F.col("text").alias("note"), "doc_id")
     write_review_csv(english, f"{folder}/english")
     write_review_csv(others, f"{folder}/others")
     return [f"{folder}/english", f"{folder}/others"]
@@ -568,6 +577,34 @@ def folder_documents(spark, sf_dir):
     return documents.select("title", "text").unionByName(failed)
 
 
+def _mixed_folders(spark: SparkSession, sf_dir: str) -> list[str]:
+    """All documents as JSON files with a list inside, text files and CSV files, and all pages in broken JSON and text files."""
+    folder, kind = _scratch(spark), F.coalesce(F.pmod("doc_id", F.lit(4)), F.lit(0))
+    documents = _documents(spark, sf_dir).withColumn("block", F.floor(F.col("doc_id") / 200))
+    record = F.struct("doc_id", F.col("source").alias("title"), F.col("text").alias("full_text"))
+    lists = documents.where(kind == 1).groupBy("block").agg(F.array_sort(F.collect_list(record)).alias("items"))
+    lists.select("block", "items").write.option("maxRecordsPerFile", 1).json(f"{folder}/lists")
+    ordered = F.array_sort(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text"))))
+    texts = documents.where(kind == 2).groupBy("block").agg(F.array_join(F.transform(ordered, lambda d: d["text"]), "\n").alias("value"))
+    texts.select("value").write.option("maxRecordsPerFile", 1).text(f"{folder}/texts")
+    write_review_csv(documents.where(kind.isin(0, 3)).select(F.col("source").alias("title"), F.col("text").alias("full_text")), f"{folder}/rows")
+    pages = _pages(spark, sf_dir).groupBy(F.floor(F.col("page_id") / 50).alias("block")).agg(F.collect_list("html").alias("items"))
+    # Two lines are no JSON document; the byte is no UTF-8.
+    twice = pages.select("block", "items", F.explode(F.array(F.lit(1), F.lit(2))).alias("line"))
+    twice.write.option("maxRecordsPerFile", 2).json(f"{folder}/broken_lists")
+    odd = F.concat(F.array_join("items", "\n").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    pages.select(odd.alias("value")).write.option("maxRecordsPerFile", 1).text(f"{folder}/broken_texts")
+    return [f"{folder}/{name}" for name in ("lists", "texts", "rows", "broken_lists", "broken_texts")]
+
+
+def mixed_folder_documents(spark, sf_dir):
+    """JSON, text and CSV files to documents, every unreadable file told; text files are named at random, so their titles are left out."""
+    documents, rejects = collect_documents(spark, _mixed_folders(spark, sf_dir))
+    title = F.when(F.endswith("file", F.lit(".txt")), F.lit("")).otherwise(F.col("title"))
+    failed = rejects.select(F.lit("rejected").alias("title"), F.split_part("error", F.lit(":"), F.lit(1)).alias("text"))
+    return documents.select(title.alias("title"), "text").unionByName(failed)
+
+
 def folder_profile(spark, sf_dir):
     """Files of a folder with their counts, samples and problems, summed up."""
     files = profile_folder(spark, _csv_folders(spark, sf_dir))
@@ -584,13 +621,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         clean_documents, page_text_regex, page_text_dom, document_titles, source_types, turn_word_overlap,
         chunk_records, whole_text_records, fallback_text_columns, examples_from_rows, labelled_examples_only,
-        examples_from_texts, record_documents, nested_section_documents, table_row_documents, ordered_turns,
+        examples_from_texts, record_documents, record_documents_dom, nested_section_documents, table_row_documents, ordered_turns,
         ordered_turns_large, final_prompt_per_source, final_prompt_lines, sentence_dedup, merged_results,
         merged_results_large, merged_totals, last_event_per_user, hierarchical_summaries, generation_totals,
         heading_check, review_table_rows, review_table_sample, embedding_similarity, training_gate, word_similarity,
         output_fields, export_table, export_headers, response_texts, chat_pairs, outputs_missing, masked_tokens,
         masked_tokens_tail, padded_batches, token_budgets, failures_by_user, corpus_profile, jsonl_round_trip,
         jsonl_lenient_read, csv_round_trip, csv_row_numbers, csv_chunk_records, folder_documents, folder_profile,
+        mixed_folder_documents,
     )
 } | {
     "chunks_2000_200": _chunks(2000, 200),

@@ -31,6 +31,27 @@ def _plain(x: str) -> str:
     return f"regexp_replace({x}, '<[^>]+>', '', 'g')"
 
 
+def _visible(x: str) -> str:
+    """Text nodes of markup joined by newlines, for the tags and entities these pages have."""
+    hidden = "(?s)<style.*?</style>|<script.*?</script>|<!--.*?-->|<[^>]*>"
+    text = "v"
+    for entity, char in (("&quot;", '"'), ("&middot;", "\N{MIDDLE DOT}"), ("&copy;", "\N{COPYRIGHT SIGN}"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    blank = rf"CASE WHEN NOT regexp_full_match(v, '[\t\n\f\r ]*') THEN {text} WHEN contains(v, chr(10)) THEN chr(10) ELSE ' ' END"
+    nodes = f"list_filter(string_split(regexp_replace({x}, '{hidden}', chr(1), 'g'), chr(1)), lambda v: v <> '')"
+    return f"array_to_string(list_transform({nodes}, lambda v: {blank}), chr(10))"
+
+
+def _record_documents(drop) -> str:
+    return f"""SELECT 'pages.json' AS file, page_id AS row_index, url AS title, text FROM (
+        SELECT *, CASE WHEN html_ok AND (NOT url_ok OR length(page) > length(address)) THEN {_clean("page")}
+          WHEN url_ok THEN {_clean("address")} ELSE '' END AS text
+        FROM (SELECT *, length(address) > 40 AND length({_strip("url")}) > 40 AS url_ok,
+            length(page) > 40 AND length({_strip("html")}) > 40 AS html_ok
+          FROM (SELECT *, {_strip(drop("url"))} AS address, {_strip(drop("html"))} AS page FROM pages)))
+      WHERE length(text) > 20"""
+
+
 def _title(x: str) -> str:
     line = _strip("v")
     for mark in ("#", "-", r"\*"):
@@ -241,7 +262,7 @@ def _row_examples(where: str = "") -> str:
 
 
 def _document_rows() -> str:
-    return f"""SELECT {_file()} AS file, doc_id, lang, {_title(_strip("text"))} AS title, {_ROW_TEXT} AS tx FROM documents"""
+    return f"""SELECT {_file()} AS file, doc_id, lang, {_title(_strip("text"))} AS title, {_ROW_TEXT} AS tx, text AS raw FROM documents"""
 
 
 def _pick(n: str = "") -> str:
@@ -275,6 +296,7 @@ def _hierarchy() -> str:
 ORACLES: dict[str, str] = {
     "clean_documents": f"SELECT doc_id, {_clean('text')} AS clean FROM documents",
     "page_text_regex": f"SELECT page_id, {_plain('html')} AS plain, {_clean(_plain('html'))} AS clean FROM pages",
+    "page_text_dom": f"SELECT page_id, {_clean(_visible('html'))} AS clean FROM pages",
     "document_titles": f"SELECT doc_id, {_title('tx')} AS title FROM (SELECT doc_id, {_strip('text')} AS tx FROM documents)",
     "source_types": f"""SELECT doc_id, file, {_kind("file", fixed.SOURCE_TYPE_RULES)} AS source_type,
         {_kind("file", fixed.PROFILE_SOURCE_TYPE_RULES)} AS profile_type,
@@ -293,7 +315,8 @@ ORACLES: dict[str, str] = {
     "chunk_records": f"""WITH RECURSIVE rows AS ({_document_rows()}),
         {_walk("SELECT doc_id AS id, tx FROM rows WHERE length(tx) > 10", 2000, 200)}
       SELECT replace(file, '.csv', '') || '_' || id AS source_id, chunk_index, total_chunks,
-        {_prompt("title", "file", "chunk_text")} AS prompt, chunk_text FROM pieces JOIN rows ON doc_id = id""",
+        {_prompt("title", "file", "chunk_text")} AS prompt, chunk_text,
+        title AS row_title, lang AS row_lang, md5(raw) AS row_text_md5 FROM pieces JOIN rows ON doc_id = id""",
     "whole_text_records": f"""SELECT replace(file, '.csv', '') || '_' || doc_id AS source_id, 0 AS chunk_index,
         1 AS total_chunks, {_prompt("title", "file", "tx")} AS prompt, lang FROM ({_document_rows()}) WHERE length(tx) > 10""",
     "fallback_text_columns": f"SELECT doc_id, {_pick()} AS text FROM documents",
@@ -306,14 +329,8 @@ ORACLES: dict[str, str] = {
         'Source file: ' || file || chr(10) || 'Title: ' || title || chr(10) || chr(10) || 'Document:' || chr(10) || chunk_text AS input,
         '' AS output, {_kind("file", fixed.SOURCE_TYPE_RULES)} AS source_type, file AS source_filename, title,
         chunk_index, length(chunk_text)::INT AS chunk_chars FROM pieces JOIN rows ON doc_id = id""",
-    "record_documents": f"""SELECT 'pages.json' AS file, page_id AS row_index, url AS title, text FROM (
-        SELECT *, CASE WHEN html_ok AND (NOT url_ok OR length(page) > length(address)) THEN {_clean("page")}
-          WHEN url_ok AND html_ok AND length(page) <= length(address) THEN {_clean("address")}
-          WHEN url_ok THEN {_clean("address")} ELSE '' END AS text
-        FROM (SELECT *, length(address) > 40 AND length({_strip("url")}) > 40 AS url_ok,
-            length(page) > 40 AND length({_strip("html")}) > 40 AS html_ok
-          FROM (SELECT *, {_strip(_plain("url"))} AS address, {_strip(_plain("html"))} AS page FROM pages)))
-      WHERE length(text) > 20""",
+    "record_documents": _record_documents(_plain),
+    "record_documents_dom": _record_documents(_visible),
     "nested_section_documents": f"""SELECT * FROM (SELECT conv_id::VARCHAR AS file, turn AS row_index, '' AS title,
         CASE role WHEN 'user' THEN {_clean("plain || chr(10) || chr(10) || role || chr(10) || chr(10) || role")}
           WHEN 'assistant' THEN {_clean("plain || chr(10) || chr(10) || role || chr(10) || chr(10) || role || chr(10) || chr(10) || 'x'")}
@@ -411,10 +428,15 @@ ORACLES: dict[str, str] = {
     "csv_chunk_records": f"""WITH RECURSIVE
         {_walk(f"SELECT doc_id AS id, {_ROW_TEXT} AS tx FROM documents WHERE length({_ROW_TEXT}) > 10", 2000, 200)}
       SELECT id AS doc_id, chunk_index, total_chunks, chunk_text FROM pieces""",
-    "folder_documents": f"""SELECT title, text FROM (SELECT CASE WHEN lang = 'en' THEN source ELSE lang END AS title,
+    "folder_documents": f"""SELECT title, text FROM (SELECT CASE WHEN lang = 'en' THEN source ELSE coalesce(lang, '') END AS title,
         CASE WHEN lang = 'en' AND length({_strip("text")}) > 20 THEN {_ROW_TEXT}
           WHEN length({_strip("text")}) > 40 AND length({_strip(_plain("text"))}) > 40 THEN {_clean(_strip(_plain("text")))} ELSE '' END AS text
         FROM documents) WHERE length(text) > 20""",
+    "mixed_folder_documents": f"""SELECT source AS title, {_ROW_TEXT} AS text FROM documents
+        WHERE coalesce(doc_id % 4, 0) <> 2 AND length({_strip("text")}) > 20 AND length({_ROW_TEXT}) > 20
+      UNION ALL SELECT '', {_clean("tx")} FROM (SELECT string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS tx
+        FROM documents WHERE doc_id % 4 = 2 GROUP BY doc_id // 200) WHERE length(tx) > 20
+      UNION ALL SELECT 'rejected', unnest(['JSON parse error', 'not valid UTF-8']) FROM (SELECT DISTINCT page_id // 50 FROM pages)""",
     "folder_profile": """SELECT count(*) AS records, 0::BIGINT AS oversampled, 0::BIGINT AS failed, 0::BIGINT AS typed FROM documents""",
     "csv_row_numbers": "SELECT count(*)::BIGINT AS rows, true AS consecutive FROM documents",
 }

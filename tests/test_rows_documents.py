@@ -124,3 +124,14 @@ def test_chunk_text_is_evaluated_once(spark):
     plan = chunk_rows(rows).agg(F.count("*"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert plan.count("<[^>]+>") == len(fixed.CHUNK_TEXT_COLUMNS)
+
+
+def test_text_nodes_of_rows_and_records(spark):
+    markup = "<p>" + "long enough words " * 3 + "<b>end</b></p>"
+    plain = ("long enough words " * 3).strip() + " \nend"
+    rows = spark.createDataFrame([("a", 0, {"name": "n", "note": markup}), ("a", 1, {"note": None})], "file string, row_index int, row map<string,string>")
+    assert [r["text"] for r in documents_of_rows(rows, "dom").collect()] == [plain]
+    values = [{"note": markup}, {"sections": [{"html": markup}]}, {"sections": "[no json " + markup}]
+    records = spark.createDataFrame([("a", i, json.dumps(v)) for i, v in enumerate(values)], "file string, row_index int, record string")
+    found = {r["row_index"]: r["text"] for r in documents_of_records(records, "dom").collect()}
+    assert found == {0: plain, 1: plain, 2: "[no json \n" + plain}
