@@ -5,7 +5,7 @@ similar to a kept one. Sources that fit in a row do this inside a task; this
 module does the same for sources that do not.
 
 Equal sets collapse to their first item before anything else. Similar sets must
-share words among the first few of each (in any fixed word order), so items meet
+share words among the first few of each (rarest words first), so items meet
 only under shared signatures, and under each signature only with its earliest
 undecided items. Every round settles at least the earliest item of each key and
 everything similar to it, hot signatures shrink from the front, and the rows
@@ -31,16 +31,26 @@ def _least_shared(size: Column) -> Column:
     return F.ceil(size * F.lit(JACCARD_THRESHOLD)).cast("int")
 
 
-def _signatures(words: Column) -> Column:
-    """Signatures of a word array; any two sets above the threshold share one.
+def _rarest_first(sets: DataFrame) -> DataFrame:
+    """(key, at, ordered) of (key, at, words): words by how many sets of the key hold them, ties by length and name.
+
+    Phrases common to many sets thus come last and bring nobody together.
+    """
+    each = sets.select("key", "at", F.explode("words").alias("word"))
+    # Stored before the join, so that Spark can split the rows of a common word.
+    held = cut_lineage(each.groupBy("key", "word").agg(F.count("*").alias("held")))
+    ranked = F.array_sort(F.collect_list(F.struct("held", (-F.length("word")).alias("size"), "word")))
+    ordered = F.transform(ranked, lambda item: item["word"])
+    return each.join(held, ["key", "word"]).groupBy("key", "at").agg(ordered.alias("ordered"))
+
+
+def _signatures(ordered: Column) -> Column:
+    """Signatures of a word array in an order all sets of a key keep; any two sets above the threshold share one.
 
-    Words are ordered by length, longest first, as longer words tend to be rarer.
     With at least ``o`` shared words, the first ``size - o + k`` words of both sets
     have ``k`` of them in common.
     """
-    ranked = F.array_sort(F.transform(words, lambda word: F.struct((-F.length(word)).alias("rank"), word.alias("word"))))
-    ordered = F.transform(ranked, lambda item: item["word"])
-    size = F.size(words)
+    size = F.size(ordered)
     head = F.slice(ordered, 1, size - _least_shared(size) + 2)
     pairs = F.flatten(
         F.transform(
@@ -62,8 +72,8 @@ def first_distinct(items: DataFrame, leaders: int = _LEADERS) -> DataFrame:
     """(key, at) of the kept items of (key, at, words), ``at`` being unique and ordered per key."""
     sets = items.select("key", "at", F.array_sort(F.array_distinct("words")).alias("words"))
     words = cut_lineage(sets.groupBy("key", "words").agg(F.min("at").alias("at")))
-    hashed = F.array_distinct(F.transform(_signatures(F.col("words")), lambda text: F.xxhash64(text)))
-    signed = words.select("key", "at", F.explode(hashed).alias("signature"))
+    hashed = F.array_distinct(F.transform(_signatures(F.col("ordered")), lambda text: F.xxhash64(text)))
+    signed = _rarest_first(words).select("key", "at", F.explode(hashed).alias("signature"))
     # A signature of one item brings nobody together: most go here, before any join with words.
     shared = signed.groupBy("key", "signature").agg(F.count("*").alias("n")).where(F.col("n") > 1)
     live = cut_lineage(signed.join(shared, ["key", "signature"], "left_semi"))

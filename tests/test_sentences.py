@@ -3,7 +3,9 @@ import random
 from pyspark.sql import functions as F
 
 from corpusloom.functions.sentences import dedup_text, merge_summaries
+from corpusloom.operators import similar_sets
 from corpusloom.operators.similar_sets import first_distinct
+from corpusloom.session import cut_lineage
 from tests import brute_force
 
 
@@ -71,3 +73,17 @@ def test_distributed_greedy_matches_brute_force(spark):
     for leaders in (2, 64):
         found = {(row["key"], row["at"]) for row in first_distinct(items, leaders).collect()}
         assert found == expected
+
+
+def test_common_phrases_cost_no_rounds(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(similar_sets, "cut_lineage", lambda df: made.append(1) or cut_lineage(df))
+    rounds = {}
+    for n in (100, 1000):
+        own = [F.concat(F.lit(f"{k}:"), (F.xxhash64("id", F.lit(k)) % 50_000).cast("string")) for k in range(8)]
+        words = F.array(F.lit("internationalisation"), F.lit("acknowledgements"), *own)
+        items = spark.range(n).select(F.lit("a").alias("key"), F.col("id").alias("at"), words.alias("words"))
+        made.clear()
+        assert similar_sets.first_distinct(items).count() == n
+        rounds[n] = len(made)
+    assert rounds[1000] <= rounds[100] + 4
