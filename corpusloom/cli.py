@@ -53,7 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--use_hf_fallback", action="store_true", help="use a transformers model")
     generate.add_argument("--hf_fallback_model")
     generate.add_argument("--max_gen", type=int, default=fixed.MAX_NEW_TOKENS)
-    generate.add_argument("--fan_in", type=int, default=FAN_IN, help="most summaries in a prompt; more are reduced in levels")
+    generate.add_argument("--fan_in", type=int, default=FAN_IN, help="most summaries in a prompt, more being reduced in levels; by default a prompt takes all")
     generate.add_argument("--max_chars", type=int, help="kept for compatibility; has no effect")
 
     merge = commands.add_parser("merge", help="summaries to one record per source")

@@ -15,7 +15,8 @@ from corpusloom.operators.groups import position, source_key
 from corpusloom.session import cut_lineage
 
 CHUNK_STEP, FINAL_STEP = "chunk_summary", "final_summary"
-FAN_IN = 1_000
+# No levels: a source's final prompt takes all its summaries, whatever their number.
+FAN_IN = None
 
 
 def summarize_chunks(
@@ -80,19 +81,23 @@ def summarize_sources(
     chunk_results: DataFrame,
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    fan_in: int = FAN_IN,
+    fan_in: int | None = FAN_IN,
 ) -> DataFrame:
     """Final results, one per source with any usable chunk summary.
 
-    A prompt takes ``fan_in`` summaries at most. Where a source has more, those of
-    ``fan_in`` consecutive chunks are summarised first, and so on in levels; its
-    ``chunk_summaries`` are then those of the last level, its total that of all chunks.
+    A source's prompt takes all its usable summaries and its ``chunk_summaries`` are
+    those of all its chunks, so one task gathers them and one cell (2 GB) must hold
+    them. Only a caller who sets ``fan_in`` gets levels: a prompt then takes that many
+    summaries at most, those of ``fan_in`` consecutive chunks are summarised first,
+    and so on; ``chunk_summaries`` are then those of the last level, the total that of
+    all chunks, and every chunk's own summary is in the chunk results alone.
     """
     rows = chunk_results.select(
         "source_id", position().alias("at"), "chunk_summary", F.lit(1).cast("long").alias("chunks"),
         F.col("original_chunk.original_row").alias("row"),
     )
-    rows = _reduced(rows, load, max_gen, fan_in)
+    if fan_in is not None:
+        rows = _reduced(rows, load, max_gen, fan_in)
     grouped = rows.groupBy("source_id").agg(
         F.array_sort(F.collect_list(F.struct("at", "chunk_summary"))).alias("items"),
         F.min_by(_with_defaults(F.col("row")), "at").alias("source_metadata"),
@@ -118,7 +123,7 @@ def summarize_hierarchically(
     chunks: DataFrame,
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    fan_in: int = FAN_IN,
+    fan_in: int | None = FAN_IN,
 ) -> DataFrame:
     """Chunk results and final results in one table, told apart by ``generation_step``.
 

@@ -108,7 +108,7 @@ def generate_summaries(
     output: str,
     load: Callable[[], TextGenerator] = LeadGenerator,
     max_gen: int = fixed.MAX_NEW_TOKENS,
-    fan_in: int = FAN_IN,
+    fan_in: int | None = FAN_IN,
 ) -> dict[str, int]:
     """Chunk records to chunk and final summaries."""
     chunks = read_jsonl(spark, path, CHUNK_SCHEMA)

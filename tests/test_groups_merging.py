@@ -1,4 +1,5 @@
 import random
+import re
 import sys
 
 import pytest
@@ -158,6 +159,27 @@ def test_every_source_gets_a_final_result_at_any_fan_in(spark, fan_in):
     assert all(row["final_summary"] and len(row["chunk_summaries"]) <= fan_in for row in finals)
 
 
+class Sections:
+    """Tells how many summaries the final prompt holds."""
+
+    def generate(self, prompt, max_new_tokens):
+        found = re.findall(r"^Section \d+: ", prompt, re.MULTILINE)
+        return f"{len(found)} sections" if found else prompt
+
+
+def test_number_of_chunks_changes_no_result(spark):
+    """A source of 1,001 chunks keeps every summary and gets one prompt, like one of two chunks."""
+    rows = [(source, n, total, f"p{n}", "c", {}, n) for source, total in (("long", 1001), ("short", 2)) for n in range(total)]
+    schema = "source_id string, chunk_index int, total_chunks int, prompt string, chunk_text string, original_row map<string,string>, ordinal bigint"
+    results = summarize_hierarchically(spark.createDataFrame(rows, schema), Sections)
+    finals = {row["source_id"]: row for row in results.where("generation_step = 'final_summary'").collect()}
+    for source, total in (("long", 1001), ("short", 2)):
+        assert finals[source]["chunk_summaries"] == [f"p{n}" for n in range(total)]
+        assert (finals[source]["final_summary"], finals[source]["total_chunks"]) == (f"{total} sections", total)
+    merged = merge_results(results.withColumn("ordinal", F.coalesce("ordinal", F.lit(0))))
+    assert {row["source_id"]: len(row["chunk_summaries"]) for row in merged.collect()} == {"long": 1001, "short": 2}
+
+
 def test_generated_text_is_not_made_twice(spark):
     plan = summarize_chunks(_chunk_records(spark), LeadGenerator).where("chunk_summary <> ''")
     assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
