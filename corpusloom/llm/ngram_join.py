@@ -4,8 +4,8 @@ Texts with equal sets of word shingles are one class. A run picks one shared
 shingle per set by MinHash, so that sets with similarity s meet with probability
 s; the runs repeat until the chance to miss a pair at the threshold is below one
 minus the target recall. Buckets that are too large are split again, and again,
-on four further sampled shingles each, unless their sets are so alike that a
-split would not part them. Leaves are brute-forced in blocks: pairs of blocks are
+on four further sampled shingles each, drawn for that run and level alone, unless
+their sets are so alike that a split would not part them. Leaves are brute-forced in blocks: pairs of blocks are
 tasks, each pair of sets is counted in the first leaf its sets share, and a leaf
 whose members all share an earlier one is left out. Tasks give back sums and a
 forest, never pairs, so rows grow with the sets and not with pairs of them.
@@ -82,6 +82,11 @@ def runs_for(threshold: float, recall: float) -> int:
     return max(1, ceil(log(1 - recall) / log(1 - meets)))
 
 
+def seeds_of(runs: int) -> np.ndarray:
+    """One seed per run, then each run's own CHILDREN per level: runs that shared them would miss the same pairs."""
+    return _seeds(runs * (1 + LEVELS * CHILDREN))
+
+
 def _signer(width: int, seeds: np.ndarray):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = worker_state("word_hashes", _WordHashes)
@@ -112,11 +117,15 @@ def _shingler(width: int):
 
 def _leaves(classes: DataFrame, runs: int) -> DataFrame:
     """(key, order, leaf, n): the leaves of each class, in order of their paths; buckets of one class are gone."""
+    own = LEVELS * CHILDREN
     starts = F.transform(
         F.sequence(F.lit(0), F.lit(runs - 1)),
-        lambda r: F.struct((r * 100).alias("order"), F.xxhash64(r, F.get("marks", r)).alias("bucket")),
-    )
-    rows = classes.select("key", "marks", F.explode(starts).alias("b")).select("key", "marks", "b.order", "b.bucket")
+        lambda r: F.struct(
+            (r * 100).alias("order"), F.xxhash64(r, F.get("marks", r)).alias("bucket"),
+            F.slice("marks", r * own + (runs + 1), F.lit(own)).alias("marks"),
+        ),
+    )
+    rows = classes.select("key", F.explode(starts).alias("b")).select("key", "b.marks", "b.order", "b.bucket")
     done = None
     for level in range(LEVELS + 1):
         # Stored before the join, so that Spark can split the rows of a large bucket over tasks.
@@ -125,7 +134,7 @@ def _leaves(classes: DataFrame, runs: int) -> DataFrame:
         large = rows.where(F.col("n") > LEAF)
         if level == LEVELS or large.isEmpty():
             return rows_of(rows, done)
-        first, unit = runs + level * CHILDREN, 10 ** (1 - level)
+        first, unit = level * CHILDREN, 10 ** (1 - level)
         paths = F.transform(
             F.sequence(F.lit(0), F.lit(CHILDREN - 1)),
             lambda c: F.struct(
@@ -272,7 +281,7 @@ def similar_documents(
     copies; other columns are ignored; an empty table gives no rows.
     """
     runs = runs_for(threshold, recall)
-    seeds = _seeds(runs + LEVELS * CHILDREN)
+    seeds = seeds_of(runs)
     text = whole_text("text")
     rows = docs.select("doc_id", F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(3), text).alias("t2"), text.alias("_text"))
     id_field = rows.schema["doc_id"]

@@ -74,6 +74,30 @@ def test_large_buckets_are_split_and_blocked(make_docs, monkeypatch, leaf):
     assert got(similar_documents(make_docs(rows))) == brute_similar(rows)
 
 
+def pairs_at_the_threshold(pairs):
+    """Twice ``pairs`` sets of 90 words, 2k and 2k + 1 at 0.8 exactly; other pairs share words that a fifth of all sets hold."""
+    rng, pool = random.Random(11), [f"common{n}" for n in range(400)]
+    for k in range(pairs):
+        core = rng.sample(pool, 80)
+        for side in range(2):
+            yield 2 * k + side, " ".join(core + [f"own{k}x{side}x{n}" for n in range(10)])
+
+
+def test_runs_do_not_share_their_splits(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "LEAF", 32)
+    number, pairs = runs_for(0.8, 0.9999), 4_000
+    seeds, rows = ngram_join.seeds_of(number), []
+    for at, text in pairs_at_the_threshold(pairs):
+        words = ngram_join.shingle_set(text, ngram_join._WordHashes(), 1)
+        rows.append((at.to_bytes(4, "big"), ngram_join.min_hashes(words, seeds).tolist()))
+    classes = spark.createDataFrame(rows, "key binary, marks array<long>")
+    met = defaultdict(set)
+    for row in ngram_join._leaves(classes, number).select("key", "leaf").collect():
+        met[int.from_bytes(row["key"], "big")].add(row["leaf"])
+    missed = sum(not met[2 * k] & met[2 * k + 1] for k in range(pairs))
+    assert missed <= 2  # 0.4 expected at most; 6 while runs shared their splits
+
+
 def test_runs_reach_the_target():
     assert runs_for(0.8, 0.9999) == 6 and runs_for(0.8, 0.9) < runs_for(0.8, 0.99) < runs_for(0.5, 0.99)
 
