@@ -62,7 +62,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark; n_chars follows the text."""
-    masked = docs.withColumn("text", redacted(F.col("text")))
+    masked = docs.withColumn("text", redacted(F.col("text"), runs=True))
     if "n_chars" in docs.columns:
         masked = masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return masked

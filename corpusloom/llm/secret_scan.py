@@ -43,6 +43,17 @@ ALLOWED = [
     r"0123456789|(?i:abcdefghij)",
     r"^sha(256|384|512)-",
 ]
+# For masking: runs of narrower classes inside a candidate, each judged by its own characters.
+RUNS = [r"[0-9a-f]{24,}", r"[0-9A-F]{24,}", r"[A-Z0-9]{24,}", CANDIDATE]
+_TOKEN = r"[A-Za-z0-9+/_=-]"
+# What ALLOWED means where it stands, and the length of a match: only windows that overlap it are let off.
+_LET_OFF = [
+    (rf"(?<!{_TOKEN})[0-9A-Fa-f]{{8}}-(?:[0-9A-Fa-f]{{4}}-){{3}}[0-9A-Fa-f]{{12}}(?!{_TOKEN})", 36),
+    (rf"(?:\G(?!^)|(?<!{_TOKEN})(?=sha(?:256|384|512)-)){_TOKEN}", 1),
+    *[(f"(?i:{word})", len(word)) for word in "example placeholder changeme dummy sample abcdefghij".split()],
+    (r"(.)\1{7}", 8),
+    ("0123456789", 10),
+]
 MARK = "[SECRET]"
 
 _SPANS = "array<struct<start:int,end:int,kind:int>>"
@@ -167,7 +178,7 @@ def _span(state: Column, offset: Column) -> Column:
     return F.struct((state["start"] + offset).alias("start"), (state["end"] + offset).alias("end"), kind)
 
 
-def _entropy_spans(text: Column) -> Column:
+def _entropy_spans(text: Column, pattern: str = CANDIDATE) -> Column:
     def of(match: Column) -> Column:
         bits = _least_bits(match["text"])
         return let(
@@ -175,17 +186,27 @@ def _entropy_spans(text: Column) -> Column:
             lambda b: F.when(b.isNull(), _no_spans()).otherwise(_windows(match["text"], match["start"], b)),
         )
 
-    return F.flatten(F.transform(_placed(text, CANDIDATE), of))
+    return F.flatten(F.transform(_placed(text, pattern), of))
+
+
+def _run_spans(text: Column) -> Column:
+    """Entropy spans of the runs inside candidates, what is let off being blanked, place by place."""
+    for pattern, length in _LET_OFF:
+        text = F.regexp_replace(text, pattern, " " * length)
+    return let(text, lambda blanked: F.concat(*[_entropy_spans(blanked, pattern) for pattern in RUNS]))
 
 
-def secret_spans(text: Column) -> Column:
+def secret_spans(text: Column, runs: bool = False) -> Column:
     """All spans of one whole text: array of (start, end, kind), by start, then kind; code points, end exclusive.
 
     ``kind`` counts in ``KINDS``. A missing text is an empty one; an empty text has no spans.
+    By default a candidate is judged as a whole, a name joined to its value by = or _
+    included; with ``runs`` the runs inside it are judged too, each by its own class.
     """
 
     def scan(whole: Column) -> Column:
         every = F.concat(*[_pattern_spans(whole, kind) for kind in range(len(PATTERNS))], _entropy_spans(whole))
+        every = F.concat(every, F.when(whole.rlike(CANDIDATE), _run_spans(whole)).otherwise(_no_spans())) if runs else every
         by_place = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
         return F.transform(
             F.sort_array(by_place),
@@ -204,8 +225,11 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(written, ",")
 
 
-def redacted(text: Column) -> Column:
-    """The text with every run of overlapping spans replaced by a mark; null and clean texts stay as they are."""
+def redacted(text: Column, runs: bool = False) -> Column:
+    """The text with every run of overlapping spans replaced by a mark; null and clean texts stay as they are.
+
+    ``runs`` as in :func:`secret_spans`.
+    """
 
     def cut(spans: Column) -> Column:
         empty = F.array().cast("array<struct<start:int,end:int>>")
@@ -229,7 +253,7 @@ def redacted(text: Column) -> Column:
 
         return F.when(F.size(spans) == 0, text).otherwise(let(F.aggregate(spans, empty, merge), rebuild))
 
-    return let(secret_spans(text), cut)
+    return let(secret_spans(text, runs), cut)
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
