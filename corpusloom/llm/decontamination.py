@@ -51,9 +51,9 @@ def _hashed_shingles(text: Column, width: int) -> Column:
 
 
 def _sketches(items: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(item_id, size, least, shingles, sketch) of items that have a shingle."""
+    """(item_id, _item, size, least, shingles, sketch) of items that have a shingle."""
     made = items.select(
-        "item_id", shingles_of(F.col("_text"), width).alias("shingles"),
+        "item_id", "_item", shingles_of(F.col("_text"), width).alias("shingles"),
         _hashed_shingles(F.col("_text"), width).alias("hashes"),
     )
     made = made.withColumn("size", F.size("shingles")).where(F.col("size") > 0)
@@ -61,28 +61,27 @@ def _sketches(items: DataFrame, width: int, threshold: float) -> DataFrame:
     length = F.floor(largest_of_partition * F.lit(1 - threshold) + F.lit(1e-9)).cast("int") + 1
     least = F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)).cast("int")
     return made.select(
-        "item_id", "size", least.alias("least"), "shingles", F.slice(F.sort_array("hashes"), F.lit(1), length).alias("sketch")
+        "item_id", "_item", "size", least.alias("least"), "shingles", F.slice(F.sort_array("hashes"), F.lit(1), length).alias("sketch")
     )
 
 
 def _search(keyed: DataFrame, items: DataFrame, width: int) -> DataFrame:
     """Verified rows of one block of items."""
-    probes = items.select("item_id", "least", F.explode("sketch").alias("h"))
+    probes = items.select("_item", "least", F.explode("sketch").alias("h"))
     held = keyed.select("_k1", "_k2", _hashed_shingles(F.col("_text"), width).alias("hashes"))
     held = held.select("_k1", "_k2", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
     met = held.join(F.broadcast(probes), "h").where(F.col("n") >= F.col("least"))
-    candidates = cut_lineage(met.select("_k1", "_k2", "item_id").distinct())
+    candidates = cut_lineage(met.select("_k1", "_k2", "_item").distinct())
 
     wanted = cut_lineage(candidates.select("_k1", "_k2").distinct())
     texts = keyed.join(small_side(wanted, _BROADCAST_ROWS), ["_k1", "_k2"], "left_semi")
     parts = texts.select("doc_id", "_k1", "_k2", F.explode(shingles_of(F.col("_text"), width)).alias("shingle"))
-    known = items.select("item_id", "size", "least", F.explode("shingles").alias("shingle"))
+    known = items.select("item_id", "_item", "size", "least", F.explode("shingles").alias("shingle"))
     # Repeated rows have equal keys and equal shingles: each shingle counts once per key.
     found = parts.join(F.broadcast(known), "shingle")
-    shared = found.groupBy("doc_id", "_k1", "_k2", "item_id", "size", "least").agg(F.count_distinct("shingle").alias("shared"))
+    shared = found.groupBy("doc_id", "_k1", "_k2", "item_id", "_item", "size", "least").agg(F.count_distinct("shingle").alias("shared"))
     verified = shared.where(F.col("shared") >= F.col("least"))
-    same = [verified[k] == candidates[k] for k in ("_k1", "_k2")] + [verified["item_id"].eqNullSafe(candidates["item_id"])]
-    return verified.join(candidates, same, "left_semi")
+    return verified.join(candidates, ["_k1", "_k2", "_item"], "left_semi")
 
 
 def contained_items(
@@ -93,19 +92,21 @@ def contained_items(
     ``docs`` is (doc_id, text), ``items`` (item_id, text); other columns are ignored.
     Missing texts are empty; a text of fewer than ``width`` words has no shingle, so it
     neither contains nor is contained. A row without an id is searched like any other.
-    Equal (doc_id, text) rows give one result, equal item ids one item (their first
-    text in order). No hits or empty tables give no rows.
+    Equal (doc_id, text) rows give one result, and so do equal (item_id, text) items;
+    other texts under the same id, or without one, are items of their own, each with
+    its own result. No hits or empty tables give no rows.
     """
     text = whole_text("text")
     keyed = docs.select(
         "doc_id", text.alias("_text"),
         F.xxhash64(F.col("doc_id"), text, F.lit(1)).alias("_k1"), F.xxhash64(F.lit(2), text, F.col("doc_id")).alias("_k2"),
     )
-    one_text = items.select("item_id", text.alias("_text")).groupBy("item_id").agg(F.min("_text").alias("_text"))
-    sketched = cut_lineage(_sketches(one_text, width, threshold))
+    each_item = items.select("item_id", text.alias("_text")).distinct()
+    inner = F.sha2(F.concat_ws(" ", F.coalesce(F.col("item_id").cast("string"), F.lit("-")), "_text"), 256)
+    sketched = cut_lineage(_sketches(each_item.withColumn("_item", inner), width, threshold))
     total = sketched.agg(F.sum("size")).collect()[0][0] or 0
     blocks = max(1, ceil(total / block_shingles))
-    place = F.pmod(F.xxhash64("item_id", F.lit(5)), F.lit(blocks))
+    place = F.pmod(F.xxhash64("_item", F.lit(5)), F.lit(blocks))
     each = [_search(keyed, sketched.where(place == block) if blocks > 1 else sketched, width) for block in range(blocks)]
     found = reduce(DataFrame.unionByName, each)
     return found.select(

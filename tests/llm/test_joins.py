@@ -147,3 +147,12 @@ def test_leaks_like_brute_force(spark, make_docs, odd_rows):
     assert got(contained_items(make_docs(docs), benchmark, block_shingles=100)) == found
     assert contained_items(make_docs(docs), benchmark.limit(0)).count() == 0
     assert contained_items(make_docs(docs).limit(0), benchmark).count() == 0
+
+
+def test_items_without_an_id_and_with_repeated_ids(spark, make_docs):
+    items = [(None, prose(601, 40)), (None, prose(602, 40)), (7, prose(603, 40)), (7, prose(604, 40)), (7, prose(604, 40)), (8, prose(605, 40))]
+    docs = [(k, prose(k, 100) + " " + prose(601 + k, 40) + " " + prose(k + 50, 100)) for k in range(5)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = got(contained_items(make_docs(docs), benchmark))
+    assert found == brute_leaks(docs, items) and [row[:2] for row in found] == [(0, None), (1, None), (2, 7), (3, 7), (4, 8)]
+    assert got(contained_items(make_docs(docs), benchmark, block_shingles=40)) == found
