@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions.classify import is_error
-from corpusloom.functions.sentences import dedup_text, distinct_sentences, join_sentences, merge_summaries
+from corpusloom.functions.sentences import dedup_text, distinct_sentences, join_sentences
 from corpusloom.functions.text import non_empty
 from corpusloom.operators.generation import CHUNK_STEP, FINAL_STEP
 from corpusloom.operators.groups import position, source_key
@@ -27,10 +27,10 @@ def merge_results(results: DataFrame, whole: bool = True) -> DataFrame:
 
     Expects the columns of :func:`generation.summarize_hierarchically`. A source's
     last final result counts; where it is missing or empty and there are chunk
-    results, the summary is rebuilt from those. ``whole`` gives one record per source
-    with one shuffle; otherwise a source rebuilt from chunks yields one record per
-    chunk, in order of ``part``, and nothing is gathered per source. The choice is
-    the caller's and holds for all sources alike.
+    results, the summary is rebuilt from those. A source rebuilt from chunks yields one
+    record per chunk, in order of ``part``, its sentences being compared across tasks.
+    ``whole`` then puts the parts of each source together in one task and one cell (2 GB).
+    The choice is the caller's and holds for all sources alike.
     """
     step = F.col("generation_step")
     rows = results.select(
@@ -42,7 +42,8 @@ def merge_results(results: DataFrame, whole: bool = True) -> DataFrame:
         F.coalesce("chunk_summary", F.lit("")).alias("summary"),
         F.col("original_chunk.original_row").alias("row"),
     ).where(step.isin(CHUNK_STEP, FINAL_STEP))
-    return _merge_whole(rows) if whole else _merge_parts(rows)
+    parts = _merge_parts(rows)
+    return _joined(parts) if whole else parts
 
 
 def _record(df: DataFrame, part: Column, text: Column, part_type: T.DataType) -> DataFrame:
@@ -59,23 +60,19 @@ def _record(df: DataFrame, part: Column, text: Column, part_type: T.DataType) ->
     )
 
 
-def _merge_whole(rows: DataFrame) -> DataFrame:
-    is_final = F.col("is_final")
-    grouped = rows.groupBy("source_id").agg(
-        F.max_by("final", F.when(is_final, F.struct("ordinal"))).alias("final"),
-        F.array_sort(F.collect_list(F.when(~is_final, F.struct("at", "summary")))).alias("items"),
-        F.min_by("row", F.when(~is_final, F.col("at"))).alias("row"),
-    )
-    rebuild = non_empty("final.final_summary").isNull() & (F.size("items") > 0)
-    summaries = F.transform("items", lambda item: item["summary"])
-    chosen = grouped.select(
-        "source_id",
-        F.when(rebuild, F.size("items")).otherwise(F.col("final.total_chunks")).alias("total_chunks"),
-        F.when(rebuild, summaries).otherwise(F.col("final.chunk_summaries")).alias("chunk_summaries"),
-        F.when(rebuild, F.col("row")).otherwise(F.col("final.source_metadata")).alias("source_metadata"),
-        F.when(rebuild, summaries).otherwise(F.array("final.final_summary")).alias("texts"),
-    )
-    return _record(chosen, F.lit(None), merge_summaries("texts"), rows.schema["at"].dataType)
+def _joined(parts: DataFrame) -> DataFrame:
+    """One record per source: its parts in order, put together as they are."""
+    apart = parts.where(F.col("part").isNotNull())
+    items = F.array_sort(F.collect_list(F.struct("part", "final_summary", "chunk_summaries")))
+    first = F.min_by(F.struct("source_metadata", "original_row", "processing_step"), "part").alias("first")
+    grouped = apart.groupBy("source_id").agg(items.alias("items"), F.sum("total_chunks").cast("int").alias("total_chunks"), first)
+    texts = F.filter(F.transform("items", lambda item: item["final_summary"]), lambda text: text != "")
+    whole = grouped.select(
+        "source_id", F.lit(None).cast(parts.schema["part"].dataType).alias("part"), "total_chunks",
+        F.array_join(texts, " ").alias("final_summary"),
+        F.flatten(F.transform("items", lambda item: item["chunk_summaries"])).alias("chunk_summaries"), "first.*",
+    )
+    return parts.where(F.col("part").isNull()).unionByName(whole)
 
 
 def _merge_parts(rows: DataFrame) -> DataFrame:

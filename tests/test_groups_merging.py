@@ -81,6 +81,16 @@ def test_one_source_with_a_third_of_all_rows(spark):
     assert merge_statistics(merge_results(results, whole=False)).first() == merge_statistics(merge_results(results)).first()
 
 
+def test_whole_records_are_joined_parts(spark):
+    """No task removes the sentences of a whole source: the record is put together from de-duplicated parts."""
+    rows = [_chunk("a", n, f"Chunk number {n} of this. The same sentence every time.") for n in range(6)]
+    merged = merge_results(_results(spark, rows).repartition(3))
+    assert "_list_udf" not in merged._jdf.queryExecution().toString()
+    [row] = merged.collect()
+    assert row["part"] is None and row["total_chunks"] == 6 == len(row["chunk_summaries"])
+    assert row["final_summary"].count("The same sentence every time.") == 1
+
+
 def test_oversized_source_with_a_final_result(spark):
     rows = [_chunk("a", n, f"Chunk number {n} of this.") for n in range(5)] + [_final("a", "Final text of the source.", total_chunks=5)]
     [row] = merge_results(_results(spark, rows), whole=False).collect()
