@@ -21,8 +21,10 @@ WORDS_KEPT = 400_000  # some 150 bytes each, in two stores
 _WORDS_A_TEXT = 500
 # Runs of these after a letter are tokens of their own in the pattern that is asked for below.
 _TRAILING = b".,!?;:#$%&*|"
-# Letters up to U+024F, as bytes.
-_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])"
+# Letters up to U+024F, as bytes, but for U+0130, whose lower case has a mark that is no letter.
+_LETTER = (
+    rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|[\xc5-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])"
+)
 _LETTERS, _LETTER_LAST = re.compile(_LETTER + rb"+"), re.compile(_LETTER + rb"\Z")
 _LETTERS_APART = (r"[\p{L}]+", r"[\p{N}]", r"[^\s\p{L}\p{N}]+")
 
@@ -63,8 +65,9 @@ class TextIds:
             part = plain[at : at + _WORDS_A_TEXT]
             data = self._encoded([b" ".join(part).decode()])[0]
             ends = (np.flatnonzero(self.last_of_word[np.frombuffer(data, self.dtype)]) + 1) * self.dtype.itemsize
-            if len(ends) != len(part):
-                raise ValueError("a word of letters was not encoded as one")
+            if len(ends) != len(part):  # some word was not encoded as one
+                made.update(zip(part, self._encoded([word.decode() for word in part])))
+                continue
             begin = 0
             for word, end in zip(part, ends.tolist()):
                 made[word] = data[begin:end]
