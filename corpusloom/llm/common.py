@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import itertools
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.session import shared_folder
+
 # White space between words; a word is a run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -91,3 +95,39 @@ def slices(batches, rows: int = 256):
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written to the shared folder and read again: lost executors never force their remaking."""
+    folder = f"{shared_folder(rows.sparkSession)}/{name}-{uuid4()}"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
+def folded(parts: DataFrame, fold: Callable[[Iterator[tuple]], tuple], fan_in: int = 32) -> tuple:
+    """One tuple of all rows of ``parts``, which hold one state of a fixed size per task.
+
+    Many states are folded in levels by tasks; at most ``fan_in`` reach the driver.
+    """
+    fields, left = parts.schema, parts.rdd.getNumPartitions()
+    names, schema = fields.names, pa.schema([(f.name, {"bigint": pa.int64(), "binary": pa.binary()}[f.dataType.simpleString()]) for f in fields])
+
+    def rows_of(batches):
+        for batch in batches:
+            yield from zip(*(batch[name].to_pylist() for name in names))
+
+    def run(batches):
+        rows = iter(rows_of(batches))
+        first = next(rows, None)
+        if first is not None:
+            made = fold(itertools.chain([first], rows))
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(made, schema)], schema=schema)
+
+    while left > fan_in:
+        left = -(-left // fan_in)
+        parts = parts.repartition(left).mapInArrow(run, fields)
+    return fold(tuple(map(_plain, row)) for row in parts.collect())
+
+
+def _plain(value):
+    return bytes(value) if isinstance(value, bytearray) else value

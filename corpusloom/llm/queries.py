@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.chat_format import chat_digest, format_chats, read_chats
 from corpusloom.llm.common import in_fold, one_label, table
 from corpusloom.llm.decontamination import contained_items
+from corpusloom.llm.lm_scoring import score_texts
 from corpusloom.llm.ngram_join import similar_documents
 from corpusloom.llm.oracles import ORACLES
 from corpusloom.llm.packing import pack_documents, packed_digest
@@ -97,11 +98,16 @@ def op10_quality_classifier(spark, sf_dir) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op13_lm_scoring(spark, sf_dir) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_secret_scans, op4_toxicity, op5_token_files, op6_chat_formatting,
         op7_benchmark_decontamination, op8_packing, op9_sharding, op10_quality_classifier,
+        op13_lm_scoring,
     )
 }
 
