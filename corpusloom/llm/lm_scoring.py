@@ -36,6 +36,7 @@ ROUNDS = 2
 NOISE = 32  # noise words that a batch shares
 BATCH = 4096
 _BUFFER = 64 * BATCH
+_BLOCK = 256  # rows of a matrix product; larger ones would start threads beyond the task's own
 _RATE = 0.1
 _WORDS_HELD = 500_000
 _LONG = 32
@@ -198,23 +199,23 @@ class LogBilinear:
     def learn(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
         """One step of noise-contrastive estimation; the batch shares its noise words."""
         near, far, q_target = self.R[one], self.R[two], self.Q[target]
-        guess = near @ self.C1 + far @ self.C2
+        guess = _product(near, self.C1) + _product(far, self.C2)
         drawn = np.minimum(np.searchsorted(self.limits, self.rng.random(NOISE)), len(self.limits) - 1)
         q_noise = self.Q[drawn]
         offset = self.bias - self.log_noise
         true = np.einsum("ij,ij->i", guess, q_target) + offset[target]
-        false = guess @ q_noise.T + offset[drawn]
+        false = _product(guess, q_noise.T) + offset[drawn]
         g_true = -1 / (1 + np.exp(true))  # sigmoid less 1
         g_false = 1 / (1 + np.exp(-false))
-        g_guess = g_true[:, None] * q_target + g_false @ q_noise
+        g_guess = g_true[:, None] * q_target + _product(g_false, q_noise)
         steps = {name: np.zeros_like(getattr(self, name)) for name in ("R", "Q", "bias")}
         _add_rows(steps["Q"], target, g_true[:, None] * guess)
-        np.add.at(steps["Q"], drawn, g_false.T @ guess)
+        np.add.at(steps["Q"], drawn, _summed(g_false, guess))
         steps["bias"] += np.bincount(target, g_true, len(self.bias)).astype(np.float32)
         np.add.at(steps["bias"], drawn, g_false.sum(0))
-        _add_rows(steps["R"], one, g_guess @ self.C1.T)
-        _add_rows(steps["R"], two, g_guess @ self.C2.T)
-        steps["C1"], steps["C2"] = near.T @ g_guess, far.T @ g_guess
+        _add_rows(steps["R"], one, _product(g_guess, self.C1.T))
+        _add_rows(steps["R"], two, _product(g_guess, self.C2.T))
+        steps["C1"], steps["C2"] = _summed(near, g_guess), _summed(far, g_guess)
         for name, step in steps.items():
             step /= len(target)
             self.squares[name] += step * step
@@ -227,6 +228,20 @@ class LogBilinear:
         return (top + np.log(np.exp(scores - top).sum(axis=1, keepdims=True)))[:, 0]
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b for a long a, block by block."""
+    whole = len(a) - len(a) % _BLOCK
+    blocks = (a[:whole].reshape(-1, _BLOCK, a.shape[1]) @ b).reshape(whole, b.shape[1])
+    return np.concatenate([blocks, a[whole:] @ b]) if whole < len(a) else blocks
+
+
+def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for long a and b, block by block."""
+    whole = len(a) - len(a) % _BLOCK
+    blocks = a[:whole].reshape(-1, _BLOCK, a.shape[1]).transpose(0, 2, 1) @ b[:whole].reshape(-1, _BLOCK, b.shape[1])
+    return blocks.sum(axis=0) + a[whole:].T @ b[whole:]
+
+
 def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     order = np.argsort(rows, kind="stable")
     sorted_rows = rows[order]
