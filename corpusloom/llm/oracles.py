@@ -85,9 +85,29 @@ SELECT conv_id, count(*) AS n_turns,
 FROM o GROUP BY conv_id
 """
 
+TERMS = (
+    r"list_transform(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), "
+    "lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
+)
+
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS ws FROM documents),
+n AS (SELECT r, doc_id, len(ws) AS n, ws FROM d WHERE len(ws) > 0),
+a AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM n),
+t AS (SELECT r, x, count(*) AS tf FROM (SELECT r, unnest(ws) AS x FROM n) GROUP BY r, x),
+w AS (SELECT x, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM t, a GROUP BY x, docs),
+q AS (SELECT DISTINCT item_id, x FROM (SELECT item_id, unnest({TERMS}) AS x FROM benchmark)),
+s AS (SELECT item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::BIGINT AS score
+  FROM q JOIN w USING (x) JOIN t USING (x) JOIN n USING (r), a GROUP BY item_id, doc_id, r)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
 ORACLES = {
     "op2_ngram_jaccard_join": SIMILAR,
     "op3_secret_scans": _secrets(),
     "op6_chat_formatting": CHATS,
     "op7_benchmark_decontamination": LEAKS,
+    "op12_lexical_search": RANKED,
 }

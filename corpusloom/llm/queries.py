@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.llm.chat_format import chat_digest, format_chats, read_chats
 from corpusloom.llm.common import in_fold, one_label, table
 from corpusloom.llm.decontamination import contained_items
+from corpusloom.llm.lexical_search import search_documents
 from corpusloom.llm.lm_scoring import score_texts
 from corpusloom.llm.ngram_join import similar_documents
 from corpusloom.llm.oracles import ORACLES
@@ -21,6 +22,7 @@ from corpusloom.llm.secret_scan import KINDS, find_secrets, spans_text
 from corpusloom.llm.sharding import shard_documents
 from corpusloom.llm.token_files import read_token_files, write_token_files
 from corpusloom.llm.toxicity import learn_toxicity, score_toxicity
+from corpusloom.llm.whitening import whiten
 from corpusloom.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +100,14 @@ def op10_quality_classifier(spark, sf_dir) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_embedding_whitening(spark, sf_dir) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lexical_search(spark, sf_dir) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_lm_scoring(spark, sf_dir) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), in_fold("doc_id", 7, 2))
 
@@ -107,7 +117,7 @@ QUERIES = {
     for f in (
         op1_quality_rules, op2_ngram_jaccard_join, op3_secret_scans, op4_toxicity, op5_token_files, op6_chat_formatting,
         op7_benchmark_decontamination, op8_packing, op9_sharding, op10_quality_classifier,
-        op13_lm_scoring,
+        op11_embedding_whitening, op12_lexical_search, op13_lm_scoring,
     )
 }
 
