@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.chunking import chunk_text
@@ -539,17 +539,17 @@ def csv_round_trip(spark, sf_dir):
 
 
 def csv_row_numbers(spark, sf_dir):
-    """Rows numbered per file, files opened by the tasks as streams."""
-    folder = f"{_scratch(spark)}/blocks"
-    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    write_review_csv(documents, folder)
-    rows, _ = read_csv_rows(spark, folder, stream_bytes=64 * 1024)
-    numbers = F.col("row_index")
-    per_file = rows.groupBy("file").agg(
-        F.count("*").alias("n"), F.count_distinct(numbers).alias("d"), F.min(numbers).alias("a"), F.max(numbers).alias("z")
-    )
-    consecutive = (F.col("n") == F.col("d")) & (F.col("a") == 0) & (F.col("z") == F.col("n") - 1)
-    return per_file.agg(F.sum("n").alias("rows"), F.bool_and(consecutive).alias("consecutive"))
+    """Every row of CSV files in order, with its number over all files: that in its file and the rows of the files before."""
+    folder = f"{_scratch(spark)}/numbered"
+    write_review_csv(_documents(spark, sf_dir).select("doc_id", "text"), folder, order_by=["doc_id"])
+    rows, _ = read_csv_rows(spark, folder, trim=False)
+    sizes = rows.groupBy("path").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("path").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    row = F.col("row")
+    return rows.join(sizes.select("path", before.alias("before")), "path").select(
+        row["doc_id"].cast("bigint").alias("doc_id"), (F.col("before") + F.col("row_index")).alias("number"),
+        F.md5(row["text"].cast("binary")).alias("text_md5"),
+    )
 
 
 def _csv_folders(spark: SparkSession, sf_dir: str) -> list[str]:

@@ -438,5 +438,5 @@ ORACLES: dict[str, str] = {
         FROM documents WHERE doc_id % 4 = 2 GROUP BY doc_id // 200) WHERE length(tx) > 20
       UNION ALL SELECT 'rejected', unnest(['JSON parse error', 'not valid UTF-8']) FROM (SELECT DISTINCT page_id // 50 FROM pages)""",
     "folder_profile": """SELECT count(*) AS records, 0::BIGINT AS oversampled, 0::BIGINT AS failed, 0::BIGINT AS typed FROM documents""",
-    "csv_row_numbers": "SELECT count(*)::BIGINT AS rows, true AS consecutive FROM documents",
+    "csv_row_numbers": """SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS number, md5(coalesce(text, '')) AS text_md5 FROM documents""",
 }

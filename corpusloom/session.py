@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once to the shared folder and read again: neither a lost executor nor a second use makes them anew."""
+    folder = f"{shared_folder(rows.sparkSession)}/{name}-{uuid4().hex}"
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core before CPU-heavy work.
 

@@ -1,6 +1,7 @@
 import csv
 import json
 import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,18 +36,71 @@ def test_csv_details(spark, tmp_path):
     assert raw[1][2] == {" title ": "short", " text ": None}
 
 
+@contextmanager
+def splits_of(spark, size):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def plain_csv(path, encoding):
+    """Rows as the csv module reads the whole file."""
+    with path.open(encoding=encoding, newline="") as file:
+        rows = csv.reader(file)
+        names = next(rows, [])
+        return [dict(zip(names, values + [None] * (len(names) - len(values)))) for values in rows if values]
+
+
 @pytest.mark.parametrize("encoding", ["utf-8", "latin-1"])
-def test_csv_bytes_read_the_same_whole_and_as_streams(spark, tmp_path, encoding):
-    """Stray quotes, quotes inside plain fields, CR, LF, both, blank lines, a quoted header."""
-    for seed in range(12):
+@pytest.mark.parametrize("size", [100, 1 << 10, 1 << 16])
+def test_csv_bytes_read_the_same_whole_and_in_splits(spark, tmp_path, encoding, size):
+    """Stray quotes, quotes inside plain fields, CR, LF, both, blank lines, a quoted header, fields over many splits."""
+    pieces = ['"', "\n", "\r\n", "\r", ",", "é", '5" pipe', '"a,b"', "yy ", "", '"two\nlines"', '""', ',"', '",']
+    for seed in range(4):
         rng = random.Random(seed)
-        body = "".join(rng.choices(['"', "\n", "\r\n", "\r", ",", "é", '5" pipe', '"a,b"', "yy ", ""], k=400))
+        body = "".join(rng.choices(pieces, k=rng.choice([60, 8 * size]) if size < 5000 else 60_000))
+        if seed % 2:  # mostly well-formed, with long quoted fields
+            body = "".join(f'{n},"{"long line" + chr(10)}{"x" * rng.randint(0, 300)}{chr(10) * rng.randint(0, 5)}",é\n' for n in range(3 if size < 5000 else 600)) + body
         path = tmp_path / f"big{seed}.csv"
         path.write_bytes(('n,"quoted\n""name""",z\n' + body).encode(encoding))
-        with path.open(encoding=encoding, newline="") as file:
-            expected = [(path.name, at, {k: v for k, v in row.items() if k is not None}) for at, row in enumerate(csv.DictReader(file))]
-        for limit in (1, 10**9):
-            assert _csv(spark, path, trim=False, stream_bytes=limit) == expected
+    with splits_of(spark, size):
+        found = _csv(spark, tmp_path, trim=False)
+    for seed in range(4):
+        path = tmp_path / f"big{seed}.csv"
+        assert [(at, row) for file, at, row in found if file == path.name] == list(enumerate(plain_csv(path, encoding))), seed
+
+
+def test_csv_record_over_many_splits(spark, tmp_path):
+    """A field of many splits, and an open quote at the end with and without a line end."""
+    field = "line of text\n" * 200
+    for name, end in (("closed", '"\nlast,row\n'), ("open", "\n"), ("open_end", "x")):
+        (tmp_path / f"{name}.csv").write_text(f'\ufeffa,b\n1,2\n3,"{field}{end}', "utf-8")
+    with splits_of(spark, 100):
+        found = _csv(spark, tmp_path, trim=False)
+    last = [{"a": "last", "b": "row"}]
+    for name, want in (("closed", [{"a": "3", "b": field}, *last]), ("open", [{"a": "3", "b": field + "\n"}]), ("open_end", [{"a": "3", "b": field + "x"}])):
+        assert [row for file, _, row in found if file == f"{name}.csv"] == [{"a": "1", "b": "2"}, *want]
+        assert [at for file, at, _ in found if file == f"{name}.csv"] == list(range(1 + len(want)))
+
+
+def test_csv_of_a_large_file_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "one.csv").write_text("a,b\n" + "".join(f"{n},text {n}\n" for n in range(20_000)))
+    with splits_of(spark, 1 << 12):
+        rows, _ = read_csv_rows(spark, str(tmp_path))
+        tasks = rows.groupBy(F.spark_partition_id()).count().count()
+    assert tasks > 8
+
+
+def test_csv_header_longer_than_a_split_is_told(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text('"' + "name\n" * 100 + '",b\n1,2\n')
+    with splits_of(spark, 100):
+        rows, rejects = read_csv_rows(spark, str(tmp_path))
+        assert rows.count() == 0 and [tuple(r) for r in rejects.collect()] == [("wide.csv", "CSV read error: the header is longer than a split")]
+    assert _csv(spark, tmp_path) == [("wide.csv", 0, {("name\n" * 100).strip(): "1", "b": "2"})]
 
 
 def test_csv_with_carriage_returns(spark, tmp_path):
@@ -58,15 +112,10 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
     lines = [f"line {n}" if n % 7 else "" for n in range(500)]
     (tmp_path / "a.jsonl").write_text("\n".join(lines) + "\n")
     (tmp_path / "b.jsonl").write_text("x\ny")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
+    with splits_of(spark, 400):
         df = read_lines(spark, str(tmp_path))
         rows = sorted(df.collect(), key=lambda row: row["ordinal"])
         unnumbered = read_lines(spark, str(tmp_path), numbered=False).orderBy("ordinal").collect()
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
     assert [row["value"] for row in rows] == [row["value"] for row in unnumbered] == [*lines, "x", "y"]
     assert [row["ordinal"] for row in rows] == list(range(502))
     assert [row["line_number"] for row in rows] == [*range(1, 501), 1, 2]
