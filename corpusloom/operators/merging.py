@@ -12,6 +12,7 @@ from corpusloom.functions.text import non_empty
 from corpusloom.operators.generation import CHUNK_STEP, FINAL_STEP
 from corpusloom.operators.groups import position, source_key
 from corpusloom.operators.similar_sets import first_distinct
+from corpusloom.session import stored
 
 _FINAL_FIELDS = ("total_chunks", "chunk_summaries", "final_summary", "source_metadata")
 
@@ -94,6 +95,7 @@ def _merge_parts(rows: DataFrame) -> DataFrame:
     sentences = chunks.where(usable).select(
         "source_id", "at", F.posexplode_outer(distinct_sentences("summary")).alias("number", "sentence")
     ).where(F.col("sentence").isNotNull())
+    sentences = stored(sentences, "sentences")  # used twice
     items = sentences.select(
         F.col("source_id").alias("key"),
         F.struct("at", "number").alias("at"),

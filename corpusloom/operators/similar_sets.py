@@ -58,6 +58,12 @@ def _rarest_first(sets: DataFrame) -> DataFrame:
     return each.join(held, ["key", "word"]).groupBy("key", "at").agg(ordered.alias("ordered"))
 
 
+def _longest_first(sets: DataFrame) -> DataFrame:
+    """(key, at, ordered) of (key, at, words): words by length and name, which needs no count."""
+    ranked = F.array_sort(F.transform("words", lambda word: F.struct((-F.length(word)).alias("size"), word.alias("word"))))
+    return sets.select("key", "at", F.transform(ranked, lambda item: item["word"]).alias("ordered"))
+
+
 def _first_signatures(ordered: Column) -> Column:
     """Signatures of a word array, each with the place of its last word and the number of its words.
 
@@ -145,8 +151,11 @@ def _refined_udf() -> Column:
     return run("ordered", "signature", "last", "k", "low", "high")
 
 
-def _meetings(sets: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows (key, signature, at, upper) of signatures that 2 to ``bucket`` items share, of larger ones alike throughout, and of others."""
+def _meetings(sets: DataFrame, bucket: int, refine: bool = True) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+    """Rows (key, signature, at, upper) of signatures that 2 to ``bucket`` items share, of larger ones alike throughout, and of others.
+
+    Nothing unless ``refine``, if some signature has more items.
+    """
     first = sets.select("key", "at", F.explode(_first_signatures(F.col("ordered"))).alias("s")).select("key", "at", "s.*")
     none = F.lit(None).cast("int")
     level = first.withColumns({"low": none, "high": none, "state": F.lit(OPEN), "upper": F.lit(False)})
@@ -160,6 +169,8 @@ def _meetings(sets: DataFrame, bucket: int) -> tuple[DataFrame, DataFrame, DataF
         found.append(named.select("key", "signature", "at", "upper", F.when(F.col("n") <= bucket, F.lit(-1)).otherwise(F.col("kind")).alias("kind")))
         if counts.where((F.col("n") > bucket) & (F.col("kind") == OPEN)).isEmpty():
             break
+        if not refine:
+            return None
         many = named.where((F.col("n") > bucket) & (F.col("kind") == OPEN)).join(sets, ["key", "at"])
         finer = many.select("key", "at", F.explode(_refined_udf()).alias("s")).select("key", "at", "s.*")
         level = stored(finer, "finer-signatures")
@@ -213,8 +224,13 @@ def first_distinct(items: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """(key, at) of the kept items of (key, at, words), ``at`` being unique and ordered per key."""
     sets = items.select("key", "at", F.array_sort(F.array_distinct("words")).alias("words"))
     sets = stored(sets.groupBy("key", "words").agg(F.min("at").alias("at")), "word-sets")
-    ranked = stored(_rarest_first(sets), "ranked-words")
-    small, crowds, stuck = _meetings(ranked, bucket)
+    # Rare words first needs two shuffles more; it pays only where an order without counts brings many together.
+    ranked = _longest_first(sets)
+    meetings = _meetings(ranked, bucket, refine=False)
+    if meetings is None:
+        ranked = stored(_rarest_first(sets), "ranked-words")
+        meetings = _meetings(ranked, bucket)
+    small, crowds, stuck = meetings
     edges = stored(_edges(ranked, small), "similar-sets")
     gone, rounds, leaders, has_stuck = None, 0, bucket, not stuck.isEmpty()
     while True:
