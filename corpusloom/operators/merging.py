@@ -121,6 +121,53 @@ def _merge_parts(rows: DataFrame) -> DataFrame:
     return ready.unionByName(_record(parts, F.col("at"), join_sentences("sentences"), part_type))
 
 
+def _json(*fields: Column | str) -> Column:
+    """A JSON object's text without its braces; null fields are left out."""
+    text = F.to_json(F.struct(*fields))
+    return F.substring(text, F.lit(2), F.length(text) - 2)
+
+
+def record_pieces(parts: DataFrame) -> DataFrame:
+    """(source_id, section, part, value): the pieces of one JSON line per source, to be written in that order.
+
+    Put together with a blank between them, the pieces of a source are its record: the
+    blanks join the texts of the summary and stand between other values. No cell holds
+    more than one part's text, so a record may be of any size.
+    """
+    apart = parts.where(F.col("part").isNotNull())
+    text = F.when(F.col("final_summary") != "", F.col("part"))
+    rest = F.struct("source_metadata", "processing_step", "original_row")
+    facts = apart.groupBy("source_id").agg(
+        F.sum("total_chunks").cast("int").alias("total_chunks"), F.min(text).alias("first_text"), F.max(text).alias("last_text"),
+        F.min(F.when(F.size("chunk_summaries") > 0, F.col("part"))).alias("first_chunk"), F.min_by(rest, "part").alias("rest"),
+    )
+    places = facts.select("source_id", "total_chunks", "first_text", "last_text", "first_chunk")
+    opening = F.concat(F.lit("{"), _json("source_id", "total_chunks"), F.lit(',"final_summary":"'))
+    middle = F.lit('","chunk_summaries":[')
+    no_part = F.lit(None).cast(parts.schema["part"].dataType).alias("part")
+    nothing = F.lit("")
+    known = apart.select("source_id", "part", "final_summary", "chunk_summaries").join(places, "source_id")
+    escaped = F.to_json(F.array("final_summary"))
+    escaped = F.substring(escaped, F.lit(3), F.length(escaped) - 4)
+    texts = known.where(F.col("final_summary") != "").select(
+        "source_id", F.lit(1).alias("section"), "part",
+        F.concat(
+            F.when(F.col("part") == F.col("first_text"), opening).otherwise(nothing), escaped,
+            F.when(F.col("part") == F.col("last_text"), middle).otherwise(nothing),
+        ).alias("value"),
+    )
+    textless = facts.where(F.col("first_text").isNull()).select("source_id", F.lit(1).alias("section"), no_part, F.concat(opening, middle).alias("value"))
+    listed = F.to_json("chunk_summaries")
+    listed = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    comma = F.when(F.col("part") == F.col("first_chunk"), nothing).otherwise(F.lit(","))
+    chunks = known.where(F.size("chunk_summaries") > 0).select("source_id", F.lit(2).alias("section"), "part", F.concat(comma, listed).alias("value"))
+    closing = F.concat(F.lit("],"), _json("rest.source_metadata", "rest.processing_step", "rest.original_row"), F.lit("}\n"))
+    ends = facts.select("source_id", F.lit(3).alias("section"), no_part, closing.alias("value"))
+    whole = parts.where(F.col("part").isNull()).drop("part")
+    ready = whole.select("source_id", F.lit(0).alias("section"), no_part, F.concat(F.to_json(F.struct(*whole.columns)), F.lit("\n")).alias("value"))
+    return ready.unionByName(texts).unionByName(textless).unionByName(chunks).unionByName(ends)
+
+
 def merge_statistics(merged: DataFrame) -> DataFrame:
     """Chunks, sources and sources with a usable summary; the parts of a source count as one."""
     whole = F.col("part").isNull()

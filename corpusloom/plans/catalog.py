@@ -27,17 +27,17 @@ from corpusloom.operators.documents import examples_from_documents
 from corpusloom.operators.export import flatten_record, header_names, output_field, parse_record, review_table
 from corpusloom.operators.generation import run_statistics, summarize_hierarchically
 from corpusloom.operators.groups import collect_ordered, final_prompts
-from corpusloom.operators.merging import last_per_key, merge_results, merge_statistics
+from corpusloom.operators.merging import last_per_key, merge_results, merge_statistics, record_pieces
 from corpusloom.operators.profile import profile_records, record_sample
 from corpusloom.operators.review import input_output_similarity, missing_headings, review_rows, score, training_records
 from corpusloom.operators.rows import chunk_source_text, column_fields, rows_to_examples
 from corpusloom.operators.training import empty_outputs, load_examples, pad_batches, tokenize_examples
-from corpusloom.plans.pipelines import profile_folder
-from corpusloom.session import shared_folder, spread
+from corpusloom.plans.pipelines import profile_folder, write_tokens
+from corpusloom.session import shared_folder, spread, stored
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.directory import collect_documents, documents_of_records, documents_of_rows
 from corpusloom.sources.lines import parquet_ordinal, read_jsonl, read_jsonl_lenient
-from corpusloom.sources.sinks import write_jsonl, write_review_csv
+from corpusloom.sources.sinks import RuleBroken, write_jsonl, write_long_records, write_review_csv
 
 HEADINGS = ["The", "der ", "la"]
 GATE_HEADINGS = ["."]
@@ -291,6 +291,18 @@ def merged_results_large(spark, sf_dir):
     return _merged(merged)
 
 
+def merged_records_streamed(spark, sf_dir):
+    """The same, written piece by piece as one JSON line per source and read back."""
+    folder = f"{_scratch(spark)}/merged"
+    parts = stored(merge_results(_results(spark, sf_dir), whole=False), "merged-parts")
+    write_long_records(record_pieces(parts), folder, "source_id", ["section", "part"])
+    schema = (
+        "source_id string, total_chunks int, final_summary string, chunk_summaries array<string>, "
+        "source_metadata map<string,string>, processing_step string, original_row map<string,string>"
+    )
+    return _merged(read_jsonl(spark, folder, schema))
+
+
 def merged_totals(spark, sf_dir):
     return merge_statistics(merge_results(_results(spark, sf_dir)))
 
@@ -470,6 +482,21 @@ def masked_tokens_tail(spark, sf_dir):
     return _joined(tokenize_examples(_examples(spark, sf_dir), hashed_words, 256, 32, keep=("idx",)), "idx")
 
 
+def gated_tokens(spark, sf_dir):
+    """Tokens of the examples with an output, published by the gate that refused all examples, and how many it named."""
+    examples = _examples(spark, sf_dir).withColumnRenamed("idx", "ordinal")
+    folder = f"{_scratch(spark)}/tokens"
+    try:
+        write_tokens(load_examples(examples), folder, hashed_words, 128)
+        refused = "0"
+    except RuleBroken as broken:
+        refused = str(broken)
+    write_tokens(load_examples(examples.where(F.col("output") != "")), folder, hashed_words, 128)
+    tokens = spark.read.parquet(folder).withColumnRenamed("ordinal", "idx")
+    named = F.regexp_extract(F.lit(refused), r"(\d+)", 1).cast("bigint").alias("refused")
+    return _joined(tokens, "idx").select("*", named)
+
+
 def padded_batches(spark, sf_dir):
     tokens = tokenize_examples(_examples(spark, sf_dir), hashed_words, 64, keep=("idx",))
     return _joined(pad_batches(tokens, 8), "idx", "batch_id")
@@ -623,10 +650,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         chunk_records, whole_text_records, fallback_text_columns, examples_from_rows, labelled_examples_only,
         examples_from_texts, record_documents, record_documents_dom, nested_section_documents, table_row_documents, ordered_turns,
         ordered_turns_large, final_prompt_per_source, final_prompt_lines, sentence_dedup, merged_results,
-        merged_results_large, merged_totals, last_event_per_user, hierarchical_summaries, generation_totals,
+        merged_results_large, merged_records_streamed, merged_totals, last_event_per_user, hierarchical_summaries, generation_totals,
         heading_check, review_table_rows, review_table_sample, embedding_similarity, training_gate, word_similarity,
         output_fields, export_table, export_headers, response_texts, chat_pairs, outputs_missing, masked_tokens,
-        masked_tokens_tail, padded_batches, token_budgets, failures_by_user, corpus_profile, jsonl_round_trip,
+        masked_tokens_tail, gated_tokens, padded_batches, token_budgets, failures_by_user, corpus_profile, jsonl_round_trip,
         jsonl_lenient_read, csv_round_trip, csv_row_numbers, csv_chunk_records, folder_documents, folder_profile,
         mixed_folder_documents,
     )

@@ -353,6 +353,7 @@ ORACLES: dict[str, str] = {
     "sentence_dedup": f"""SELECT doc_id, {_rejoin("kept")} AS text FROM (
         SELECT doc_id, {_fold("own")} AS kept FROM (SELECT doc_id, {_sentence_list("text")} AS own FROM documents))""",
     "merged_results": _MERGED,
+    "merged_records_streamed": _MERGED,
     "merged_results_large": _MERGED_LARGE,
     "merged_totals": f"""SELECT sum(total_chunks)::BIGINT AS total_chunks, count(*) AS sources,
         count(*) FILTER (WHERE final_summary <> '' AND NOT starts_with(final_summary, 'Error:')) AS successful FROM ({_MERGED})""",
@@ -404,6 +405,9 @@ ORACLES: dict[str, str] = {
     "outputs_missing": "SELECT count(*) FILTER (WHERE role <> 'assistant' OR text = '') AS empty_outputs FROM conversations",
     "masked_tokens": _token_output(128),
     "masked_tokens_tail": _token_output(256, 32),
+    "gated_tokens": f"""SELECT t.*, (SELECT count(*) FILTER (WHERE role <> 'assistant' OR text = '') FROM conversations) AS refused
+FROM ({_token_output(128)}) t JOIN (SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx, role, text FROM conversations) c USING (idx)
+WHERE role = 'assistant' AND text <> ''""",
     "padded_batches": f"""WITH {_tokenized(64)}, batched AS (SELECT *, idx // 8 AS batch_id,
           max(len(ids)) OVER (PARTITION BY idx // 8) AS m FROM masked)
       SELECT idx, batch_id, array_to_string(list_resize(ids, m, 0), ' ') AS input_ids,

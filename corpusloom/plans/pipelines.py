@@ -11,19 +11,21 @@ from corpusloom import fixed_values as fixed
 from corpusloom.functions.classify import source_type
 from corpusloom.functions.models import Embedder, LeadGenerator, TextGenerator
 from corpusloom.functions.nested import JSON_OPTIONS
+from corpusloom.functions.text import non_empty
 from corpusloom.operators.chunks import chunk_rows
 from corpusloom.operators.documents import examples_from_documents
 from corpusloom.operators.export import flatten_record, review_table
 from corpusloom.operators.generation import FAN_IN, run_statistics, summarize_hierarchically
-from corpusloom.operators.merging import merge_results, merge_statistics
+from corpusloom.operators.merging import merge_results, merge_statistics, record_pieces
 from corpusloom.operators.profile import profile_records, record_sample, text_profile
 from corpusloom.operators.review import review_rows, score, training_records
 from corpusloom.operators.rows import map_fields, rows_to_examples
-from corpusloom.operators.training import load_examples, pad_batches, require_outputs, tokenize_examples
+from corpusloom.operators.training import load_examples, pad_batches, tokenize_examples
+from corpusloom.session import stored
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.directory import collect_documents, read_json_documents, read_text_files
 from corpusloom.sources.lines import read_jsonl, read_jsonl_lenient
-from corpusloom.sources.sinks import write_jsonl, write_review_csv
+from corpusloom.sources.sinks import write_if, write_jsonl, write_long_records, write_review_csv
 
 CHUNK_SCHEMA = (
     "source_id string, chunk_index int, total_chunks int, prompt string, chunk_text string, "
@@ -120,16 +122,19 @@ def generate_summaries(
 def merge_summaries_per_source(
     spark: SparkSession, path: str, output: str, whole: bool = True
 ) -> dict[str, int]:
-    """Generation results to merged records, in order of source; as parts with a column ``part`` unless ``whole``."""
+    """Generation results to merged records, in order of source; as parts with a column ``part`` unless ``whole``.
+
+    In either form no source is gathered: a whole record is written piece by piece.
+    """
     results = read_jsonl(spark, path, RESULT_SCHEMA)
     if results.isEmpty():
         raise NothingToDo("No results found in input file")
-    merged = merge_results(results, whole).persist()
-    shown = merged.drop("part") if whole else merged
-    write_jsonl(shown, output, order_by=[name for name in ("source_id", "part") if name in shown.columns], keep_nulls=False)
-    statistics = merge_statistics(merged).first().asDict()
-    merged.unpersist()
-    return statistics
+    parts = stored(merge_results(results, whole=False), "merged-parts")
+    if whole:
+        write_long_records(record_pieces(parts), output, "source_id", ["section", "part"])
+    else:
+        write_jsonl(parts, output, order_by=["source_id", "part"], keep_nulls=False)
+    return merge_statistics(parts).first().asDict()
 
 
 def export_review(
@@ -178,13 +183,20 @@ def prepare_tokens(
     batch_size: int | None = None,
 ) -> int:
     """Training records to token arrays (Parquet), padded per batch if a batch size is given."""
-    examples = require_outputs(load_examples(read_jsonl(spark, path, EXAMPLE_SCHEMA, numbered=batch_size is not None)))
-    tokens = tokenize_examples(examples, tokenizer, max_length, response_max, ("ordinal",))
+    examples = load_examples(read_jsonl(spark, path, EXAMPLE_SCHEMA, numbered=batch_size is not None))
+    return write_tokens(examples, output, tokenizer, max_length, response_max, batch_size)
+
+
+def write_tokens(
+    examples: DataFrame, output: str, tokenizer, max_length: int, response_max: int | None = None, batch_size: int | None = None
+) -> int:
+    """Token arrays as Parquet, published only if every example has an output; else the error names how many have none."""
+    told = examples.withColumn("_empty", non_empty("output").isNull())
+    tokens = tokenize_examples(told, tokenizer, max_length, response_max, ("ordinal", "_empty"))
     if batch_size:
         tokens = pad_batches(tokens, batch_size, idx="ordinal")
-    tokens, seen = _counted(tokens, "tokens")
-    tokens.write.mode("overwrite").parquet(output)
-    return seen.get["rows"]
+    message = "Found {empty} examples with empty 'output'. Provide targets before training."
+    return write_if(tokens, output, {"empty": F.col("_empty")}, message, helpers=("_empty",))["rows"]
 
 
 def profile_folder(spark: SparkSession, path: str | list[str]) -> DataFrame:

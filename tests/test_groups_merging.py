@@ -1,3 +1,4 @@
+import json
 import random
 import re
 import sys
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.models import LeadGenerator, RetryingGenerator, model_name_or_default
 from corpusloom.operators.generation import run_statistics, summarize_chunks, summarize_hierarchically
 from corpusloom.operators.groups import collect_ordered, final_prompts
-from corpusloom.operators.merging import merge_results, merge_statistics
+from corpusloom.operators.merging import merge_results, merge_statistics, record_pieces
 from corpusloom.plans.pipelines import RESULT_SCHEMA
+from corpusloom.sources.sinks import write_long_records
 from tests import brute_force
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -81,6 +83,26 @@ def test_one_source_with_a_third_of_all_rows(spark):
     assert merge_statistics(merge_results(results, whole=False)).first() == merge_statistics(merge_results(results)).first()
 
 
+def test_records_are_written_piece_by_piece(spark, tmp_path):
+    """Lines of any length, with nothing gathered: the same records as whole rows, in order of source."""
+    rng = random.Random(6)
+    rows = [_chunk("long", n, rng.choice(['Said "no" in part %d\\of it.', "Line\nbreak and é in part %d.", "Error: part %d failed"]) % n if n % 9 else "", "T") for n in range(400)]
+    rows += [_chunk(f"s{n % 7}", n, f"Own text number {n} of the many. {n} apples and {n} pears here.") for n in range(40)]
+    rows += [_chunk("failed", n, "Error: it failed") for n in range(3)] + [_final("done", "Final text of the source.", total_chunks=5, source_metadata={"a": "b"})]
+    results = _results(spark, rows).repartition(5)
+    parts = merge_results(results, whole=False)
+    pieces = record_pieces(parts)
+    write_long_records(pieces, str(tmp_path / "out"), "source_id", ["section", "part"])
+    text = [p.read_text("utf-8") for p in sorted((tmp_path / "out").glob("part*"))]
+    lines = [json.loads(line) for part in text for line in part.split("\n") if line]
+    want = {row["source_id"]: row.asDict() for row in merge_results(results).drop("part").collect()}
+    assert [line["source_id"] for line in lines] == sorted(want) and len(lines) == 10
+    for line in lines:
+        assert line == {k: v for k, v in want[line["source_id"]].items() if v is not None}
+    written = pieces._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list(struct(part" not in written and "collect_list(struct(at" not in written
+
+
 def test_whole_records_are_joined_parts(spark):
     """No task removes the sentences of a whole source: the record is put together from de-duplicated parts."""
     rows = [_chunk("a", n, f"Chunk number {n} of this. The same sentence every time.") for n in range(6)]

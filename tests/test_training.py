@@ -8,6 +8,8 @@ from corpusloom.functions.nested import is_json, nested_texts, response_text
 from corpusloom.functions.prompts import build_prompt, fallback_chunk_prompt, summarize_prompt
 from corpusloom.functions.tokens import PythonTokenizer, hashed_words, token_budget
 from corpusloom.operators.training import empty_outputs, load_examples, pad_batches, require_outputs, tokenize_examples
+from corpusloom.plans.pipelines import write_tokens
+from corpusloom.sources.sinks import RuleBroken
 
 
 def characters():
@@ -103,3 +105,21 @@ def test_output_guards(spark):
     with pytest.raises(Exception, match="empty 'output'"):
         require_outputs(examples).collect()
     assert require_outputs(examples.where("output <> ''")).count() == 1
+
+
+def test_tokens_are_published_only_if_all_outputs_are_there(spark, tmp_path):
+    schema = "ordinal int, instruction string, input string, output string"
+    rows = [(n, "i", "in", "out" if n % 3 else [None, "", "  "][n // 3 % 3]) for n in range(30)]
+    examples, folder = spark.createDataFrame(rows, schema).repartition(4), tmp_path / "tokens"
+    with pytest.raises(RuleBroken, match="Found 7 examples with empty 'output'"):
+        write_tokens(examples, str(folder), hashed_words, 16)
+    assert list(tmp_path.iterdir()) == []
+    assert write_tokens(examples.where("output <> ''"), str(folder), hashed_words, 16) == 23
+    with pytest.raises(RuleBroken):
+        write_tokens(examples, str(folder), hashed_words, 16)
+    kept = spark.read.parquet(str(folder))
+    assert kept.count() == 23 and kept.columns == ["ordinal", "input_ids", "attention_mask", "labels"]
+    broken = examples.where("output = 'out'").withColumn("output", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        write_tokens(broken, str(folder), hashed_words, 16)
+    assert [path.name for path in tmp_path.iterdir()] == ["tokens"] and spark.read.parquet(str(folder)).count() == 23
