@@ -19,7 +19,7 @@ from corpusloom.session import cut_lineage
 
 CELLS = 8192
 _ALONE = 64  # a group over 1 / (shards * this) of any total stands alone
-_SPLIT = 4  # a group over 1 / (shards * this) of any total is split
+_SPLIT = 16  # a group over 1 / (shards * this) of any total is split
 _BLOCK_ROWS = 2_000
 MEASURES = ["size", "tokens", "one"]
 
@@ -50,6 +50,7 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
         "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
         F.regexp_count(text, F.lit(f"{WORD}+")).cast("long").alias("tokens"), F.lit(1).cast("long").alias("one"),
         F.crc32(text.cast("binary")).alias("text_crc32"), F.md5(text.cast("binary")).alias("key"),
+        F.monotonically_increasing_id().alias("lot"),
     )
     rows = cut_lineage(rows)
     totals = rows.agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in MEASURES]).collect()[0]
@@ -57,7 +58,8 @@ def shard_documents(docs: DataFrame, shards: int = 16) -> DataFrame:
     groups = rows.groupBy("key").agg(*[F.sum(m).alias(m) for m in MEASURES])
     share = F.greatest(*[F.col(m) / F.lit(max(totals[m], 1)) for m in MEASURES]) * shards
     heavy = groups.where(share * _ALONE > 1).select("key", F.ceil(share * _SPLIT).cast("int").alias("parts"))
-    salted = F.concat_ws("/", "key", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("string"))
+    # By lot, as rows of a group may share an id or have none.
+    salted = F.concat_ws("/", "key", F.pmod(F.xxhash64("lot"), F.col("parts")).cast("string"))
     cell = F.when(F.col("parts").isNull(), F.pmod(F.xxhash64("key"), F.lit(CELLS)).cast("string")).otherwise(salted)
     # At most 3 * shards * _ALONE keys are heavy, so both broadcasts are bounded.
     placed = rows.join(F.broadcast(heavy), "key", "left").withColumn("cell", cell)
