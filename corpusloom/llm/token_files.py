@@ -28,7 +28,7 @@ from corpusloom.llm.token_ids import text_ids, utf8, with_end
 
 END_ID = 1
 DICTIONARY_BYTES = 64 * 1024
-SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on so many documents ...
+SAMPLE_DOCUMENTS = 2_000  # the dictionary is trained on about so many documents ...
 SAMPLE_CHARS = 20_000  # ... of at most so many characters, 40 MB of text at most
 BLOCK_BYTES = 1 << 20
 LEVEL = 3
@@ -37,12 +37,13 @@ _BROADCAST_BLOCKS = 500_000
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> bytes:
-    """A zstandard dictionary from the serialized ids of the first documents Spark reads; few give raw content.
+    """A zstandard dictionary from the serialized ids of a random sample of all short documents; few give raw content.
 
-    The sample is bounded and decides how small the frames get, nothing else, so no
-    pass over the corpus is spent on it.
+    The sample is bounded and decides how small the frames get, nothing else.
     """
-    short = docs.where(F.length("text") <= SAMPLE_CHARS).select("text").limit(SAMPLE_DOCUMENTS).collect()
+    share = SAMPLE_DOCUMENTS / max(docs.count(), SAMPLE_DOCUMENTS)
+    chosen = docs.where((F.length("text") <= SAMPLE_CHARS) & (F.rand(5) < share)).select("text")
+    short = chosen.limit(2 * SAMPLE_DOCUMENTS).collect()  # a bound the sample does not come near
     encoded = text_ids(tokenizer).batch([row["text"].encode() for row in short])
     samples = [with_end(ids, end_id).tobytes() for ids in encoded]
     try:
@@ -122,11 +123,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str, end_id: int
     width = text_ids(tokenizer).dtype.itemsize
     framed = T.StructType([rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("frame", T.BinaryType())])
     # Encoded once and stored: the range sort below looks at its input twice.
-    made = rows.mapInArrow(_frames(tokenizer, dictionary, end_id), framed)
+    made = rows.mapInArrow(_frames(tokenizer, dictionary, end_id), framed).withColumn("row", F.monotonically_increasing_id())
     made.write.option("compression", "none").parquet(f"{folder}/frames")
-    frames = spark.read.schema(framed).parquet(f"{folder}/frames")
+    frames = spark.read.schema(made.schema).parquet(f"{folder}/frames")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = frames.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "n_tokens", F.xxhash64("frame"))
+    # The row's number deals out rows that share an id, or have none, whatever they hold.
+    order = ["doc_id", "n_tokens", "row"]
+    ordered = frames.repartitionByRange(shards, *order).sortWithinPartitions(*order).drop("row")
     layout = T.StructType(
         [
             T.StructField("shard", T.IntegerType()), T.StructField("block", T.IntegerType()),

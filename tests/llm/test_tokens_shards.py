@@ -13,7 +13,7 @@ from corpusloom.llm.packing import closest_multiset, pack_documents
 from corpusloom.llm.sharding import pack_vectors, shard_documents
 from corpusloom.llm.token_files import read_document, read_token_files, write_token_files
 from corpusloom.llm.token_ids import TextIds
-from llm.conftest import prose
+from llm.conftest import SYLLABLES, prose
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["It's NAÏVE — 3,000\u00a0km", "x<|endoftext|>y <|startoftext|>", "e\u0301 \u1e9b\u0323 ΑΣ ΣΑΣ", "a\x1cb\x85c\u2028d", "\U0001f600 don't"]
@@ -99,6 +99,41 @@ def test_packing_wants_a_power_of_two(make_docs):
         pack_documents(make_docs([(1, "x")]), PATH, 100)
 
 
+def test_every_letter_and_mixed_words_are_the_tokenizers(encode):
+    """Also letters whose lower case is no letter, and marks after letters."""
+    letters = [chr(c) for c in range(0x20, 0x3000) if not 0xD800 <= c < 0xE000]
+    rng, ids = random.Random(12), TextIds(PATH)
+    odd = ["\u0130", "i\u0307", "\u0130stanbul", "D\u0130.", "\u1e9e", "\u212a", "\u00df", "e\u0301", "\ufb01", "\u01c4", ".", "!!", "7"]
+    texts = [letter + tail for letter in letters for tail in ("", "a.", "!")]
+    texts += [" ".join("".join(rng.choices(odd + SYLLABLES, k=rng.randint(1, 4))) for _ in range(6)) for _ in range(5000)]
+    found = [each for at in range(0, len(texts), 500) for each in ids.batch([t.encode() for t in texts[at : at + 500]])]
+    for text, each in zip(texts, found):
+        assert each.tolist() == encode(text), text
+
+
+def test_operators_run_on_such_letters(spark, make_docs, encode, tmp_path):
+    docs = make_docs([(1, "\u0130stanbul and \u0130zm\u0130r."), (2, "plain")])
+    rows = read_token_files(spark, write_token_files(docs, PATH, str(tmp_path / "t"))).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist()[:-1] for r in rows} == {1: encode("\u0130stanbul and \u0130zm\u0130r."), 2: encode("plain")}
+    assert pack_documents(docs, PATH).count() >= 2
+
+
+@pytest.fixture(scope="module")
+def nameless(make_docs):
+    """6,000 rows, a third of them without an id and of one text."""
+    return make_docs([(None, "one text " * 6) if k % 3 == 0 else (k, prose(k, 12)) for k in range(6000)])
+
+
+def test_rows_without_an_id_are_dealt_out(spark, nameless, tmp_path):
+    sizes = shard_documents(nameless, 8).groupBy("shard").agg(F.sum("size").alias("n")).toPandas()["n"]
+    assert len(sizes) == 8 and sizes.max() / sizes.min() < 1.02
+    folder = write_token_files(nameless, PATH, str(tmp_path / "t"))
+    blocks = spark.read.parquet(f"{folder}/blocks").select("shard", F.size("doc_ids").alias("n")).toPandas()
+    assert blocks.groupby("shard")["n"].sum().max() < 3000
+    found = read_token_files(spark, folder)
+    assert found.count() == 6000 and found.where("doc_id is null").count() == 2000
+
+
 def test_shards_are_balanced_and_groups_whole(spark, make_docs, odd_rows):
     rows = odd_rows + [(1000 + k, prose(k // 2, 20 + k % 90)) for k in range(3000)]
     found = shard_documents(make_docs(rows), 8).collect()
