@@ -160,7 +160,8 @@ def run(spark: SparkSession, argv: list[str]) -> int:
 
 
 def main() -> None:
-    spark = SparkSession.builder.appName("corpusloom").getOrCreate()
+    # Records may repeat a key inside; without this setting they would be rejected.
+    spark = SparkSession.builder.appName("corpusloom").config("spark.sql.variant.allowDuplicateKeys", "true").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     sys.exit(run(spark, sys.argv[1:]))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import fixed_values as fixed
-from corpusloom.functions.nested import JSON_OPTIONS
+from corpusloom.functions.nested import JSON_OPTIONS, is_json
 from corpusloom.functions.once import let
 from corpusloom.functions.text import as_col
 
@@ -25,6 +25,20 @@ def parse_record(record: Column | str) -> Column:
     )
 
 
+def is_whole(parsed: Column) -> Column:
+    """Whether all fields of a parsed object are there with their kinds, whatever the session allows in a variant."""
+    texts, kinds = parsed["texts"], parsed["kinds"]
+    known = F.size(F.map_filter(kinds, lambda _, kind: kind.isNotNull())) == F.size(texts)
+    return F.coalesce(known, F.lit(False))
+
+
+def exportable(record: Column | str) -> Column:
+    """Whether a line is JSON, and if it is an object, one that can be exported whole."""
+    record = as_col(record)
+    is_object = F.startswith(F.ltrim(record), F.lit("{"))
+    return is_json(record) & (~is_object | let(parse_record(record), is_whole))
+
+
 def _is_nested(kind: Column) -> Column:
     return F.rlike(kind, F.lit("^(OBJECT|ARRAY)"))
 

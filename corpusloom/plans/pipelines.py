@@ -14,7 +14,7 @@ from corpusloom.functions.nested import JSON_OPTIONS
 from corpusloom.functions.text import non_empty
 from corpusloom.operators.chunks import chunk_rows
 from corpusloom.operators.documents import examples_from_documents
-from corpusloom.operators.export import flatten_record, review_table
+from corpusloom.operators.export import exportable, flatten_record, header_names, ordered_headers
 from corpusloom.operators.generation import FAN_IN, run_statistics, summarize_hierarchically
 from corpusloom.operators.merging import merge_results, merge_statistics, record_pieces
 from corpusloom.operators.profile import profile_records, record_sample, text_profile
@@ -25,7 +25,7 @@ from corpusloom.session import stored
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.directory import collect_documents, read_json_documents, read_text_files
 from corpusloom.sources.lines import read_jsonl, read_jsonl_lenient
-from corpusloom.sources.sinks import write_if, write_jsonl, write_long_records, write_review_csv
+from corpusloom.sources.sinks import write_if, write_jsonl, write_long_records, write_map_csv, write_review_csv
 
 CHUNK_SCHEMA = (
     "source_id string, chunk_index int, total_chunks int, prompt string, chunk_text string, "
@@ -140,13 +140,14 @@ def merge_summaries_per_source(
 def export_review(
     spark: SparkSession, path: str, output: str, columns: list[str] | None = None, strict: bool = False
 ) -> tuple[int, DataFrame]:
-    """Any JSONL to a flat CSV; (rows, rejected lines)."""
-    records, rejects = read_jsonl_lenient(spark, path)
+    """Any JSONL to a flat CSV; (rows, rejected lines). A record is exported whole or rejected."""
+    records, rejects = read_jsonl_lenient(spark, path, usable=exportable)
     flat = records.select("ordinal", flatten_record("record", strict).alias("flat")).persist()
     count = flat.count()
     if count == 0:
         raise NothingToDo("No valid records found in input.")
-    write_review_csv(review_table(flat.orderBy("ordinal"), columns), output)
+    headers = columns or ordered_headers([row[0] for row in header_names(flat).collect()])  # a line holds them all
+    write_map_csv(flat.orderBy("ordinal"), "flat", headers, output)
     flat.unpersist()
     return count, rejects
 

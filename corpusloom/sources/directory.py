@@ -14,7 +14,7 @@ from corpusloom.functions.classify import file_stem
 from corpusloom.functions.once import compute_where
 from corpusloom.functions.text import clean_text, non_empty
 from corpusloom.operators.documents import record_text
-from corpusloom.operators.export import parse_record
+from corpusloom.operators.export import is_whole, parse_record
 from corpusloom.sources.csv_rows import read_csv_rows
 from corpusloom.sources.lines import file_name, read_jsonl_lenient
 
@@ -83,7 +83,7 @@ def documents_of_records(records: DataFrame, html_mode: str = "regex") -> DataFr
     parsed = records.select("file", "row_index", parse_record("record").alias("parsed"))
     texts, kinds = F.col("parsed.texts"), F.col("parsed.kinds")
     strings = F.map_filter(texts, lambda name, _: kinds[name] == "STRING")
-    rows = parsed.where(kinds.isNotNull()).select(
+    rows = parsed.where(is_whole(F.col("parsed"))).select(
         "file",
         "row_index",
         texts.alias("texts"),
@@ -128,7 +128,7 @@ def collect_documents(spark: SparkSession, path: str | list[str], html_mode: str
         documents = documents.unionByName(found.drop("row_index"))
     # What is valid JSON and no object, or holds a value too large for a variant, is told, not dropped.
     odd = [
-        records.where(parse_record("record")["kinds"].isNull()).select("file", F.concat(F.lit("no usable JSON object in record "), F.col("row_index").cast("string")).alias("error"))
+        records.where(~is_whole(parse_record("record"))).select("file", F.concat(F.lit("no usable JSON object in record "), F.col("row_index").cast("string")).alias("error"))
         for records in (json_records, lines)
     ]
     bad_lines = line_rejects.select(

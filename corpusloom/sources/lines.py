@@ -9,6 +9,8 @@ no shuffle of the lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,10 +108,10 @@ def read_jsonl(spark: SparkSession, path: str | list[str], schema: str, numbered
 
 
 def read_jsonl_lenient(
-    spark: SparkSession, path: str | list[str], glob: str | None = None
+    spark: SparkSession, path: str | list[str], glob: str | None = None, usable: Callable[[str], Column] = is_json
 ) -> tuple[DataFrame, DataFrame]:
     """(records as JSON text, rejected lines with their numbers); only the rejects pay for numbers."""
-    valid = is_json("value")
+    valid = usable("value")
     lines = read_lines(spark, path, glob, numbered=False).where(~_is_blank())
     rejects = read_lines(spark, path, glob).where(~_is_blank() & ~valid)
     records = lines.where(valid).select("file", "ordinal", F.col("value").alias("record"))

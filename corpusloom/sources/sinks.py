@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from collections.abc import Iterator
 from uuid import uuid4
 
@@ -9,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+_LINES = 64
+
 
 def write_jsonl(df: DataFrame, path: str, order_by: list[str] | None = None, keep_nulls: bool = True) -> None:
     """One JSON object per line; without ``keep_nulls`` a null field is left out of its object.
@@ -25,6 +29,37 @@ def write_review_csv(df: DataFrame, path: str, order_by: list[str] | None = None
     ordered.write.mode("overwrite").options(header=True, quote='"', escape='"', emptyValue="").csv(path)
 
 
+def write_map_csv(rows: DataFrame, column: str, headers: list[str], path: str) -> None:
+    """CSV lines of string maps, in the order of the rows, with a header per part file.
+
+    Cells are put in their places row by row, so the headers are no columns of a plan
+    and may be as many as a line can hold. What a map lacks is empty.
+    """
+    names = rows.sparkSession.sparkContext.broadcast(headers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        headers, place, begun = names.value, {name: at for at, name in enumerate(names.value)}, False
+
+        def line(cells: list[str]) -> str:
+            text = io.StringIO()
+            csv.writer(text, lineterminator="").writerow(cells)
+            return text.getvalue()
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, _LINES):
+                lines = [] if begun else [line(headers)]
+                begun = True
+                for row in batch[column].slice(at, _LINES).to_pylist():
+                    cells = [""] * len(headers)
+                    for name, value in row or ():
+                        if name in place:
+                            cells[place[name]] = value or ""
+                    lines.append(line(cells))
+                yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    rows.select(column).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
 def _without_last_newline(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of a task; the last one loses the line end that would leave a line of a blank."""
     held = None

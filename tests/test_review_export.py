@@ -1,3 +1,4 @@
+import csv
 import json
 
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from corpusloom.functions.models import WordCountEmbedder, embedder_or_none
 from corpusloom.functions.similarity import cosine, jaccard
 from corpusloom.operators.export import flatten_record, header_names, ordered_headers, output_field, parse_record, review_table
 from corpusloom.operators.review import missing_headings, review_rows, score, split_list, training_records
+from corpusloom.plans.pipelines import export_review
 
 SCHEMA = "idx bigint, instruction string, input string, output string, metadata map<string,string>"
 GOOD = "SUMMARY: a\nkey lessons: b\nRecommended Actions: c"
@@ -118,3 +120,29 @@ def test_headers_and_table(spark):
     assert review_table(df).columns == ordered_headers(names)
     assert {tuple(row) for row in review_table(df).collect()} == {("1", "a", "", "", "1"), ("", "b", "r", "x", "")}
     assert [tuple(row) for row in review_table(df, ["zeta", "absent"]).orderBy("zeta").collect()] == [("", ""), ("1", "")]
+
+
+def test_records_are_exported_whole_or_rejected(spark, tmp_path):
+    """Whether the session lets a variant repeat a key decides which of the two, never a part."""
+    lines = ['{"output":"hello","m":{"a":1,"a":2},"note":"keep"}', '{"output":"x","note":"n"}', "[1", '{"output":" y ","k":[1,{"b":2}]}']
+    (tmp_path / "in.jsonl").write_text("\n".join(lines) + "\n")
+    for allowed, bad in (("true", [3]), ("false", [1, 3])):
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", allowed)
+        try:
+            count, rejects = export_review(spark, str(tmp_path / "in.jsonl"), str(tmp_path / allowed))
+            assert sorted(row["line_number"] for row in rejects.collect()) == bad and count == 4 - len(bad)
+        finally:
+            spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+        rows = [row for part in sorted((tmp_path / allowed).glob("part*")) for row in csv.DictReader(part.open(encoding="utf-8", newline=""))]
+        want = [{"merged_output": "x", "note": "n"}, {"merged_output": " y ", "note": ""}]
+        assert rows == ([{"merged_output": "hello", "note": "keep"}] if allowed == "true" else []) + want
+
+
+def test_export_of_more_keys_than_a_plan_has_columns(spark, tmp_path):
+    rows = [{"source_id": f"s{n}", "output": 'line "one"\ntwo', "original_row": {f"key{n}_{k}": f"{k},x" for k in range(400)}} for n in range(40)]
+    (tmp_path / "in.jsonl").write_text("\n".join(map(json.dumps, rows)))
+    assert export_review(spark, str(tmp_path / "in.jsonl"), str(tmp_path / "out"))[0] == 40
+    found = [row for part in sorted((tmp_path / "out").glob("part*")) for row in csv.DictReader(part.open(encoding="utf-8", newline=""))]
+    names = sorted(f"key{n}_{k}" for n in range(40) for k in range(400))
+    assert list(found[0]) == ["source_id", "merged_output", *names] and [row["source_id"] for row in found] == [f"s{n}" for n in range(40)]
+    assert found[7]["merged_output"] == 'line "one"\ntwo' and found[7]["key7_3"] == "3,x" and found[7]["key8_3"] == ""
