@@ -54,6 +54,7 @@ def _parser() -> argparse.ArgumentParser:
     generate.add_argument("--hf_fallback_model")
     generate.add_argument("--max_gen", type=int, default=fixed.MAX_NEW_TOKENS)
     generate.add_argument("--fan_in", type=int, default=FAN_IN, help="most summaries in a prompt, more being reduced in levels; by default a prompt takes all")
+    generate.add_argument("--ledger", help="folder of answers; a later run over it asks only what has no answer yet")
     generate.add_argument("--max_chars", type=int, help="kept for compatibility; has no effect")
 
     merge = commands.add_parser("merge", help="summaries to one record per source")
@@ -132,7 +133,7 @@ def run(spark: SparkSession, argv: list[str]) -> int:
             print(f"Warning: failed to read {row['file']}: {row['error']}")
     elif args.command == "generate":
         load = partial(PretrainedGenerator, args.hf_fallback_model) if args.use_hf_fallback else LeadGenerator
-        print(pipelines.generate_summaries(spark, args.input, args.output, load, args.max_gen, args.fan_in))
+        print(pipelines.generate_summaries(spark, args.input, args.output, load, args.max_gen, args.fan_in, args.ledger))
     elif args.command == "merge":
         print(pipelines.merge_summaries_per_source(spark, args.input, args.output, whole=not args.parts))
     elif args.command == "export":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,18 +13,54 @@ from corpusloom.functions.classify import is_error
 from corpusloom.functions.models import TextGenerator, generated
 from corpusloom.functions.prompts import fallback_chunk_prompt, final_prompt
 from corpusloom.operators.groups import position, source_key
-from corpusloom.session import cut_lineage
+from corpusloom.session import cut_lineage, shared_folder
 
 CHUNK_STEP, FINAL_STEP = "chunk_summary", "final_summary"
 # No levels: a source's final prompt takes all its summaries, whatever their number.
 FAN_IN = None
 
 
+_LEDGER = "prompt_key string, text string, failed boolean"
+
+
+def prompt_key(prompt: Column | str, max_gen: int) -> Column:
+    """What a call is known by: its prompt and its bound."""
+    return F.sha2(F.concat_ws("\n", F.lit(str(max_gen)), F.coalesce(prompt, F.lit(""))).cast("binary"), 256)
+
+
+def answers(prompts: DataFrame, load: Callable[[], TextGenerator], max_gen: int, ledger: str) -> DataFrame:
+    """(prompt_key, text, failed) of all prompts in a column ``prompt``, each distinct one asked once.
+
+    Only keys and prompts are shuffled. Answers are added to the table ``ledger``, whose
+    files every finished task leaves behind at once: after a crash, a run over the same
+    folder asks only what has no answer yet, or failed. A folder belongs to one model.
+    """
+    spark = prompts.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.createDataFrame([], _LEDGER).write.mode("append").parquet(ledger)
+    known = spark.read.schema(_LEDGER).parquet(ledger).where(~F.col("failed")).select("prompt_key").distinct()
+    keyed = prompts.select(prompt_key("prompt", max_gen).alias("prompt_key"), "prompt").repartition(tasks, "prompt_key")
+    open_prompts = keyed.groupBy("prompt_key").agg(F.min("prompt").alias("prompt")).join(known, "prompt_key", "left_anti")
+    made = open_prompts.select("prompt_key", generated("prompt", load, max_gen).alias("answer")).select("prompt_key", "answer.*")
+    made.write.mode("append").option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(ledger)
+    told = spark.read.schema(_LEDGER).parquet(ledger).groupBy("prompt_key")
+    return told.agg(F.min_by(F.struct("text", "failed"), "failed").alias("answer"))
+
+
 def summarize_chunks(
-    chunks: DataFrame, load: Callable[[], TextGenerator], max_gen: int = fixed.MAX_NEW_TOKENS
+    chunks: DataFrame, load: Callable[[], TextGenerator], max_gen: int = fixed.MAX_NEW_TOKENS, ledger: str | None = None
 ) -> DataFrame:
-    """Chunk results of (source_id, chunk_index, total_chunks, prompt, chunk_text, original_row, ordinal)."""
-    answer = generated(fallback_chunk_prompt("prompt", "chunk_text"), load, max_gen)
+    """Chunk results of (source_id, chunk_index, total_chunks, prompt, chunk_text, original_row, ordinal).
+
+    With a ``ledger`` the answers are in that folder when this returns, and only joined.
+    """
+    prompt = fallback_chunk_prompt("prompt", "chunk_text")
+    if ledger is None:
+        answer = generated(prompt, load, max_gen)
+    else:
+        told = answers(chunks.select(prompt.alias("prompt")), load, max_gen, ledger)
+        chunks = chunks.withColumn("prompt_key", prompt_key(prompt, max_gen)).join(told, "prompt_key")
+        answer = F.col("answer")
     fields = ("source_id", "chunk_index", "total_chunks", "prompt", "chunk_text", "original_row")
     answered = chunks.select(
         source_key().alias("source_id"),
@@ -124,15 +161,16 @@ def summarize_hierarchically(
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
     fan_in: int | None = FAN_IN,
+    ledger: str | None = None,
 ) -> DataFrame:
     """Chunk results and final results in one table, told apart by ``generation_step``.
 
-    A call costs far more than a shuffle, so the chunks are spread evenly first.
-    Chunk results are checkpointed: they are dear, may come from a sampling model,
-    and the final results must be made from the very texts that are returned.
+    Chunk answers are dear and may come from a sampling model, and the final results
+    must be made from the very texts that are returned: they are kept in ``ledger``, by
+    default a new folder, and rows are joined with them late.
     """
-    spread = chunks.repartition("source_id", "chunk_index", "ordinal")
-    chunk_results = cut_lineage(summarize_chunks(spread, load, max_gen))
+    ledger = ledger or f"{shared_folder(chunks.sparkSession)}/ledger-{uuid4().hex}"
+    chunk_results = summarize_chunks(chunks, load, max_gen, ledger)
     finals = summarize_sources(chunk_results, load, max_gen, fan_in)
     return finals.unionByName(chunk_results, allowMissingColumns=True)
 

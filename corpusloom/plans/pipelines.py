@@ -111,10 +111,11 @@ def generate_summaries(
     load: Callable[[], TextGenerator] = LeadGenerator,
     max_gen: int = fixed.MAX_NEW_TOKENS,
     fan_in: int | None = FAN_IN,
+    ledger: str | None = None,
 ) -> dict[str, int]:
-    """Chunk records to chunk and final summaries."""
+    """Chunk records to chunk and final summaries; a run over the same ``ledger`` goes on where another one broke."""
     chunks = read_jsonl(spark, path, CHUNK_SCHEMA)
-    results = summarize_hierarchically(chunks, load, max_gen, fan_in).drop("ordinal")
+    results = summarize_hierarchically(chunks, load, max_gen, fan_in, ledger).drop("ordinal")
     write_jsonl(results, output, keep_nulls=False)
     return run_statistics(spark.read.schema("generation_step string").json(output)).first().asDict()
 

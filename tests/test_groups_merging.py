@@ -1,14 +1,17 @@
 import json
+import os
 import random
 import re
 import sys
+from functools import partial
+from uuid import uuid4
 
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from corpusloom.functions.models import LeadGenerator, RetryingGenerator, model_name_or_default
-from corpusloom.operators.generation import run_statistics, summarize_chunks, summarize_hierarchically
+from corpusloom.operators.generation import answers, run_statistics, summarize_chunks, summarize_hierarchically
 from corpusloom.operators.groups import collect_ordered, final_prompts
 from corpusloom.operators.merging import merge_results, merge_statistics, record_pieces
 from corpusloom.plans.pipelines import RESULT_SCHEMA
@@ -212,6 +215,41 @@ def test_number_of_chunks_changes_no_result(spark):
     assert {row["source_id"]: len(row["chunk_summaries"]) for row in merged.collect()} == {"long": 1001, "short": 2}
 
 
+class Counted:
+    """Writes every prompt it is asked to a file of its own; breaks its task at a word, if told to."""
+
+    def __init__(self, folder, poison=None):
+        self.folder, self.poison = folder, poison
+
+    def generate(self, prompt, max_new_tokens):
+        if self.poison and self.poison in prompt:
+            os._exit(1)
+        with open(f"{self.folder}/{uuid4()}", "w") as file:
+            file.write(prompt)
+        return f"answer to {prompt}"
+
+
+def test_a_broken_run_goes_on_without_a_second_call(spark, tmp_path):
+    rows = [(f"s{n % 9}", n, 1, f"prompt {n % 60}", "c", {"title": "T"}, n) for n in range(120)]
+    schema = "source_id string, chunk_index int, total_chunks int, prompt string, chunk_text string, original_row map<string,string>, ordinal bigint"
+    chunks, ledger = spark.createDataFrame(rows, schema).repartition(3), str(tmp_path / "ledger")
+    first, second = tmp_path / "first", tmp_path / "second"
+    first.mkdir(), second.mkdir()
+    with pytest.raises(Exception, match="crashed|exited"):
+        answers(chunks.select("prompt"), partial(Counted, str(first), "prompt 37"), 20, ledger)
+    done = {row["text"] for row in spark.read.schema("text string").parquet(ledger).collect()}
+    told = answers(chunks.select("prompt"), partial(Counted, str(second)), 20, ledger)
+    assert {row["answer"]["text"] for row in told.collect()} == {f"answer to prompt {n}" for n in range(60)} and told.count() == 60
+    asked = [path.read_text() for path in second.iterdir()]
+    assert sorted(asked) == sorted({f"prompt {n}" for n in range(60)} - {text.removeprefix("answer to ") for text in done})
+    third = tmp_path / "third"
+    third.mkdir()
+    results = summarize_hierarchically(chunks, partial(Counted, str(third)), 20, ledger=ledger)
+    found = results.where("generation_step = 'chunk_summary'").collect()
+    assert len(found) == 120 and all(row["chunk_summary"] == f"answer to {row['original_chunk']['prompt']}" for row in found)
+    assert not any(path.read_text().startswith("prompt") for path in third.iterdir())
+
+
 def test_generated_text_is_not_made_twice(spark):
     plan = summarize_chunks(_chunk_records(spark), LeadGenerator).where("chunk_summary <> ''")
     assert plan._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
