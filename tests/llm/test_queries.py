@@ -31,7 +31,7 @@ def test_same_as_sql(spark, name):
     assert canonical(ours).tolist() == canonical(theirs).tolist()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op11_embedding_whitening"}))
 def test_one_row_per_document(spark, name):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id")
     found = QUERIES[name](spark, FOLDER)
