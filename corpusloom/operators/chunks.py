@@ -41,11 +41,13 @@ def chunk_rows(
     Rows with too little text are dropped after they were numbered, so the
     numbers in ``source_id`` keep the gaps. Each record repeats its whole row,
     which makes the output grow with the square of a text's length; with
-    ``row_once`` only a text's first record carries it, all that merging needs.
+    ``row_once`` only a text's first record carries it, all that merging needs. A column
+    ``stem`` names the source in place of the file's own name.
     """
     fields = fields or map_fields()
+    stem = F.col("stem") if "stem" in rows.columns else file_stem("file")
     named = rows.select(
-        F.concat(file_stem("file"), F.lit("_"), F.col("row_index").cast("string")).alias("source_id"),
+        F.concat(stem, F.lit("_"), F.col("row_index").cast("string")).alias("source_id"),
         "file",
         F.col("row").alias("original_row"),
         fields("title").alias("_title"),

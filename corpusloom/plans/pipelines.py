@@ -22,7 +22,7 @@ from corpusloom.operators.review import review_rows, score, training_records
 from corpusloom.operators.rows import map_fields, rows_to_examples
 from corpusloom.operators.training import load_examples, pad_batches, tokenize_examples
 from corpusloom.session import stored
-from corpusloom.sources.csv_rows import read_csv_rows
+from corpusloom.sources.csv_rows import read_csv_rows, with_unique_stems
 from corpusloom.sources.directory import collect_documents, read_json_documents, read_text_files
 from corpusloom.sources.lines import read_jsonl, read_jsonl_lenient
 from corpusloom.sources.sinks import write_if, write_jsonl, write_long_records, write_map_csv, write_review_csv
@@ -62,7 +62,7 @@ def prepare_chunks(
 ) -> int:
     """CSV files to chunk records; no output if there is none."""
     rows, _ = read_csv_rows(spark, path)
-    chunks = chunk_rows(rows, None, text_column, max_chars, no_chunk, html_mode, row_once=row_once, step_cap=step_cap)
+    chunks = chunk_rows(with_unique_stems(rows, path), None, text_column, max_chars, no_chunk, html_mode, row_once=row_once, step_cap=step_cap)
     if chunks.isEmpty():
         return 0
     counted, seen = _counted(chunks, "chunks")

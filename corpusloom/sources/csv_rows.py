@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.session import spread
+from corpusloom.functions.classify import file_stem
 from corpusloom.sources.lines import file_name
 
 _BATCH_ROWS = 2048
@@ -318,6 +318,30 @@ def _unsplit_bytes(spark: SparkSession) -> int:
     return min(_bytes(spark.conf.get(name)) for name in names)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Rows of a small input over all cores, in the order of files and rows."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartitionByRange(cores, "path", "row_index").sortWithinPartitions("path", "row_index")
+
+
+def with_unique_stems(rows: DataFrame, path: str | list[str], glob: str = "*.[cC][sS][vV]") -> DataFrame:
+    """Rows with ``stem``, the file's name without suffix; where files of several folders share it, with a mark of its path.
+
+    Files are told from their listing alone, and only shared names cost a join.
+    """
+    listing = rows.sparkSession.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    files = listing.select(F.col("_metadata.file_path").alias("path"), file_stem(file_name()).alias("stem"))
+    shared = files.groupBy("stem").count().where(F.col("count") > 1)
+    stem = file_stem("file")
+    if shared.isEmpty():
+        return rows.withColumn("stem", stem)
+    marked = files.join(shared, "stem", "left_semi").select("path", F.substring(F.md5(F.col("path").cast("binary")), 1, 8).alias("_mark"))
+    marked = rows.join(marked, "path", "left")
+    return marked.withColumn("stem", F.concat(stem, F.coalesce(F.concat(F.lit("@"), "_mark"), F.lit("")))).drop("_mark")
+
+
 def read_csv_rows(
     spark: SparkSession, path: str | list[str], trim: bool = True, glob: str = "*.[cC][sS][vV]"
 ) -> tuple[DataFrame, DataFrame]:
@@ -336,7 +360,7 @@ def read_csv_rows(
     splittable = lines.where(F.col("size") > _unsplit_bytes(spark))
     facts = _facts(splittable)
     large = spark.sparkContext.broadcast(facts)  # about a millionth of the input
-    rows = spread(lines.mapInArrow(_parse(large, trim), _SCHEMA))
+    rows = _spread(lines.mapInArrow(_parse(large, trim), _SCHEMA))
     if any(inside for fact in facts.values() for inside, _ in fact[4].values()):
         parts = splittable.mapInArrow(_fragments(large), _FRAGMENT).groupBy("path", "file", "number")
         joined = parts.agg(F.array_sort(F.collect_list(F.struct("start", "data"))).alias("parts"))

@@ -2,11 +2,12 @@
 
 import csv
 import json
+import re
 
 import pytest
 
 from corpusloom.cli import run
-from corpusloom.plans.pipelines import NothingToDo
+from corpusloom.plans.pipelines import NothingToDo, prepare_chunks
 
 
 def _jsonl(folder):
@@ -128,3 +129,15 @@ def test_merge_needs_results(spark, tmp_path):
     (tmp_path / "none.jsonl").write_text("\n")
     with pytest.raises(NothingToDo):
         run(spark, ["merge", "--input", str(tmp_path / "none.jsonl"), "--output", str(tmp_path / "m")])
+
+
+def test_chunks_come_in_order_and_sources_of_equal_names_stay_apart(spark, tmp_path):
+    text = "long enough to be a text of its own"
+    for folder, rows in (("a", 40), ("b", 3)):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "data.csv").write_text("full_text\n" + "".join(f"{text} {n}\n" for n in range(rows)))
+    assert prepare_chunks(spark, str(tmp_path / "a"), str(tmp_path / "one")) == 40
+    assert [row["source_id"] for row in _jsonl(tmp_path / "one")] == [f"data_{n}" for n in range(40)]
+    assert prepare_chunks(spark, [str(tmp_path / "a"), str(tmp_path / "b")], str(tmp_path / "two")) == 43
+    found = [row["source_id"] for row in _jsonl(tmp_path / "two")]
+    assert len(set(found)) == 43 and all(re.fullmatch(r"data@[0-9a-f]{8}_\d+", name) for name in found)
