@@ -119,8 +119,9 @@ def summarize_sources(
     load: Callable[[], TextGenerator],
     max_gen: int = fixed.MAX_NEW_TOKENS,
     fan_in: int | None = FAN_IN,
+    chunks: DataFrame | None = None,
 ) -> DataFrame:
-    """Final results, one per source with any usable chunk summary.
+    """Final results, one per source with any usable chunk summary; source rows come from ``chunks``, if given.
 
     A source's prompt takes all its usable summaries and its ``chunk_summaries`` are
     those of all its chunks, so one task gathers them and one cell (2 GB) must hold
@@ -129,17 +130,18 @@ def summarize_sources(
     and so on; ``chunk_summaries`` are then those of the last level, the total that of
     all chunks, and every chunk's own summary is in the chunk results alone.
     """
-    rows = chunk_results.select(
-        "source_id", position().alias("at"), "chunk_summary", F.lit(1).cast("long").alias("chunks"),
-        F.col("original_chunk.original_row").alias("row"),
+    narrow = chunk_results.select("source_id", position().alias("at"), "chunk_summary", F.lit(1).cast("long").alias("chunks"), "original_chunk")
+    with_rows = narrow.withColumn("row", F.col("original_chunk.original_row")).drop("original_chunk")
+    rows = narrow.drop("original_chunk") if fan_in is None else _reduced(with_rows, load, max_gen, fan_in)
+    sources = with_rows if chunks is None else chunks.select(
+        source_key().alias("source_id"), position().alias("at"), F.col("original_row").alias("row")
     )
-    if fan_in is not None:
-        rows = _reduced(rows, load, max_gen, fan_in)
     grouped = rows.groupBy("source_id").agg(
-        F.array_sort(F.collect_list(F.struct("at", "chunk_summary"))).alias("items"),
-        F.min_by(_with_defaults(F.col("row")), "at").alias("source_metadata"),
-        F.sum("chunks").cast("int").alias("total_chunks"),
+        F.array_sort(F.collect_list(F.struct("at", "chunk_summary"))).alias("items"), F.sum("chunks").cast("int").alias("total_chunks")
     )
+    # A source's row may hold its whole text: one row per source and task is shuffled, apart from the summaries.
+    metadata = sources.groupBy("source_id").agg(F.min_by(_with_defaults(F.col("row")), "at").alias("source_metadata"))
+    grouped = grouped.join(metadata, "source_id")
     usable = F.filter("chunk_summaries", lambda text: ~is_error(text))
     sources = grouped.select(
         "source_id", "total_chunks", F.transform("items", lambda item: item["chunk_summary"]).alias("chunk_summaries"), "source_metadata"
@@ -171,7 +173,7 @@ def summarize_hierarchically(
     """
     ledger = ledger or f"{shared_folder(chunks.sparkSession)}/ledger-{uuid4().hex}"
     chunk_results = summarize_chunks(chunks, load, max_gen, ledger)
-    finals = summarize_sources(chunk_results, load, max_gen, fan_in)
+    finals = summarize_sources(chunk_results, load, max_gen, fan_in, chunks)
     return finals.unionByName(chunk_results, allowMissingColumns=True)
 
 
