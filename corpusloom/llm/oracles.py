@@ -2,7 +2,7 @@
 
 from math import log2
 
-from corpusloom.llm.secret_scan import ALLOWED, CANDIDATE, CLASSES, KINDS, PATTERNS, WINDOW
+from corpusloom.llm.secret_scan import ALLOWED, ALLOWED_INSIDE, CANDIDATE, CLASSES, KINDS, PATTERNS, RUNS as PIECES, SYMBOLS, WINDOW
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 RUNS = "list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')))"
@@ -32,40 +32,50 @@ FROM dx JOIN bx USING (x) GROUP BY doc_id, item_id, size HAVING count(DISTINCT x
 """
 
 
-def _pieces(kind: int, pattern: str, group: int, least: int) -> str:
+def _pieces(kind: int, pattern: str, group: int, least: int, source: str) -> str:
     found = pattern.replace("'", "''")
     return f"""
-SELECT doc_id, {kind} AS kind, t, unnest(range(1, len(ms) + 1)) AS i, ms, gs, lens FROM (
-  SELECT doc_id, t, regexp_extract_all(t, '{found}', 0) AS ms, string_split_regex(t, '{found}') AS gs,
-    list_transform(regexp_extract_all(t, '{found}', {group}), lambda x: length(x) >= {least}) AS lens FROM d)"""
+SELECT doc_id, base, {kind} AS kind, t, unnest(range(1, len(ms) + 1)) AS i, ms, gs, lens FROM (
+  SELECT doc_id, base, t, regexp_extract_all(t, '{found}', 0) AS ms, string_split_regex(t, '{found}') AS gs,
+    list_transform(regexp_extract_all(t, '{found}', {group}), lambda x: length(x) >= {least}) AS lens FROM {source})"""
+
+
+def _at(pieces: str) -> str:
+    before = "list_sum(list_transform(gs[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda g: length(g))), 0)"
+    return f"SELECT doc_id, kind, ms[i] AS m, lens[i] AS fits, (base + {before})::BIGINT AS s FROM {pieces}"
 
 
 def _secrets() -> str:
-    parts = [_pieces(k, p, g, n) for k, (_, p, g, n) in enumerate(PATTERNS)]
-    parts.append(_pieces(len(PATTERNS), CANDIDATE, 0, 0))
-    # The library of patterns here has no back-references; the one that is used means a character eight times.
-    allowed = [f"regexp_matches(m, '{p}')" for p in ALLOWED if "\\1" not in p]
-    allowed.append("len(list_filter(range(1, length(m) - 6), lambda i: repeat(m[i], 8) = m[i:i+7])) > 0")
+    entropy = len(PATTERNS)
+    parts = [_pieces(k, p, g, n, "d") for k, (_, p, g, n) in enumerate(PATTERNS)]
+    parts.append(_pieces(entropy, CANDIDATE, 0, 0, "d"))
+    runs = [_pieces(k, p, 0, 0, "b") for k, (p, _) in enumerate(PIECES)]
+    allowed = " OR ".join(f"regexp_matches(m, '{p}')" for p in ALLOWED)
+    # The library of patterns here has no back-references; the one that is used means a symbol eight times.
+    eight, blanked = "|".join(f"[{c}]{{8}}" for c in SYMBOLS), "m"
+    for pattern, length in ALLOWED_INSIDE:
+        blanked = f"regexp_replace({blanked}, '{eight if chr(92) in pattern else pattern}', '{' ' * length}', 'g')"
     bits = " ".join(
         f"WHEN regexp_matches(m, '{p}') THEN {'NULL' if b is None else f'CAST({b} AS DOUBLE)'}" for p, b in CLASSES
     )
     names = "[" + ", ".join(f"'{k}'" for k in KINDS) + "]"
     written = f"{names}[kind + 1] || ':' || s || ':' || e"
     return f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT doc_id, 0 AS base, coalesce(text, '') AS t FROM documents),
 p AS ({' UNION ALL '.join(parts)}),
-x AS (SELECT doc_id, kind, ms[i] AS m, lens[i] AS fits,
-  (list_sum(list_transform(gs[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(ms[1:i-1], lambda g: length(g))), 0))::BIGINT AS s FROM p),
-c AS (SELECT doc_id, s, m, CASE WHEN {' OR '.join(allowed)} THEN NULL {bits} END AS bits FROM x WHERE kind = {len(PATTERNS)}),
-v AS (SELECT doc_id, s, i FROM (SELECT doc_id, s, m, bits, unnest(range(0, length(m) - {WINDOW - 1})) AS i FROM c WHERE bits IS NOT NULL)
+x AS ({_at("p")}),
+b AS (SELECT doc_id, s AS base, {blanked} AS t FROM x WHERE kind = {entropy} AND NOT ({allowed})),
+r AS ({' UNION ALL '.join(runs)}),
+c AS (SELECT doc_id, s, m, CASE {bits} END AS bits FROM ({_at("r")})),
+v AS (SELECT DISTINCT doc_id, s + i AS i FROM (SELECT doc_id, s, m, bits, unnest(range(0, length(m) - {WINDOW - 1})) AS i FROM c WHERE bits IS NOT NULL)
   WHERE list_sum(list_transform(map_values(list_aggregate(string_split(m[i+1:i+{WINDOW}], ''), 'histogram')),
     lambda n: round(n * log2(n) * 1e6))) <= floor(({log2(WINDOW)!r} - bits) * {WINDOW} * 1e6)),
-g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, s ORDER BY i) AS run FROM (
-  SELECT *, (i > coalesce(lag(i) OVER (PARTITION BY doc_id, s ORDER BY i), -{WINDOW} - 1) + {WINDOW})::INT AS fresh FROM v)),
-a AS (SELECT doc_id, kind, s, s + length(m) AS e FROM x WHERE kind < {len(PATTERNS)} AND fits
-  UNION ALL SELECT doc_id, {len(PATTERNS)}, s + min(i), s + max(i) + {WINDOW} FROM g GROUP BY doc_id, s, run)
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+  SELECT *, (i > coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -{WINDOW} - 1) + {WINDOW})::INT AS fresh FROM v)),
+a AS (SELECT doc_id, kind, s, s + length(m) AS e FROM x WHERE kind < {entropy} AND fits
+  UNION ALL SELECT doc_id, {entropy}, min(i), max(i) + {WINDOW} FROM g GROUP BY doc_id, run)
 SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
-  sha256(coalesce(string_agg({written}, ',' ORDER BY s, kind) FILTER (kind < {len(PATTERNS)}), '')) AS base_sha256,
+  sha256(coalesce(string_agg({written}, ',' ORDER BY s, kind) FILTER (kind < {entropy}), '')) AS base_sha256,
   coalesce(string_agg({written}, ',' ORDER BY s, kind) FILTER (kind IS NOT NULL), '') AS spans
 FROM d LEFT JOIN a USING (doc_id) GROUP BY doc_id
 """

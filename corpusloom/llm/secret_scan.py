@@ -27,7 +27,14 @@ KINDS = [kind for kind, *_ in PATTERNS] + ["entropy"]
 
 WINDOW = 24
 CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
-# Character classes in order: (pattern of the whole candidate, least bits per character; None: never a secret).
+# Pieces of a candidate that are judged by their own characters, and what a narrower pattern before has told already.
+RUNS = [
+    (r"[0-9a-f]{24,}", None),
+    (r"[0-9A-F]{24,}", None),
+    (r"[A-Z0-9]{24,}", r"^[0-9A-F]+$"),
+    (CANDIDATE, r"^([0-9a-f]+|[A-Z0-9]+)$"),
+]
+# Character classes in order: (pattern of a whole piece, least bits per character; None: never a secret).
 CLASSES = [
     (r"^[0-9]+$", None),
     (r"^[A-Za-z+/_=-]+$", None),
@@ -35,56 +42,89 @@ CLASSES = [
     (r"^[A-Z0-9=]+$", 3.7),
     (r"^[A-Za-z0-9+/_=-]+$", 4.0),
 ]
-# Strings that look random and are not secret, or stand in for a secret.
+# Whole candidates that look random and are not secret.
 ALLOWED = [
     r"^[0-9A-Fa-f]{8}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{4}-[0-9A-Fa-f]{12}$",
-    r"(?i:example|placeholder|changeme|dummy|sample)",
-    r"(.)\1{7}",
-    r"0123456789|(?i:abcdefghij)",
     r"^sha(256|384|512)-",
 ]
-# For masking: runs of narrower classes inside a candidate, each judged by its own characters.
-RUNS = [r"[0-9a-f]{24,}", r"[0-9A-F]{24,}", r"[A-Z0-9]{24,}", CANDIDATE]
-_TOKEN = r"[A-Za-z0-9+/_=-]"
-# What ALLOWED means where it stands, and the length of a match: only windows that overlap it are let off.
-_LET_OFF = [
-    (rf"(?<!{_TOKEN})[0-9A-Fa-f]{{8}}-(?:[0-9A-Fa-f]{{4}}-){{3}}[0-9A-Fa-f]{{12}}(?!{_TOKEN})", 36),
-    (rf"(?:\G(?!^)|(?<!{_TOKEN})(?=sha(?:256|384|512)-)){_TOKEN}", 1),
+# Strings that stand in for a secret, and their length: only windows that overlap them are let off.
+ALLOWED_INSIDE = [
     *[(f"(?i:{word})", len(word)) for word in "example placeholder changeme dummy sample abcdefghij".split()],
     (r"(.)\1{7}", 8),
     ("0123456789", 10),
 ]
+SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MARK = "[SECRET]"
 
-_SPANS = "array<struct<start:int,end:int,kind:int>>"
+_PART = 64
+_BLOCK = 4096
+_STARTS = 1024
+# A window's counts, at most 24 each, lie in twelve places of five bits per number.
+_BITS, _COUNTS = 5, 12
 
 
 def _micro_bits(count: int) -> int:
     return round(count * log2(count) * 1e6) if count else 0
 
 
-def _no_spans() -> Column:
-    return F.array().cast(_SPANS)
+def _running(values: Column, combine, zero: int) -> Column:
+    """For each whole number what those before it make together.
+
+    A fold copies what it holds in each step, so lists grow in parts of a fixed size only.
+    """
+
+    def scan(part: Column, first: Column) -> Column:
+        begin = F.struct(first.alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda state, v: F.struct(
+            combine(state["at"], v).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out")
+        )
+        return F.aggregate(part, begin, step, lambda state: state["out"])
+
+    def over(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, F.lit(zero), combine))
+        return F.flatten(F.zip_with(parts, scan(totals, F.lit(zero)), scan))
+
+    def cut(all_values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(all_values) - 1, F.lit(0)) / _PART).cast("int"))
+        return let(F.transform(numbers, lambda k: F.slice(all_values, k * _PART + 1, F.lit(_PART))), over)
+
+    return let(values, cut)
 
 
 def _placed(text: Column, pattern: str) -> Column:
     """Start and text of each match, leftmost and not overlapping; code points."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def place(found: Column) -> Column:
-        gaps = F.split(text, pattern, -1)
-        empty = F.array().cast("array<struct<start:int,text:string>>")
-        start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    def place(pairs: Column) -> Column:
+        before = _running(F.transform(pairs, lambda p: p["gap"] + F.length(p["text"])), lambda a, b: a + b, 0)
+        return F.zip_with(pairs, before, lambda p, at: F.struct((at + p["gap"]).alias("start"), p["text"].alias("text")))
 
-        def step(state: Column, pair: Column) -> Column:
-            begin = state["at"] + F.length(pair["gap"])
-            one = F.array(F.struct(begin.alias("start"), pair["match"].alias("text")))
-            return F.struct((begin + F.length(pair["match"])).alias("at"), F.concat(state["out"], one).alias("out"))
+    def pair(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        pairs = F.zip_with(found, gaps, lambda m, g: F.struct(m.alias("text"), F.length(g).alias("gap")))
+        none = F.array().cast("array<struct<start:int,text:string>>")
+        return F.when(F.size(found) > 0, let(pairs, place)).otherwise(none)
 
-        pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-        return F.when(F.size(found) > 0, F.aggregate(pairs, start, step, lambda s: s["out"])).otherwise(empty)
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), pair)
 
-    return let(matches, place)
+
+def _merged(spans: Column, gap: int) -> Column:
+    """Spans (start, end) in order, those joined that lie less than ``gap`` apart."""
+
+    def join(ordered: Column) -> Column:
+        before = _running(F.transform(ordered, lambda s: s["end"]), lambda a, b: F.greatest(a, b), -_BLOCK)
+        placed = F.zip_with(ordered, before, lambda s, end: F.struct(s["start"].alias("start"), end.alias("before")))
+        heads = F.filter(placed, lambda s: s["start"] - s["before"] >= gap)
+        last = F.array_max(F.transform(ordered, lambda s: s["end"]))
+
+        def close(found: Column) -> Column:
+            return F.transform(
+                found,
+                lambda s, k: F.struct(s["start"].alias("start"), F.coalesce(F.get(found, k + 1)["before"], last).alias("end")),
+            )
+
+        return let(heads, close)
+
+    return let(F.sort_array(spans), join)
 
 
 def _pattern_spans(text: Column, kind: int) -> Column:
@@ -100,113 +140,119 @@ def _pattern_spans(text: Column, kind: int) -> Column:
     )
 
 
-def _least_bits(candidate: Column) -> Column:
-    """Entropy that makes the candidate's windows suspicious; null for allowed strings and classes that never are."""
-    allowed = F.lit(False)
-    for pattern in ALLOWED:
-        allowed = allowed | candidate.rlike(pattern)
-    chosen = F.when(allowed, F.lit(None).cast("double"))
+def _least_bits(piece: Column) -> Column:
+    """Entropy that makes the piece's windows suspicious; null for classes that never are."""
+    chosen = F.when(F.lit(False), F.lit(None).cast("double"))
     for pattern, bits in CLASSES:
-        chosen = chosen.when(candidate.rlike(pattern), F.lit(bits).cast("double"))
+        chosen = chosen.when(piece.rlike(pattern), F.lit(bits).cast("double"))
     return chosen
 
 
-def _windows(candidate: Column, offset: Column, bits: Column) -> Column:
-    """Merged spans of the windows whose entropy reaches ``bits``, by incremental counts."""
+def _windows(piece: Column, offset: Column, bits: Column) -> Column:
+    """Spans of the windows whose entropy reaches ``bits``, by incremental counts; blocks of starts are counted apart."""
     table = F.array(*[F.lit(_micro_bits(c)) for c in range(WINDOW + 2)])
     most = F.floor((F.lit(log2(WINDOW)) - bits) * WINDOW * 1e6).cast("int")
-    chars = F.transform(F.sequence(F.lit(1), F.length(candidate)), lambda i: F.substring(candidate, i, F.lit(1)))
 
-    def slide(alphabet: Column, places: Column) -> Column:
-        none = F.lit(None).cast("int")
+    def place(char: Column) -> Column:
+        at = F.call_function("instr", F.lit(SYMBOLS), char) - 1
+        return F.struct(F.floor(at / _COUNTS).cast("int").alias("number"), (at % _COUNTS * _BITS).alias("bit"))
+
+    def one(symbol: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), symbol["bit"])
+
+    def count(counts: Column, symbol: Column) -> Column:
+        return F.call_function("shiftright", F.get(counts, symbol["number"]), symbol["bit"]).bitwiseAND(2**_BITS - 1).cast("int")
+
+    def slide(places: Column, offset: Column) -> Column:
+        none, zero = F.lit(None).cast("int"), F.lit(0).cast("long")
         begin = F.struct(
-            F.transform(alphabet, lambda _: F.lit(0)).alias("counts"), F.lit(0).alias("sum"),
-            none.alias("start"), none.alias("end"), _no_spans().alias("out"),
+            F.array_repeat(zero, -(-len(SYMBOLS) // _COUNTS)).alias("counts"), F.lit(0).alias("sum"),
+            none.alias("start"), none.alias("end"), F.array().cast("array<struct<start:int,end:int>>").alias("out"),
         )
 
+        def last(state: Column) -> Column:
+            whole = F.struct((state["start"] + offset).alias("start"), (state["end"] + offset).alias("end"))
+            return F.when(state["end"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(whole)))
+
         def step(state: Column, at: Column) -> Column:
             enters, leaves = F.get(places, at), F.get(places, at - WINDOW)
-
-            def moved(counts: Column) -> Column:
-                up = F.get(state["counts"], enters - 1)
-                # The entering character counts before the leaving one is taken away.
-                down = F.get(state["counts"], leaves - 1) + (leaves == enters).cast("int")
-                change = F.get(table, up + 1) - F.get(table, up)
-                change = change + F.coalesce(F.get(table, down - 1) - F.get(table, down), F.lit(0))
-                return F.struct(counts.alias("counts"), (state["sum"] + change).alias("sum"))
-
+            up = count(state["counts"], enters)
+            # The entering character counts before the leaving one is taken away.
+            down = count(state["counts"], leaves) + (leaves == enters).cast("int")
+            change = F.get(table, up + 1) - F.get(table, up)
+            change = change + F.coalesce(F.get(table, down - 1) - F.get(table, down), F.lit(0))
             counts = F.transform(
                 state["counts"],
-                lambda c, k: c + (k + 1 == enters).cast("int") - F.coalesce((k + 1 == leaves).cast("int"), F.lit(0)),
+                lambda c, k: c
+                + F.when(k == enters["number"], one(enters)).otherwise(zero)
+                - F.when(k == leaves["number"], one(leaves)).otherwise(zero),
             )
 
-            def advance(now: Column) -> Column:
-                high = (at >= WINDOW - 1) & (now["sum"] <= most)
+            def advance(total: Column) -> Column:
+                high = (at >= WINDOW - 1) & (total <= most)
                 left = at - (WINDOW - 1)
-                joined = F.coalesce(left <= state["end"], F.lit(False))
-                closed = F.when(
-                    high & ~joined & state["end"].isNotNull(), F.concat(state["out"], F.array(_span(state, offset)))
-                ).otherwise(state["out"])
+                fresh = high & ~F.coalesce(left <= state["end"], F.lit(False))
                 return F.struct(
-                    now["counts"].alias("counts"), now["sum"].alias("sum"),
-                    F.when(high & ~joined, left).otherwise(state["start"]).alias("start"),
-                    F.when(high, at + 1).otherwise(state["end"]).alias("end"), closed.alias("out"),
+                    counts.alias("counts"), total.alias("sum"),
+                    F.when(fresh, left).otherwise(state["start"]).alias("start"),
+                    F.when(high, at + 1).otherwise(state["end"]).alias("end"),
+                    F.when(fresh, last(state)).otherwise(state["out"]).alias("out"),
                 )
 
-            return let(moved(counts), advance)
+            return let(state["sum"] + change, advance)
 
-        def finish(state: Column) -> Column:
-            return F.when(state["end"].isNull(), state["out"]).otherwise(
-                F.concat(state["out"], F.array(_span(state, offset)))
-            )
-
-        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), begin, step, finish)
-
-    def with_alphabet(found: Column) -> Column:
-        return let(
-            F.array_distinct(found),
-            lambda alphabet: let(
-                F.transform(found, lambda c: F.array_position(alphabet, c).cast("int")), lambda places: slide(alphabet, places)
-            ),
-        )
+        return F.aggregate(F.sequence(F.lit(0), F.size(places) - 1), begin, step, last)
 
-    return let(chars, with_alphabet)
+    blocks = F.regexp_extract_all(piece, F.lit(f"(?=(.{{1,{_STARTS + WINDOW - 1}}})).{{1,{_STARTS}}}"), F.lit(1))
+    counted = F.transform(
+        blocks,
+        lambda block, k: let(F.transform(F.split(block, ""), place), lambda places: slide(places, offset + k * _STARTS)),
+    )
+    return F.flatten(counted)
 
 
-def _span(state: Column, offset: Column) -> Column:
-    kind = F.lit(KINDS.index("entropy")).alias("kind")
-    return F.struct((state["start"] + offset).alias("start"), (state["end"] + offset).alias("end"), kind)
+def _entropy_spans(text: Column) -> Column:
+    """Spans (start, end) of suspicious windows in the pieces of candidates, allowed strings being blanked."""
+    none = F.array().cast("array<struct<start:int,end:int>>")
 
+    def pieces(blanked: Column) -> Column:
+        found = []
+        for pattern, told in RUNS:
+            placed = _placed(blanked, pattern)
+            found.append(F.filter(placed, lambda p: ~p["text"].rlike(told)) if told else placed)
+        return F.concat(*found)
 
-def _entropy_spans(text: Column, pattern: str = CANDIDATE) -> Column:
     def of(match: Column) -> Column:
-        bits = _least_bits(match["text"])
-        return let(
-            bits,
-            lambda b: F.when(b.isNull(), _no_spans()).otherwise(_windows(match["text"], match["start"], b)),
-        )
+        blanked, allowed = match["text"], _least_bits(match["text"]).isNull()
+        for pattern in ALLOWED:
+            allowed = allowed | match["text"].rlike(pattern)
+        for pattern, length in ALLOWED_INSIDE:
+            blanked = F.regexp_replace(blanked, pattern, " " * length)
 
-    return F.flatten(F.transform(_placed(text, pattern), of))
+        def judge(piece: Column) -> Column:
+            windows = lambda bits: F.when(bits.isNull(), none).otherwise(_windows(piece["text"], piece["start"] + match["start"], bits))
+            return let(_least_bits(piece["text"]), windows)
 
+        return F.when(allowed, none).otherwise(let(blanked, lambda b: F.flatten(F.transform(pieces(b), judge))))
 
-def _run_spans(text: Column) -> Column:
-    """Entropy spans of the runs inside candidates, what is let off being blanked, place by place."""
-    for pattern, length in _LET_OFF:
-        text = F.regexp_replace(text, pattern, " " * length)
-    return let(text, lambda blanked: F.concat(*[_entropy_spans(blanked, pattern) for pattern in RUNS]))
+    def joined(spans: Column) -> Column:
+        kind = F.lit(KINDS.index("entropy"))
+        return F.transform(_merged(spans, 1), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), kind.alias("kind")))
 
+    return joined(F.flatten(F.transform(_placed(text, CANDIDATE), of)))
 
-def secret_spans(text: Column, runs: bool = False) -> Column:
+
+def secret_spans(text: Column) -> Column:
     """All spans of one whole text: array of (start, end, kind), by start, then kind; code points, end exclusive.
 
     ``kind`` counts in ``KINDS``. A missing text is an empty one; an empty text has no spans.
-    By default a candidate is judged as a whole, a name joined to its value by = or _
-    included; with ``runs`` the runs inside it are judged too, each by its own class.
+    A candidate may join a name to its value by = or _ or /, so its runs of narrower
+    classes are judged too, each by its own; of kind entropy, spans that overlap or touch
+    are one. Time follows the length of a text, also of one long candidate.
     """
 
     def scan(whole: Column) -> Column:
         every = F.concat(*[_pattern_spans(whole, kind) for kind in range(len(PATTERNS))], _entropy_spans(whole))
-        every = F.concat(every, F.when(whole.rlike(CANDIDATE), _run_spans(whole)).otherwise(_no_spans())) if runs else every
         by_place = F.transform(every, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
         return F.transform(
             F.sort_array(by_place),
@@ -225,35 +271,31 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(written, ",")
 
 
-def redacted(text: Column, runs: bool = False) -> Column:
-    """The text with every run of overlapping spans replaced by a mark; null and clean texts stay as they are.
-
-    ``runs`` as in :func:`secret_spans`.
-    """
+def redacted(text: Column) -> Column:
+    """The text with every run of overlapping spans replaced by a mark; null and clean texts stay as they are."""
 
     def cut(spans: Column) -> Column:
-        empty = F.array().cast("array<struct<start:int,end:int>>")
+        def rebuild(merged: Column) -> Column:
+            # A piece is cut from its own blocks, as a cut counts characters from the start of what it is given.
+            def between(blocks: Column, start: Column, end: Column) -> Column:
+                first = F.floor(start / _BLOCK).cast("int")
+                own = F.slice(blocks, first + 1, F.floor(end / _BLOCK).cast("int") - first + 1)
+                return F.substring(F.array_join(own, ""), start - first * _BLOCK + 1, end - start)
 
-        def merge(out: Column, span: Column) -> Column:
-            last = F.get(out, F.size(out) - 1)
-            grown = F.concat(
-                F.slice(out, F.lit(1), F.size(out) - 1),
-                F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))),
-            )
-            fresh = F.concat(out, F.array(F.struct(span["start"].alias("start"), span["end"].alias("end"))))
-            return F.when(F.coalesce(span["start"] < last["end"], F.lit(False)), grown).otherwise(fresh)
+            def pieces(blocks: Column) -> Column:
+                def piece(span: Column, at: Column) -> Column:
+                    before = F.coalesce(F.get(merged, at - 1)["end"], F.lit(0))
+                    return F.concat(between(blocks, before, span["start"]), F.lit(MARK))
 
-        def rebuild(merged: Column) -> Column:
-            def piece(span: Column, at: Column) -> Column:
-                before = F.coalesce(F.get(merged, at - 1)["end"], F.lit(0))
-                return F.concat(F.substring(text, before + 1, span["start"] - before), F.lit(MARK))
+                rest = between(blocks, F.get(merged, F.size(merged) - 1)["end"], F.length(text))
+                return F.concat(F.array_join(F.transform(merged, piece), ""), rest)
 
-            rest = F.substring(text, F.get(merged, F.size(merged) - 1)["end"] + 1, F.length(text))
-            return F.concat(F.array_join(F.transform(merged, piece), ""), rest)
+            return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK}}}"), F.lit(0)), pieces)
 
-        return F.when(F.size(spans) == 0, text).otherwise(let(F.aggregate(spans, empty, merge), rebuild))
+        places = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+        return F.when(F.size(spans) == 0, text).otherwise(let(_merged(places, 0), rebuild))
 
-    return let(secret_spans(text, runs), cut)
+    return let(secret_spans(text), cut)
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
