@@ -59,6 +59,14 @@ def bounded_sample(rows: DataFrame, bound: int) -> DataFrame:
     return rows.where(F.xxhash64(F.col("doc_id"), F.lit(7)).bitwiseAND(2**32 - 1) < share)
 
 
+def one_row(rows: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` of one row per doc_id, the least, so that as many rows as ids may be collected.
+
+    What repeats is thinned before the shuffle, however many rows share an id.
+    """
+    return rows.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("_row")).select("_row.*")
+
+
 def _give_back() -> None:
     """Freed memory goes back to the system, where the C library can do that."""
     gc.collect()

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample
+from corpusloom.llm.common import bounded_sample, one_row
 from corpusloom.llm.text_stats import FEATURES, with_features
 from corpusloom.session import cut_lineage
 
@@ -157,9 +157,9 @@ def fit_gam(values: pd.DataFrame, labels: np.ndarray) -> GamModel:
 
 
 def learn_quality(measured: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCUMENTS) -> GamModel:
-    """A model from feature rows and (doc_id, label), about ``sample`` labelled ids being looked at."""
+    """A model from feature rows and (doc_id, label), about ``sample`` labelled ids being looked at, one row of each."""
     # Bounded by the parameter, so it may be broadcast and its rows collected.
-    known = measured.join(F.broadcast(bounded_sample(labels, sample)), "doc_id").select("label", *FEATURES).toPandas()
+    known = one_row(measured.join(F.broadcast(bounded_sample(labels, sample)), "doc_id"), "label", *FEATURES).toPandas()
     known = known.sort_values(list(known.columns), kind="stable")
     return fit_gam(known[FEATURES], known["label"].to_numpy())
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bounded_sample, slices, whole_text, worker_state
+from corpusloom.llm.common import bounded_sample, one_row, slices, whole_text, worker_state
 
 SIZES = (4, 5, 6)
 BUCKET_BITS = 20
@@ -132,13 +132,16 @@ def learn_toxicity(
 ) -> ToxicityModel:
     """A model from (doc_id, text) and (doc_id, label): about ``sample`` labelled ids, those whose hash is lowest.
 
+    Of several rows of an id the one with the least text teaches.
+
     N-grams in fewer than ``at_least`` of them do not count; of the rest the
     ``features`` with the largest chi-square do. Without labels of both kinds the
     model gives every text the share of toxic labels, a half if there are none.
     """
     # Bounded by the parameter, so it may be broadcast.
     chosen_ids = F.broadcast(bounded_sample(labels, sample))
-    texts = docs.select("doc_id", whole_text("text").alias("text")).join(chosen_ids, "doc_id").select("label", "text")
+    texts = docs.select("doc_id", whole_text("text").alias("text")).join(chosen_ids, "doc_id")
+    texts = one_row(texts, "label", "text")
     sizes = labels_in(texts)
     total = sizes[0] + sizes[1]
     sums = texts.mapInArrow(_count_grams, "bucket int, toxic int, clean int").groupBy("bucket")

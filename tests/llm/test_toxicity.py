@@ -54,3 +54,10 @@ def test_sample_is_bounded_and_stable(spark):
     assert 4_500 < picked.count() < 6_000 and picked.exceptAll(bounded_sample(rows.repartition(7), 5_000)).isEmpty()
     assert bounded_sample(rows, 50_000).count() == 50_000
     assert rows.where(F.expr("true") & in_fold(F.lit(None), 4, 0)).isEmpty()
+
+
+def test_an_id_of_many_rows_teaches_once(spark, make_docs):
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i in range(300)], "doc_id long, label int")
+    rows = toxic_docs(300)
+    once, often = (learn_toxicity(make_docs(r), labels) for r in (rows, rows + [rows[6]] * 900 + [(6, "zz " * 50)] * 300))
+    assert once.buckets.tolist() == often.buckets.tolist() and once.intercept == often.intercept
