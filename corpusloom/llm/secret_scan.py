@@ -248,7 +248,7 @@ def secret_spans(text: Column) -> Column:
     ``kind`` counts in ``KINDS``. A missing text is an empty one; an empty text has no spans.
     A candidate may join a name to its value by = or _ or /, so its runs of narrower
     classes are judged too, each by its own; of kind entropy, spans that overlap or touch
-    are one. Time follows the length of a text, also of one long candidate.
+    are one. A long candidate is counted in blocks of windows.
     """
 
     def scan(whole: Column) -> Column:
