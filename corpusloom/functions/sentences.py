@@ -6,12 +6,11 @@ import re
 from collections import Counter, defaultdict
 from math import ceil
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom.fixed_values import ERROR_PREFIX, JACCARD_THRESHOLD, SENTENCE_MIN_CHARS
+from corpusloom.functions.slices import TEXTS, by_slices
 from corpusloom.functions.text import as_col
 
 _ENDINGS = re.compile(r"[.!?]+")
@@ -64,14 +63,8 @@ def _first_distinct_of_list(texts) -> list[str]:
     return _first_distinct([pair for text in usable for pair in _sentences(". ".join(_first_distinct_of_text(text)))])
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _text_udf(texts: pd.Series) -> pd.Series:
-    return texts.map(_first_distinct_of_text)
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _list_udf(lists: pd.Series) -> pd.Series:
-    return lists.map(_first_distinct_of_list)
+_text_udf = by_slices(*TEXTS, lambda: _first_distinct_of_text)
+_list_udf = by_slices(*TEXTS, lambda: _first_distinct_of_list)
 
 
 def distinct_sentences(text: Column | str) -> Column:
