@@ -13,13 +13,12 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusloom.fixed_values import MAX_CHARS, OVERLAP
 from corpusloom.functions.once import let
+from corpusloom.functions.slices import TEXTS, by_slices
 from corpusloom.functions.text import as_col, strip
 
 _SENTENCE_GAP = re.compile(r"(?<=[.!?])\s+")
@@ -81,16 +80,15 @@ def chunk_text(
     Texts that fit in one chunk never leave the JVM.
     """
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def cut(texts: pd.Series) -> pd.Series:
-        def pieces(value):
-            if sentence_aware:
-                parts = (value[a:b].strip() for a, b in _sentence_spans(value, max_chars, overlap, step_cap))
-                return [part for part in parts if part]
-            return [value[a:b].strip() for a, b in _line_spans(value, max_chars, overlap)]
-
-        return texts.map(pieces, na_action="ignore")
+    def pieces(value):
+        if value is None:
+            return None
+        if sentence_aware:
+            parts = (value[a:b].strip() for a, b in _sentence_spans(value, max_chars, overlap, step_cap))
+            return [part for part in parts if part]
+        return [value[a:b].strip() for a, b in _line_spans(value, max_chars, overlap)]
 
+    cut = by_slices(*TEXTS, lambda: pieces)
     stripped = strip(as_col(text))
     long_text = let(stripped, lambda value: F.when(F.length(value) > max_chars, value))
     return F.coalesce(cut(long_text), F.array(stripped))
