@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.classify import file_stem
 from corpusloom.sources.lines import file_name
 
-_BATCH_ROWS = 2048
+_ROWS = 64  # Python objects at a time; Spark's own batches have up to 10,000 rows
 _ROW_TYPE = pa.map_(pa.string(), pa.string())
 _SCHEMA = "path string, file string, row_index bigint, row map<string,string>, error string"
 _SCANNED = (
@@ -142,7 +142,8 @@ def _lacks_last_end(seen: int, size: int) -> bool:
 
 def _splits(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, str, int, Iterator[bytes]]]:
     """(path, start, file, size, lines) of each split of a task, in order."""
-    rows = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+    parts = (batch.slice(at, _ROWS) for batch in batches for at in range(0, batch.num_rows, _ROWS))
+    rows = (row for part in parts for row in zip(*(column.to_pylist() for column in part.columns)))
     for (path, start, file, size), group in groupby(rows, key=lambda row: row[:4]):
         yield path, start, file, size, (row[4] for row in group)
 
@@ -216,7 +217,7 @@ def _batches(path: str, file: str, first: int, rows: Iterator[list]) -> Iterator
             row, error = None, f"CSV read error: {failure}"
         if row is not None:
             pending.append(row)
-        if pending and (row is None or len(pending) == _BATCH_ROWS):
+        if pending and (row is None or len(pending) == _ROWS):
             yield _batch(path, file, range(number, number + len(pending)), pending, [None] * len(pending))
             number, pending = number + len(pending), []
         if row is None:
