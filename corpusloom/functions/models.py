@@ -10,12 +10,14 @@ from hashlib import md5
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.prompts import summarize_prompt
+from corpusloom.functions.slices import by_slices
 from corpusloom.functions.text import as_col
 
 
@@ -97,18 +99,18 @@ class RetryingGenerator:
 def generated(prompt: Column | str, load: Callable[[], TextGenerator], max_new_tokens: int) -> Column:
     """struct(text, failed) of a generation call; the model is loaded once per task."""
 
-    @F.pandas_udf(T.StructType().add("text", "string").add("failed", "boolean"))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def start():
         model = load()
-        for prompts in batches:
-            rows = []
-            for value in prompts:
-                try:
-                    rows.append((model.generate(value or "", max_new_tokens), False))
-                except Exception as error:  # noqa: BLE001 - failures travel in-band
-                    rows.append((f"{fixed.ERROR_PREFIX} {error}", True))
-            yield pd.DataFrame(rows, columns=["text", "failed"])
 
+        def answer(value):
+            try:
+                return {"text": model.generate(value or "", max_new_tokens), "failed": False}
+            except Exception as error:  # noqa: BLE001 - failures travel in-band
+                return {"text": f"{fixed.ERROR_PREFIX} {error}", "failed": True}
+
+        return answer
+
+    run = by_slices(T.StructType().add("text", "string").add("failed", "boolean"), pa.struct({"text": pa.string(), "failed": pa.bool_()}), start)
     # A model may sample: the optimizer must neither repeat nor move the call.
     return run.asNondeterministic()(as_col(prompt))
 
