@@ -17,10 +17,13 @@ from corpusloom.llm.ngram_join import similar_documents
 from corpusloom.llm.packing import pack_documents
 from corpusloom.llm.queries import tokenizer_path
 from corpusloom.llm.secret_scan import redacted
+from corpusloom.llm.token_ids import WORDS_KEPT
 from corpusloom.llm.toxicity import THRESHOLD, learn_toxicity
 from corpusloom.session import cut_lineage, shared_folder
 
 _BROADCAST_ROWS = 300_000
+# Packing runs in executors whose heaps the stages before have filled: a quarter of the words that it keeps alone.
+PACKING_WORDS = WORDS_KEPT // 4
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,7 +73,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids."""
-    return pack_documents(docs, tokenizer_path())
+    return pack_documents(docs, tokenizer_path(), words_kept=PACKING_WORDS)
 
 
 STAGES = [
