@@ -19,7 +19,7 @@ from corpusloom.llm.queries import tokenizer_path
 from corpusloom.llm.secret_scan import redacted
 from corpusloom.llm.token_ids import WORDS_KEPT
 from corpusloom.llm.toxicity import THRESHOLD, learn_toxicity
-from corpusloom.session import cut_lineage, shared_folder
+from corpusloom.session import cut_lineage, shared_folder, small_batches
 
 _BROADCAST_ROWS = 300_000
 # Packing runs in executors whose heaps the stages before have filled: a quarter of the words that it keeps alone.
@@ -31,6 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where the labels teach nothing (none of one kind, or too few), all stay.
     """
+    small_batches(spark)
     labels = one_label(table(spark, sf_dir, "labels"), "toxic", F.lit(True))
     model = learn_toxicity(docs, labels)
     if not len(model.buckets):
@@ -44,6 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows that repeat an id are one document, of which one row stays. Rows without an
     id cannot be the one that stands for a group: of equal texts among them one stays.
     """
+    small_batches(spark)
     told = cut_lineage(similar_documents(docs).where(F.col("doc_id").isNotNull()))
     gone = cut_lineage(told.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct())
     repeated = cut_lineage(told.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("doc_id"))
@@ -73,6 +75,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 ids."""
+    small_batches(spark)
     return pack_documents(docs, tokenizer_path(), words_kept=PACKING_WORDS)
 
 

@@ -12,11 +12,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from corpusloom.functions.slices import by_slices
 from corpusloom.llm.common import bounded_sample, one_row, slices, whole_text, worker_state
 
 SIZES = (4, 5, 6)
@@ -60,14 +61,12 @@ class ToxicityModel:
         """Probability that the text is toxic; a missing or empty text has the one of no n-grams."""
         model = self
 
-        @F.pandas_udf("double")
-        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def start():
             worker_state("toxicity", object)  # words that other operators keep go
             table = model.table()
-            for batch in batches:
-                yield pd.Series([model.probability(text, table) for text in batch], dtype="float64")
+            return lambda text: model.probability(text, table)
 
-        return score(whole_text(text))
+        return by_slices(T.DoubleType(), pa.float64(), start)(whole_text(text))
 
     def probability(self, text: str | None, table: np.ndarray) -> float:
         buckets = gram_buckets(text)

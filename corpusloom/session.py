@@ -60,6 +60,17 @@ def stored(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def small_batches(spark: SparkSession, rows: int = 1_024) -> None:
+    """From now on the session's Arrow batches have at most ``rows`` rows, fewer where it asks for fewer.
+
+    Spark's own 10,000 whole texts are held by the executor, outside its heap, and by the
+    Python worker at the same time. Results are the same, whatever the size.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, rows)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core before CPU-heavy work.
 
