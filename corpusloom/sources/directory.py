@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from corpusloom import fixed_values as fixed
 from corpusloom.functions.classify import file_stem
 from corpusloom.functions.once import compute_where
+from corpusloom.functions.slices import by_slices
 from corpusloom.functions.text import clean_text, non_empty
 from corpusloom.operators.documents import record_text
 from corpusloom.operators.export import is_whole, parse_record
@@ -21,26 +22,35 @@ from corpusloom.sources.lines import file_name, read_jsonl_lenient
 STRUCTURED = r"(?i)\.(json|jsonl|csv)$"
 
 
-@F.pandas_udf(
-    T.StructType()
-    .add("items", T.ArrayType(T.StringType()))
-    .add("error", T.StringType())
-)
-def _unwrap(texts: pd.Series) -> pd.DataFrame:
-    def one(text):
-        if text is None:
-            return None, "not valid UTF-8"
-        try:
-            value = json.loads(text)
-        except (ValueError, RecursionError) as failure:
-            return None, f"JSON parse error: {failure}"
-        if isinstance(value, dict):
-            value = next((item for item in value.values() if isinstance(item, list)), [value])
-        if not isinstance(value, list):
-            return None, "Unexpected JSON shape"
-        return [json.dumps(item, ensure_ascii=False) for item in value], None
-
-    return pd.DataFrame([one(text) for text in texts], columns=["items", "error"])
+def _as_json(item: object) -> str:
+    """JSON text of a value; half a surrogate pair, which UTF-8 does not have, stays an escape, as it is in a line."""
+    text = json.dumps(item, ensure_ascii=False)
+    try:
+        text.encode()
+    except UnicodeEncodeError:
+        text = json.dumps(item)
+    return text
+
+
+def _unwrapped(text: str | None) -> dict:
+    if text is None:
+        return {"items": None, "error": "not valid UTF-8"}
+    try:
+        value = json.loads(text)
+    except (ValueError, RecursionError) as failure:
+        return {"items": None, "error": f"JSON parse error: {failure}"}
+    if isinstance(value, dict):
+        value = next((item for item in value.values() if isinstance(item, list)), [value])
+    if not isinstance(value, list):
+        return {"items": None, "error": "Unexpected JSON shape"}
+    return {"items": [_as_json(item) for item in value], "error": None}
+
+
+_unwrap = by_slices(
+    T.StructType().add("items", T.ArrayType(T.StringType())).add("error", T.StringType()),
+    pa.struct({"items": pa.list_(pa.string()), "error": pa.string()}),
+    lambda: _unwrapped,
+)
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:

@@ -189,3 +189,15 @@ def test_folder_of_everything(spark, tmp_path):
     assert {row["file"] for row in rejects.collect()} == {"a list.json", "broken.json", "scalar.json", "lines.jsonl", "repeated.jsonl", "image.png", "bad.txt"}
     assert rejects.where(F.col("file") == "repeated.jsonl").count() == 2
     assert rejects.where(F.col("file") == "lines.jsonl").first()["error"] == "invalid JSON in line 2"
+
+
+def test_half_a_surrogate_pair_disturbs_no_other_file(spark, tmp_path):
+    """Such a JSON file ended the job; it reads as such a line does, and whole pairs beside it stay."""
+    text = "half a pair \\ud83d and a whole one \\ud83d\\ude00 in a text"
+    (tmp_path / "odd.json").write_text('[{"title": "odd", "full_text": "' + text + '"}]')
+    (tmp_path / "odd.jsonl").write_text('{"title": "line", "full_text": "' + text + '"}\n')
+    (tmp_path / "good.json").write_text(json.dumps({"title": "good", "full_text": "long enough to be a document of its own"}))
+    documents, rejects = collect_documents(spark, str(tmp_path))
+    found = {row["title"]: row["text"] for row in documents.collect()}
+    assert found.keys() == {"odd", "line", "good"} and rejects.count() == 0
+    assert found["odd"] == found["line"] and "😀" in found["odd"]
