@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +72,20 @@ def small_batches(spark: SparkSession, rows: int = 1_024) -> None:
         spark.conf.set(name, rows)
 
 
+def hold_splits(spark: SparkSession) -> Callable[[], None]:
+    """From now on the session cuts files as for the cores it has now; gives what ends that, if it was not so before.
+
+    Spark cuts the files of a scan by the cores it has when the scan starts, which
+    executors that come or go change. What a pass tells of splits is of use to a later
+    pass only if that meets the same splits.
+    """
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is not None:
+        return lambda: None
+    spark.conf.set(name, spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism)
+    return lambda: spark.conf.unset(name)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core before CPU-heavy work.
 

@@ -10,7 +10,8 @@ pass over files larger than a split tells for either state the one at the split'
 and how many records end on the way; put together in order of the splits, that gives
 every split its true state and its first row's number. Then all splits are parsed at
 once. A record that crosses splits is told in fragments, one per split, which are
-joined by their record's number.
+joined by their record's number. All passes must meet the same splits, so the large
+files are scanned apart from the others, and as for the cores of the first pass.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.classify import file_stem
+from corpusloom.session import hold_splits
 from corpusloom.sources.lines import file_name
 
 _ROWS = 64  # Python objects at a time; Spark's own batches have up to 10,000 rows
@@ -358,10 +360,18 @@ def read_csv_rows(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
         file_name().alias("file"), F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("value"),
     )
-    splittable = lines.where(F.col("size") > _unsplit_bytes(spark))
+    # Where Spark cuts a file depends on all files of a scan, so every pass over the large ones scans these alone.
+    unsplit = F.col("size") <= _unsplit_bytes(spark)
+    splittable = lines.where(~unsplit)
+    release = hold_splits(spark)
     facts = _facts(splittable)
     large = spark.sparkContext.broadcast(facts)  # about a millionth of the input
-    rows = _spread(lines.mapInArrow(_parse(large, trim), _SCHEMA))
+    rows = lines.where(unsplit).mapInArrow(_parse(large, trim), _SCHEMA)
+    if facts:
+        rows = rows.unionByName(splittable.mapInArrow(_parse(large, trim), _SCHEMA))
+    else:
+        release()
+    rows = _spread(rows)
     if any(inside for fact in facts.values() for inside, _ in fact[4].values()):
         parts = splittable.mapInArrow(_fragments(large), _FRAGMENT).groupBy("path", "file", "number")
         joined = parts.agg(F.array_sort(F.collect_list(F.struct("start", "data"))).alias("parts"))

@@ -95,6 +95,50 @@ def test_csv_of_a_large_file_is_read_by_many_tasks(spark, tmp_path):
     assert tasks > 8
 
 
+def _quoted_csv(path, rows, width):
+    """Rows of a number and a text of several lines, all of about a size."""
+    path.write_text("n,text\n" + "".join(f'{n},"{"line of text" + chr(10)}{"x" * width}"\n' for n in range(rows)))
+
+
+@pytest.mark.parametrize("small", [1, 3, 8, 40, 150])
+def test_csv_splits_are_the_same_whatever_small_files_are_beside(spark, tmp_path, small):
+    """Small files make the splits of a scan longer: rows came twice, or the job ended with KeyError."""
+    _quoted_csv(tmp_path / "one.csv", 2000, 30)
+    _quoted_csv(tmp_path / "two.csv", 1500, 30)
+    for k in range(small):
+        _quoted_csv(tmp_path / f"small{k}.csv", 15, 30)
+    with splits_of(spark, 1 << 20):
+        spark.conf.set("spark.sql.files.openCostInBytes", "2000")
+        found = _csv(spark, tmp_path)
+    for name, rows in [("one", 2000), ("two", 1500), *((f"small{k}", 15) for k in range(small))]:
+        assert [(at, row["n"]) for file, at, row in found if file == f"{name}.csv"] == [(n, str(n)) for n in range(rows)], name
+
+
+@pytest.mark.parametrize(("before", "after"), [(2, 3), (3, 2), (2, 16)])
+def test_csv_splits_stay_when_cores_come_or_go(spark, tmp_path, before, after):
+    """Executors that came between the pass over large files and their parsing ended the job with KeyError."""
+    _quoted_csv(tmp_path / "one.csv", 2000, 30)
+    (tmp_path / "open.csv").write_text("a,b\n" + "1,2\n" * 20_000 + '3,"open')
+    try:
+        with splits_of(spark, 1 << 20):
+            spark.conf.unset("spark.sql.files.minPartitionNum")
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", before)
+            rows, rejects = read_csv_rows(spark, str(tmp_path))
+            spark.conf.set("spark.sql.leafNodeDefaultParallelism", after)
+            found = sorted((row["file"], row["row_index"], row["row"].get("n"), row["row"].get("b")) for row in rows.collect())
+            assert rejects.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert found == [("one.csv", n, str(n), None) for n in range(2000)] + [("open.csv", n, None, "2") for n in range(20_000)] + [("open.csv", 20_000, None, "open")]
+
+
+def test_csv_small_files_leave_the_sessions_splits_alone(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(_csv(spark, tmp_path)) == 1 and spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_csv_header_longer_than_a_split_is_told(spark, tmp_path):
     (tmp_path / "wide.csv").write_text('"' + "name\n" * 100 + '",b\n1,2\n')
     with splits_of(spark, 100):
